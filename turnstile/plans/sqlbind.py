@@ -46,3 +46,10 @@ def values_cte(name: str, columns: list[str], rows: list[tuple], types: list[str
                           for r in rows)
     cols = ", ".join(columns)
     return f"{name} AS (SELECT * FROM (VALUES\n    {body}) AS t({cols}))"
+
+
+def with_ctes(body: str, *ctes: str) -> str:
+    """``WITH`` + CTEs + body; a body that starts with more CTEs is joined
+    with a comma."""
+    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
+    return "WITH " + ", ".join(ctes) + sep + body
