@@ -51,5 +51,7 @@ def values_cte(name: str, columns: list[str], rows: list[tuple], types: list[str
 def with_ctes(body: str, *ctes: str) -> str:
     """``WITH`` + CTEs + body; a body that starts with more CTEs is joined
     with a comma."""
-    sep = "\n" if body.lstrip().upper().startswith("SELECT") else ",\n"
-    return "WITH " + ", ".join(ctes) + sep + body
+    is_select = body.lstrip().upper().startswith("SELECT")
+    if not ctes:
+        return body if is_select else "WITH " + body
+    return "WITH " + ", ".join(ctes) + ("\n" if is_select else ",\n") + body
