@@ -192,3 +192,39 @@ def gap_sessions_window(df: DataFrame, ts: str, tiebreak: str, gap_seconds: floa
         F.timestamp_diff("MICROSECOND", prev, F.col(ts)) / 1e6, F.lit(0.0)))
     return g.withColumn(session_col, F.sum((F.col(gap_col) > gap_seconds).cast("long"))
                         .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+
+
+def _local_index():
+    def fn(batches):
+        start = 0
+        for pdf in batches:
+            n = len(pdf)
+            pdf = pdf.copy()
+            pdf["_lidx"] = np.arange(start + 1, start + n + 1, dtype=np.int64)
+            start += n
+            yield pdf
+    return fn
+
+
+def global_row_number(df: DataFrame, order: list, out: str = "rn",
+                      num_partitions: int | None = None) -> DataFrame:
+    """Exact 1-based row number of ``df`` in ``order`` without a
+    single-partition window: range-partitioned sort, a local index per
+    partition, and per-partition offsets from the bounded partition-count
+    summary.  ``order`` must be a total order (end with a unique key) so that
+    recomputation gives the same numbering."""
+    spark = df.sparkSession
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    parted = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+              .withColumn("_pid", F.spark_partition_id()))
+    schema = T.StructType(parted.schema.fields + [T.StructField("_lidx", T.LongType())])
+    local = parted.mapInPandas(_local_index(), schema)
+    path = scratch_dir(spark, "row-number")
+    local.write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy("_pid").agg(F.max("_lidx").alias("_cnt"))
+    offsets = counts.withColumn("_off", F.coalesce(F.sum("_cnt").over(
+        Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    j = rows.join(F.broadcast(offsets.select("_pid", "_off")), "_pid")  # one row per partition
+    return j.withColumn(out, F.col("_off") + F.col("_lidx")).select(*df.columns, out)
