@@ -121,3 +121,104 @@ def change(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("campaign_change", CHANGE_SQL)
 def campaign_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change(spark, sf_dir)
+
+
+# ------------------------------------------------------------------ statistics of the changes
+
+_METRICS = ["review_polarity_change", "review_rating_change", "review_volume_change"]
+
+
+
+def _change_cte() -> str:
+    """The change table as a CTE named ``chg`` (body of CHANGE_SQL)."""
+    body = CHANGE_SQL[len("WITH "):]
+    head, final = body.rsplit("\nSELECT p.event_id", 1)
+    return head + ",\nchg AS (SELECT p.event_id" + final + ")"
+
+
+_LONG_CTE = """lng AS (
+  SELECT event_id, 'review_polarity_change' AS metric, CAST(review_polarity_change AS DOUBLE) AS value FROM chg
+  UNION ALL SELECT event_id, 'review_rating_change', CAST(review_rating_change AS DOUBLE) FROM chg
+  UNION ALL SELECT event_id, 'review_volume_change', CAST(review_volume_change AS DOUBLE) FROM chg),
+lv AS (SELECT * FROM lng WHERE value IS NOT NULL AND NOT isnan(value))"""
+
+
+def _long(spark, sf_dir):
+    from turnstile.operators.stattests import long_metrics
+    c = change(spark, sf_dir).select("event_id", *[F.col(m).cast("double").alias(m) for m in _METRICS])
+    return long_metrics(c, "event_id", _METRICS)
+
+
+def _corr_pair_sql(a: str, b: str) -> str:
+    return (f"SELECT '{a}' AS col_a, '{b}' AS col_b, round(covar_pop({a}, {b}) / nullif("
+            f"stddev_pop(CASE WHEN {b} IS NOT NULL THEN {a} END) * "
+            f"stddev_pop(CASE WHEN {a} IS NOT NULL THEN {b} END), 0), 6) AS corr FROM chg")
+
+
+@register("campaign_change_corr", "WITH " + _change_cte() + "\n" + "\nUNION ALL\n".join(
+    _corr_pair_sql(a, b) for a in _METRICS for b in _METRICS))
+def campaign_change_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G20 on the per-event changes (pairwise complete)."""
+    from turnstile.operators.aggregates import corr_matrix_long
+    c = change(spark, sf_dir).select(*[F.col(m).cast("double").alias(m) for m in _METRICS])
+    return corr_matrix_long(c, _METRICS)
+
+
+@register("campaign_ttest", "WITH " + _change_cte() + ",\n" + _LONG_CTE + """
+SELECT metric, count(*) AS n, round(avg(value), 6) AS mean, round(stddev_samp(value), 6) AS sd,
+  round(avg(value) / (stddev_samp(value) / sqrt(count(*))), 6) AS t FROM lv GROUP BY metric""")
+def campaign_ttest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M7: one-sample t statistic of each change metric against 0."""
+    from turnstile.operators.stattests import t_test
+    t = t_test(_long(spark, sf_dir))
+    return t.select("metric", "n", *[F.round(c, 6).alias(c) for c in ["mean", "sd", "t"]])
+
+
+@register("campaign_wilcoxon", "WITH " + _change_cte() + ",\n" + _LONG_CTE + """,
+nz AS (SELECT metric, value, abs(value) AS a FROM lv WHERE value <> 0),
+rk AS (SELECT *, rank() OVER (PARTITION BY metric ORDER BY a) + (count(*) OVER (PARTITION BY metric, a) - 1) / 2.0
+  AS rnk, count(*) OVER (PARTITION BY metric, a) AS t FROM nz),
+g AS (SELECT metric, count(*) AS n, sum(CASE WHEN value > 0 THEN rnk ELSE 0 END) AS w_plus,
+  sum(CASE WHEN value < 0 THEN rnk ELSE 0 END) AS w_minus, sum((t * t * t - t) / t) AS tie_term FROM rk GROUP BY metric)
+SELECT metric, n, round(w_plus, 6) AS w_plus, round(w_minus, 6) AS w_minus, round(least(w_plus, w_minus), 6) AS w,
+  round((least(w_plus, w_minus) - n * (n + 1) / 4.0) /
+        sqrt(n * (n + 1) * (2 * n + 1) / 24.0 - tie_term / 48.0), 6) AS z FROM g""")
+def campaign_wilcoxon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M8: signed-rank statistic and its normal approximation."""
+    from turnstile.operators.stattests import wilcoxon
+    w = wilcoxon(_long(spark, sf_dir))
+    return w.select("metric", "n", *[F.round(c, 6).alias(c) for c in ["w_plus", "w_minus", "w", "z"]])
+
+
+@register("campaign_normality", "WITH " + _change_cte() + ",\n" + _LONG_CTE + """,
+mu AS (SELECT metric, avg(value) AS mu FROM lv GROUP BY metric),
+m AS (SELECT lv.metric, count(*) AS n, avg(pow(value - mu, 2)) AS m2, avg(pow(value - mu, 3)) AS m3,
+  avg(pow(value - mu, 4)) AS m4 FROM lv JOIN mu USING (metric) GROUP BY lv.metric),
+s AS (SELECT metric, n, m3 / nullif(pow(m2, 1.5), 0) AS skewness, m4 / nullif(pow(m2, 2), 0) - 3.0 AS kurtosis FROM m)
+SELECT metric, n, round(skewness, 6) AS skewness, round(kurtosis, 6) AS kurtosis,
+  round(n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0), 6) AS jb FROM s""")
+def campaign_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M9 (re-aimed): Jarque-Bera normality statistic per metric."""
+    from turnstile.operators.stattests import jarque_bera
+    j = jarque_bera(_long(spark, sf_dir))
+    return j.select("metric", "n", *[F.round(c, 6).alias(c) for c in ["skewness", "kurtosis", "jb"]])
+
+
+@register("campaign_significance")
+def campaign_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per metric, normality gate (JB p > .05) picks the t-test or the
+    signed-rank test; verdict at alpha .05."""
+    from turnstile.operators import stattests as ST
+    lg = _long(spark, sf_dir)
+    t = ST.t_test(lg).select("metric", "n", "t")
+    w = ST.wilcoxon(lg).select("metric", "z")
+    j = ST.jarque_bera(lg).select("metric", "jb")
+    r = t.join(w, "metric", "left").join(j, "metric", "left")
+    r = (r.withColumn("p_normal", ST.chi2_2df_sf(F.col("jb")))
+         .withColumn("p_t", ST.t_pvalue(F.col("t"), (F.col("n") - 1).cast("double")))
+         .withColumn("p_wilcoxon", ST.normal_two_sided_p(F.col("z"))))
+    normal = F.coalesce(F.col("p_normal") > 0.05, F.lit(False))
+    p = F.when(normal, F.col("p_t")).otherwise(F.col("p_wilcoxon"))
+    return r.select("metric", "n", F.when(normal, "t-test").otherwise("wilcoxon").alias("test"),
+                    F.round(p, 6).alias("p_value"),
+                    F.when(p < 0.05, "significant change").otherwise("no significant change").alias("verdict"))
