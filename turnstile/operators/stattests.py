@@ -15,6 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 
@@ -109,13 +110,13 @@ def t_two_sided_p(t: float, df: float) -> float:
     return betainc_reg(df / 2.0, 0.5, df / (df + t * t))
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     return pd.Series([t_two_sided_p(a, b) if pd.notna(a) and pd.notna(b) else np.nan
                       for a, b in zip(t, df, strict=True)])
 
 
-@pandas_udf("double")
+@pandas_udf(T.DoubleType())
 def normal_two_sided_p(z: pd.Series) -> pd.Series:
     return pd.Series([math.erfc(abs(v) / math.sqrt(2.0)) if pd.notna(v) else np.nan for v in z])
 
