@@ -67,13 +67,26 @@ def matched_scores(text, lexicon: Mapping[str, float]) -> Column:
     return F.filter(F.transform(tokens(text), lambda t: m[t]), lambda s: s.isNotNull())
 
 
-def lexicon_polarity(text, lexicon: Mapping[str, float] = LEXICON) -> Column:
-    """Mean score of matched tokens; 0 when nothing matches (or NULL text)."""
-    s = matched_scores(text, lexicon)
+def polarity_of(scores) -> Column:
+    """T1 from an array of matched scores: their mean, 0 when empty."""
+    s = col(scores)
     total = F.aggregate(s, F.lit(0.0), lambda acc, x: acc + x)
     return F.coalesce(F.try_divide(total, F.size(s).cast("double")), F.lit(0.0))
 
 
+def lexicon_polarity(text, lexicon: Mapping[str, float] = LEXICON) -> Column:
+    """Mean score of matched tokens; 0 when nothing matches (or NULL text).
+    (Single expression; ``with_polarity`` builds the token array only once.)"""
+    return polarity_of(matched_scores(text, lexicon))
+
+
+def with_polarity(df, text: str, out: str = "polarity", lexicon: Mapping[str, float] = LEXICON):
+    """T1 as two projections: the matched-score array is built once per row."""
+    keep = [c for c in df.columns if c != text]
+    return (df.select(*keep, matched_scores(text, lexicon).alias("_scores"))
+            .select(*keep, polarity_of("_scores").alias(out)))
+
+
 def valence_scores(text, valence: Mapping[str, float] = VALENCE) -> dict[str, Column]:
     """compound = s / sqrt(s^2 + alpha); pos / neg = shares of the summed
     absolute valence that are positive / negative."""
@@ -81,6 +94,10 @@ def valence_scores(text, valence: Mapping[str, float] = VALENCE) -> dict[str, Co
     s = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
     pos = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.greatest(x, F.lit(0.0)))
     neg = F.aggregate(v, F.lit(0.0), lambda acc, x: acc - F.least(x, F.lit(0.0)))
+    return _valence_from(s, pos, neg)
+
+
+def _valence_from(s, pos, neg) -> dict[str, Column]:
     tot = pos + neg
     return {
         "compound": F.coalesce(F.try_divide(s, F.sqrt(s * s + F.lit(VADER_ALPHA))), F.lit(0.0)),
@@ -89,6 +106,18 @@ def valence_scores(text, valence: Mapping[str, float] = VALENCE) -> dict[str, Co
     }
 
 
+def with_valence(df, text: str, valence: Mapping[str, float] = VALENCE):
+    """T2 in three projections: token array once, its three sums, the scores."""
+    keep = [c for c in df.columns if c != text]
+    v = df.select(*keep, matched_scores(text, valence).alias("_v"))
+    sums = v.select(*keep,
+                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x).alias("_s"),
+                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + F.greatest(x, F.lit(0.0))).alias("_pos"),
+                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc - F.least(x, F.lit(0.0))).alias("_neg"))
+    sc = _valence_from(F.col("_s"), F.col("_pos"), F.col("_neg"))
+    return sums.select(*keep, *[c.alias(k) for k, c in sc.items()])
+
+
 def keyword_scores(text, keywords: Mapping[str, Sequence[str]] = SEGMENT_KEYWORDS) -> dict[str, Column]:
     """F5 per category over the lower-cased text (so upper-case keywords such
     as "VIP" never match, as in the reference)."""
@@ -96,14 +125,29 @@ def keyword_scores(text, keywords: Mapping[str, Sequence[str]] = SEGMENT_KEYWORD
     return {k: count_any(low, ws) for k, ws in keywords.items()}
 
 
+def segment_of(youth_c, family_c, express_c, budget_c) -> Column:
+    """F6 from the four keyword counts."""
+    youth = col(youth_c) > col(family_c)
+    express = col(express_c) > col(budget_c)
+    return (F.when(youth & express, 0).when(~youth & ~express, 1)
+            .when(youth & ~express, 2).otherwise(3))
+
+
 def keyword_segment(text, keywords: Mapping[str, Sequence[str]] = SEGMENT_KEYWORDS) -> Column:
     """0 social youth, 1 value families, 2 budget youth, 3 premium
     spenders.  Ties go to family / budget."""
     s = keyword_scores(text, keywords)
-    youth = s["youth"] > s["family"]
-    express = s["express_pass"] > s["budget"]
-    return (F.when(youth & express, 0).when(~youth & ~express, 1)
-            .when(youth & ~express, 2).otherwise(3))
+    return segment_of(s["youth"], s["family"], s["express_pass"], s["budget"])
+
+
+def with_keyword_segment(df, text: str, keep_text: bool = False,
+                         keywords: Mapping[str, Sequence[str]] = SEGMENT_KEYWORDS):
+    """F5 + F6 in two projections: lower-case once, count once, then classify."""
+    keep = [c for c in df.columns if c != text]
+    low = df.select(*keep, *( [F.col(text)] if keep_text else []), F.lower(F.col(text)).alias("_low"))
+    cols = keep + ([text] if keep_text else [])
+    counts = low.select(*cols, *[count_any(F.col("_low"), ws).alias(k) for k, ws in keywords.items()])
+    return counts.select("*", segment_of("youth", "family", "express_pass", "budget").alias("segment"))
 
 
 def replace_chars(text, mapping: Mapping[str, str]) -> Column:

@@ -40,14 +40,20 @@ def mode_of(c: str) -> Column:
 
 
 def corr_matrix_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """All pairwise-complete correlations in one aggregate, long form."""
+    """All pairwise-complete correlations in one aggregate, long form.
+    Only the upper triangle is aggregated (corr is symmetric); the diagonal
+    is 1 where the column varies."""
     aggs = []
-    for a in cols:
-        for b in cols:
+    for i, a in enumerate(cols):
+        aggs.append(F.when(F.stddev_pop(a) > 0, F.lit(1.0)).alias(f"{a}__{a}"))
+        for b in cols[i + 1:]:
             aggs.append(F.round(safe_corr(a, b), 6).alias(f"{a}__{b}"))
     wide = df.agg(*aggs)
     pairs = [(a, b) for a in cols for b in cols]
-    stack = ", ".join(f"'{a}', '{b}', `{a}__{b}`" for a, b in pairs)
+
+    def src(a, b):
+        return f"{a}__{b}" if cols.index(a) <= cols.index(b) else f"{b}__{a}"
+    stack = ", ".join(f"'{a}', '{b}', `{src(a, b)}`" for a, b in pairs)
     return wide.selectExpr(f"stack({len(pairs)}, {stack}) as (col_a, col_b, corr)")
 
 

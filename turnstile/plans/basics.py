@@ -15,7 +15,7 @@ from turnstile.operators.joins import lookup, maybe_broadcast
 from turnstile.operators.ordered import global_row_number
 from turnstile.plans.registry import register
 from turnstile.plans.sqlbind import VISITS, with_ctes
-from turnstile.sources.tables import table, visits, waits
+from turnstile.sources.tables import documents, table, visits, waits
 
 
 def _t(spark, sf_dir, name):
@@ -328,7 +328,7 @@ def accuracy(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A rule classifier (any negative lexicon word -> toxic) scored
     against the labels."""
     neg = {w: s for w, s in X.LEXICON.items() if s < 0}
-    d = _t(spark, sf_dir, "documents").select(
+    d = documents(spark, sf_dir, "doc_id", "text").select(
         "doc_id", (F.size(X.matched_scores("text", neg)) > 0).cast("int").alias("pred"))
     j = _t(spark, sf_dir, "labels").join(d, "doc_id", "left")
     hit = F.coalesce(F.col("pred"), F.lit(0)) == F.col("toxic")

@@ -205,7 +205,8 @@ def weather_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ review classifier
 
 def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    from turnstile.sources.tables import documents
+    d = documents(spark, sf_dir, "doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
     return d.join(lab, "doc_id")
 
@@ -232,7 +233,8 @@ def complaint_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _contributions(spark, sf_dir):
     model = complaint_classifier(spark, sf_dir)
-    scored = M.score_texts(model, table(spark, sf_dir, "documents").select("doc_id", "text"))
+    from turnstile.sources.tables import documents
+    scored = M.score_texts(model, documents(spark, sf_dir, "doc_id", "text"))
     return M.word_contributions(model, scored)
 
 

@@ -15,7 +15,7 @@ from turnstile.functions import text as X
 from turnstile.operators.textops import STOP_WORDS, WORD_PATTERN, tfidf_contrast
 from turnstile.plans.registry import register
 from turnstile.plans.sqlbind import REVIEWS, with_ctes
-from turnstile.sources.tables import reviews, table
+from turnstile.sources.tables import documents, reviews, table
 
 DISNEY_MARKER = "O"   # branch code standing in for the reference's "Disney" branches
 
@@ -27,7 +27,7 @@ SEASON_ORDER = ["Feb - Apr", "Summer Holidays", "Aug - Oct", "Winter Holidays",
 
 
 def text_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    d = documents(spark, sf_dir, "doc_id", "text", "lang")
     r = reviews(spark, sf_dir)
     return d.join(r, d.doc_id == r.review_id).drop("review_id")
 
@@ -70,11 +70,11 @@ lexpol AS (SELECT d.doc_id, coalesce(m.pol, 0.0) AS polarity FROM documents d LE
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = text_reviews(spark, sf_dir)
-    return t.select("doc_id", "written_date", "branch", "rating",
-                    X.keyword_segment("text").alias("segment"),
-                    S.keyword_flag("text", X.RAIN_WORDS).alias("mentions_rain"),
-                    X.lexicon_polarity("text").alias("polarity"))
+    t = text_reviews(spark, sf_dir).select("doc_id", "written_date", "branch", "rating", "text")
+    seg = X.with_keyword_segment(t, "text", keep_text=True)
+    seg = seg.select("doc_id", "written_date", "branch", "rating", "segment", "text",
+                     S.keyword_flag("text", X.RAIN_WORDS).alias("mentions_rain"))
+    return X.with_polarity(seg, "text")
 
 
 SEGMENTED_SQL = TEXT_REVIEWS_SQL + ", " + LEXICON_SQL + f""",
@@ -90,16 +90,13 @@ segmented AS (SELECT s.doc_id, s.written_date, s.branch, s.rating, {_SEGMENT_SQL
 SELECT doc_id, youth, family, express_pass, budget, {_SEGMENT_SQL} AS segment FROM s"""))
 def keyword_segment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F5 + F6 on whole documents."""
-    d = table(spark, sf_dir, "documents")
-    sc = X.keyword_scores("text")
-    return d.select("doc_id", *[v.alias(k) for k, v in sc.items()],
-                    X.keyword_segment("text").alias("segment"))
+    return X.with_keyword_segment(documents(spark, sf_dir, "doc_id", "text"), "text")
 
 
 @register("rain_flag", f"SELECT doc_id, {_RAIN_SQL} AS mentions_rain FROM documents")
 def rain_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Substring semantics of the reference keyword list."""
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir, "doc_id", "text")
     return d.select("doc_id", S.keyword_flag("text", X.RAIN_WORDS).alias("mentions_rain"))
 
 
@@ -184,8 +181,8 @@ def season_cycle_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
                                          LEXICON_SQL))
 def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean lexicon score of the matched tokens of each whole document."""
-    d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", F.round(X.lexicon_polarity("text"), 6).alias("polarity"))
+    p = X.with_polarity(documents(spark, sf_dir, "doc_id", "text"), "text")
+    return p.select("doc_id", F.round("polarity", 6).alias("polarity"))
 
 
 @register("vader_compound", with_ctes(f"""val(word, v) AS (SELECT * FROM {_lexicon_values(X.VALENCE)} t(word, v)),
@@ -198,9 +195,8 @@ SELECT d.doc_id, round(coalesce(m.s / sqrt(m.s * m.s + {X.VADER_ALPHA}), 0), 6)
 FROM documents d LEFT JOIN m USING (doc_id)"""))
 def vader_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2."""
-    d = table(spark, sf_dir, "documents")
-    v = X.valence_scores("text")
-    return d.select("doc_id", *[F.round(c, 6).alias(k) for k, c in v.items()])
+    v = X.with_valence(documents(spark, sf_dir, "doc_id", "text"), "text")
+    return v.select("doc_id", *[F.round(k, 6).alias(k) for k in ("compound", "pos", "neg")])
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in STOP_WORDS)
@@ -225,7 +221,7 @@ SELECT term, round(contrast, 6) AS contrast, rnk FROM (
   SELECT term, contrast, row_number() OVER (ORDER BY contrast DESC, term) AS rnk FROM sc) WHERE rnk <= 100""")
 def tfidf_contrast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinguishing terms of toxic (negative) vs other labelled documents."""
-    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    d = documents(spark, sf_dir, "doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
     return tfidf_contrast(d.join(lab, "doc_id"), "doc_id", "text", "label")
 
@@ -240,7 +236,7 @@ def _replace_sql(expr: str) -> str:
   md5({_replace_sql('text')}) AS text_md5 FROM documents""")
 def emoji_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T4: mapped characters replaced by their names across whole documents."""
-    d = table(spark, sf_dir, "documents")
+    d = documents(spark, sf_dir, "doc_id", "text")
     m = X.replace_chars("text", CHAR_NAMES)
     return d.select("doc_id", F.length(m).cast("long").alias("n_chars_mapped"), F.md5(m).alias("text_md5"))
 
