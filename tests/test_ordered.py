@@ -22,7 +22,7 @@ def _collect(df):
 
 def test_gap_exactly_threshold_stays_in_session(spark):
     v = _visits(spark, [(1, 0), (1, 1800), (1, 3601), (2, 0)])
-    out = _collect(gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=3))
+    out = _collect(gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=3, strategy="scan"))
     assert out[0] == (0.0, 0)
     assert out[1] == (1800.0, 0)          # exactly the gap: same session
     assert out[2] == (1801.0, 1)          # one second more: new session
@@ -34,7 +34,7 @@ def test_hot_key_split_over_many_partitions_matches_window(spark):
     rows = [(7, i * 1000 + (900 if i % 5 == 0 else 0)) for i in range(400)]
     rows += [(k, s) for k in range(20) for s in (0, 50, 4000)]
     v = _visits(spark, rows)
-    a = gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=17)
+    a = gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=17, strategy="scan")
     b = gap_sessions_window(v, "ts", "event_id", 1800, key="visitor")
     assert _collect(a) == _collect(b)
     # the hot key really is cut across partitions
@@ -46,7 +46,7 @@ def test_hot_key_split_over_many_partitions_matches_window(spark):
 def test_global_timeline_without_key(spark):
     rows = [(0, s) for s in (0, 10, 4000, 4005, 9000, 9001, 20000)]
     v = _visits(spark, rows)
-    a = gap_sessions(v, "ts", "event_id", 1800, key=None, num_partitions=4)
+    a = gap_sessions(v, "ts", "event_id", 1800, key=None, num_partitions=4, strategy="scan")
     b = gap_sessions_window(v, "ts", "event_id", 1800, key=None)
     assert _collect(a) == _collect(b)
     assert max(s for _, s in _collect(a).values()) == 3
@@ -54,7 +54,7 @@ def test_global_timeline_without_key(spark):
 
 def test_sessions_partition_the_rows(spark):
     v = _visits(spark, [(k % 3, k * 700) for k in range(60)])
-    s = gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=5)
+    s = gap_sessions(v, "ts", "event_id", 1800, key="visitor", num_partitions=5, strategy="scan")
     assert s.count() == 60
     assert s.select("event_id").distinct().count() == 60
 
@@ -65,3 +65,11 @@ def test_global_row_number_matches_window(spark):
     got = {r.id: r.rn for r in global_row_number(df, order, num_partitions=6).collect()}
     want = {r.id: r.rn for r in df.withColumn("rn", F.row_number().over(Window.orderBy(*order))).collect()}
     assert got == want
+
+
+def test_auto_strategy_uses_measured_bound(spark):
+    rows = [(1, s) for s in range(0, 40000, 1000)] + [(2, 0)]
+    v = _visits(spark, rows)
+    small = gap_sessions(v, "ts", "event_id", 1800, key="visitor")                      # window
+    forced = gap_sessions(v, "ts", "event_id", 1800, key="visitor", max_group_rows=10)  # scan
+    assert _collect(small) == _collect(forced)

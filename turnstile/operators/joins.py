@@ -23,9 +23,20 @@ def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def maybe_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
                     known_small: bool = False) -> DataFrame:
-    return F.broadcast(df) if (known_small or small_enough(df, max_rows)) else df
+    """Broadcast hint for a side whose size is bounded by construction
+    (literal tables, calendars, dimension lists).  Otherwise the side is left
+    to AQE, which turns the shuffle join into a broadcast join at run time
+    only when the measured shuffle output is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` - a size check on the
+    real data without an extra job.  ``max_rows`` forces an explicit row-count
+    check instead."""
+    if known_small:
+        return F.broadcast(df)
+    if max_rows is not None:
+        return F.broadcast(df) if small_enough(df, max_rows) else df
+    return df
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: Sequence[str],
@@ -36,7 +47,7 @@ def equi_join(left: DataFrame, right: DataFrame, left_on: Sequence[str],
     ``broadcast_right=None`` lets Catalyst decide from statistics; ``True``
     broadcasts after a size check."""
     if broadcast_right:
-        right = maybe_broadcast(right)
+        right = maybe_broadcast(right, BROADCAST_MAX_ROWS)
     cond = [left[a] == right[b] for a, b in zip(left_on, right_on, strict=True)]
     return left.join(right, cond, how)
 

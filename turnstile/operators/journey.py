@@ -34,8 +34,8 @@ def day_types(calendar: DataFrame, attendance: DataFrame, covid_days: DataFrame
                    F.percentile("total", quiet_q).alias("quiet"))
     tagged = calendar.join(daily, "day", "left")
     if covid_days is not None:
-        tagged = tagged.join(maybe_broadcast(covid_days.select("day").distinct()
-                                             .withColumn("_covid", F.lit(True))), "day", "left")
+        tagged = tagged.join(covid_days.select("day").distinct()
+                             .withColumn("_covid", F.lit(True)), "day", "left")
     else:
         tagged = tagged.withColumn("_covid", F.lit(None).cast("boolean"))
     busy = F.col("total") > F.lit(q["busy"]) if q["busy"] is not None else F.lit(False)
@@ -48,7 +48,8 @@ def day_types(calendar: DataFrame, attendance: DataFrame, covid_days: DataFrame
 def with_day_type(df: DataFrame, ts: str, days: DataFrame) -> DataFrame:
     """Attach ``day_type`` by the calendar day of ``ts`` (days table is one row
     per calendar day)."""
-    d = maybe_broadcast(days.select("day", "day_type"))
+    # one row per calendar day: bounded by the time span, not by the data
+    d = maybe_broadcast(days.select("day", "day_type"), known_small=True)
     return df.withColumn("day", F.to_date(ts)).join(d, "day", "left") \
         .withColumn("day_type", F.coalesce("day_type", F.lit("normal")))
 
@@ -117,7 +118,7 @@ def aligned_changes(waits: DataFrame, slot: str = "slot", ride: str = "ride",
     aggregated, time-bounded table)."""
     slots = waits.select(slot).distinct()
     idx = slots.withColumn("_idx", F.dense_rank().over(Window.orderBy(slot)))
-    w = waits.join(maybe_broadcast(idx), slot)
+    w = waits.join(maybe_broadcast(idx, known_small=True), slot)  # one row per time slot
     prev = w.select(F.col(ride).alias("_pr"), (F.col("_idx") + 1).alias("_pidx"),
                     F.col(value).alias("_pv"))
     j = w.join(prev, (w[ride] == prev["_pr"]) & (w["_idx"] == prev["_pidx"]), "left")

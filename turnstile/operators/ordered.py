@@ -122,14 +122,43 @@ def _scan_partition(gap_seconds: float, key: str, ts: str, out_cols: list[str]):
     return fn
 
 
+# Largest group (rows) that may be ordered inside one task.
+MAX_GROUP_ROWS = 2_000_000
+
+
+def largest_group(df: DataFrame, key: str | None) -> int:
+    """Rows of the largest key group (partial aggregate of one column; the
+    whole table when there is no key)."""
+    if key is None:
+        return df.count()
+    r = df.groupBy(key).count().agg(F.max("count").alias("m")).first()
+    return int(r["m"] or 0)
+
+
 def gap_sessions(df: DataFrame, ts: str, tiebreak: str, gap_seconds: float,
                  key: str | None = None, num_partitions: int | None = None,
-                 gap_col: str = "gap_seconds", session_col: str = "session_id") -> DataFrame:
+                 gap_col: str = "gap_seconds", session_col: str = "session_id",
+                 strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
     """W1 + W2: add ``gap_col`` (seconds since the previous row of the same
     key in ``(ts, tiebreak)`` order, 0 for a key's first row) and
     ``session_col`` (0-based count of gaps ``> gap_seconds`` so far within the
     key).  ``key=None`` is one global timeline.  A gap of exactly
-    ``gap_seconds`` stays in the session."""
+    ``gap_seconds`` stays in the session.
+
+    ``strategy``: ``"scan"`` = two-pass range-partitioned scan (any skew);
+    ``"window"`` = one window task per key; ``"auto"`` measures the largest
+    key group and takes the window only when it is below ``max_group_rows``
+    (a proven bound), the scan otherwise."""
+    if strategy == "auto":
+        strategy = "window" if largest_group(df, key) <= max_group_rows else "scan"
+    if strategy == "window":
+        return gap_sessions_window(df, ts, tiebreak, gap_seconds, key, gap_col, session_col)
+    return _gap_sessions_scan(df, ts, tiebreak, gap_seconds, key, num_partitions, gap_col, session_col)
+
+
+def _gap_sessions_scan(df: DataFrame, ts: str, tiebreak: str, gap_seconds: float,
+                       key: str | None, num_partitions: int | None,
+                       gap_col: str, session_col: str) -> DataFrame:
     spark = df.sparkSession
     kcol = key if key is not None else "_gkey"
     src = df if key is not None else df.withColumn(kcol, F.lit(0).cast("int"))
@@ -190,8 +219,9 @@ def gap_sessions_window(df: DataFrame, ts: str, tiebreak: str, gap_seconds: floa
     prev = F.lag(ts).over(w)
     g = df.withColumn(gap_col, F.coalesce(
         F.timestamp_diff("MICROSECOND", prev, F.col(ts)) / 1e6, F.lit(0.0)))
-    return g.withColumn(session_col, F.sum((F.col(gap_col) > gap_seconds).cast("long"))
-                        .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    out = g.withColumn(session_col, F.sum((F.col(gap_col) > gap_seconds).cast("long"))
+                       .over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return out.select(*df.columns, gap_col, session_col)
 
 
 def _local_index():

@@ -48,7 +48,8 @@ def tfidf_contrast(docs: DataFrame, doc_id: str, text: str, label: str,
     n_neg = docs.where(F.col(label) == 1).count()
     n_pos = docs.where(F.col(label) == 0).count()
     vocab = vocab.withColumn("idf", F.log((1.0 + n_neg) / (1.0 + F.col("df"))) + 1.0)
-    w = tc.join(maybe_broadcast(vocab.select("term", "idf")), "term") \
+    # the vocabulary has at most max_features rows
+    w = tc.join(maybe_broadcast(vocab.select("term", "idf"), known_small=True), "term") \
         .withColumn("x", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("x") * F.col("x")).over(Window.partitionBy(doc_id)))
     w = w.withColumn("xn", F.col("x") / norm)

@@ -346,7 +346,7 @@ def lookup_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     a literal map (``create_map``, default)."""
     c = _t(spark, sf_dir, "customer")
     n = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    j = c.join(maybe_broadcast(n), c.c_nationkey == n.n_nationkey, "left")
+    j = c.join(maybe_broadcast(n, known_small=True), c.c_nationkey == n.n_nationkey, "left")  # 25 nations
     j = lookup(j, "c_mktsegment", {"BUILDING": 1, "AUTOMOBILE": 2, "MACHINERY": 3, "HOUSEHOLD": 4},
                "segment_code", default=-1)
     return j.select("c_custkey", F.coalesce("n_name", F.lit("UNKNOWN")).alias("nation"), "segment_code")
