@@ -224,18 +224,6 @@ def gap_sessions_window(df: DataFrame, ts: str, tiebreak: str, gap_seconds: floa
     return out.select(*df.columns, gap_col, session_col)
 
 
-def _local_index():
-    def fn(batches):
-        start = 0
-        for pdf in batches:
-            n = len(pdf)
-            pdf = pdf.copy()
-            pdf["_lidx"] = np.arange(start + 1, start + n + 1, dtype=np.int64)
-            start += n
-            yield pdf
-    return fn
-
-
 def global_row_number(df: DataFrame, order: list, out: str = "rn",
                       num_partitions: int | None = None) -> DataFrame:
     """Exact 1-based row number of ``df`` in ``order`` without a
@@ -246,10 +234,13 @@ def global_row_number(df: DataFrame, order: list, out: str = "rn",
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    parted = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-              .withColumn("_pid", F.spark_partition_id()))
-    schema = T.StructType(parted.schema.fields + [T.StructField("_lidx", T.LongType())])
-    local = parted.mapInPandas(_local_index(), schema)
+    # after the range shuffle and the in-partition sort, monotonically_increasing_id
+    # is (partition << 33) + position in the partition: the local index, JVM-side
+    local = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+             .withColumn("_mid", F.monotonically_increasing_id())
+             .withColumn("_pid", F.shiftright(F.col("_mid"), 33).cast("int"))
+             .withColumn("_lidx", F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33) + 1)
+             .drop("_mid"))
     path = scratch_dir(spark, "row-number")
     local.write.parquet(path)
     rows = spark.read.parquet(path)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.operators.joins import maybe_broadcast
+from turnstile.session import scratch_dir
 
 # Word tokens of two or more letters / digits / underscores (Unicode aware).
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -39,9 +40,14 @@ def tfidf_contrast(docs: DataFrame, doc_id: str, text: str, label: str,
     """Vocabulary and idf fitted on the ``label == 1`` documents;
     ``idf = ln((1 + n) / (1 + df)) + 1``; L2-normalised tf-idf per document;
     mean over all documents of each class; top terms of mean(1) - mean(0)."""
-    tc = term_counts(docs, doc_id, text)
+    spark = docs.sparkSession
     lab = docs.select(doc_id, label)
-    tc = tc.join(lab, doc_id)
+    # the (doc, term, tf, label) table feeds the vocabulary, the weights and the
+    # class means: it is written once under the checkpoint folder instead of
+    # tokenising the corpus again for each consumer
+    path = scratch_dir(spark, "term-counts")
+    term_counts(docs, doc_id, text).join(lab, doc_id).write.parquet(path)
+    tc = spark.read.parquet(path)
     neg = tc.where(F.col(label) == 1)
     vocab = (neg.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.desc("freq"), "term").limit(max_features))
