@@ -205,8 +205,9 @@ def text_classifier(reg_params: Sequence[float] = (0.01, 0.1), folds: int = 3, s
     ])
     lr = pipe.getStages()[-1]
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
+    # the folds x grid fits are independent jobs: evaluate them concurrently
     return CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=folds, seed=seed,
-                          evaluator=BinaryClassificationEvaluator(labelCol="label"))
+                          evaluator=BinaryClassificationEvaluator(labelCol="label"), parallelism=4)
 
 
 def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:

@@ -152,24 +152,38 @@ def ordinal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return v.withColumn("midpoint", S.map_values("bucket", WAIT_MIDPOINTS, default=37.5))
 
 
-@register("array_functions", """SELECT l_orderkey, count(*) AS n_lines,
-  count(*) FILTER (WHERE l_returnflag = 'R') AS n_returned,
-  count(*) FILTER (WHERE l_returnflag = 'A') AS n_accepted,
-  CASE WHEN count(*) FILTER (WHERE l_returnflag = 'R') > count(*) FILTER (WHERE l_returnflag = 'A') THEN 'Returned'
-       WHEN count(*) FILTER (WHERE l_returnflag = 'A') > count(*) FILTER (WHERE l_returnflag = 'R') THEN 'Accepted'
-       ELSE 'Mixed' END AS order_type
-FROM lineitem GROUP BY l_orderkey""")
+_NEG_WORDS = [w for w, v in X.LEXICON.items() if v < 0]
+_POS_WORDS = [w for w, v in X.LEXICON.items() if v > 0]
+
+
+def _list_sql(words):
+    return "[" + ", ".join(f"'{w}'" for w in words) + "]"
+
+
+@register("array_functions", r"""WITH t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\p{L}]+'), lambda x: length(x) > 0) AS toks
+  FROM documents)
+SELECT doc_id, CAST(len(toks) AS BIGINT) AS n_tokens,
+  CAST(len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_NEG_WORDS) + r""", x))) AS BIGINT) AS n_negative,
+  CAST(len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_POS_WORDS) + r""", x))) AS BIGINT) AS n_positive,
+  CASE WHEN len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_NEG_WORDS) + r""", x)))
+          > len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_POS_WORDS) + r""", x))) THEN 'Negative'
+       WHEN len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_POS_WORDS) + r""", x)))
+          > len(list_filter(toks, lambda x: list_contains(""" + _list_sql(_NEG_WORDS) + r""", x))) THEN 'Positive'
+       ELSE 'Mixed' END AS doc_type
+FROM t""")
 def array_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """F24 + F25: array size and membership counts of each order's line
-    flags (an order has a bounded number of lines), three-way label."""
-    li = _t(spark, sf_dir, "lineitem")
-    arr = li.groupBy("l_orderkey").agg(F.collect_list("l_returnflag").alias("flags"))
-    n_r = F.size(F.filter("flags", lambda x: x == "R"))
-    n_a = F.size(F.filter("flags", lambda x: x == "A"))
-    return arr.select("l_orderkey", F.size("flags").cast("long").alias("n_lines"),
-                      n_r.cast("long").alias("n_returned"), n_a.cast("long").alias("n_accepted"),
-                      F.when(n_r > n_a, "Returned").when(n_a > n_r, "Accepted").otherwise("Mixed")
-                      .alias("order_type"))
+    """F25 + F24: array length and membership counts of each document's
+    token array (arrays built per row, never collected), and the three-way
+    label from the two counters."""
+    d = documents(spark, sf_dir, "doc_id", "text").select("doc_id", X.tokens("text").alias("toks"))
+    neg = F.array(*[F.lit(w) for w in _NEG_WORDS])
+    pos = F.array(*[F.lit(w) for w in _POS_WORDS])
+    c = d.select("doc_id", F.size("toks").cast("long").alias("n_tokens"),
+                 F.size(F.filter("toks", lambda x: F.array_contains(neg, x))).cast("long").alias("n_negative"),
+                 F.size(F.filter("toks", lambda x: F.array_contains(pos, x))).cast("long").alias("n_positive"))
+    return c.withColumn("doc_type", F.when(F.col("n_negative") > F.col("n_positive"), "Negative")
+                        .when(F.col("n_positive") > F.col("n_negative"), "Positive").otherwise("Mixed"))
 
 
 @register("binary_label", """SELECT CASE WHEN l_linestatus = 'F' THEN 'Severe' ELSE 'Moderate' END AS label,
