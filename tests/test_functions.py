@@ -97,3 +97,21 @@ def test_weighted_choice_is_deterministic(spark):
     share = sum(v == "a" for v in one.values()) / len(one)
     assert 0.65 < share < 0.75
     assert math.isclose(sum(1 for _ in one), 2000)
+
+
+def test_group_quantiles_bounded_path_is_exact(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    rows = [("hot", float(v)) for v in rng.integers(0, 300, 5000)]          # many duplicates
+    rows += [("one", 4.0), ("two", 1.0), ("two", 3.0)]
+    rows += [("wide", float(v)) for v in rng.normal(size=700)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    qs, names = [0.25, 0.3, 0.5, 0.75], ["a", "b", "c", "d"]
+    fast = {r.g: tuple(r[n] for n in names) for r in A.group_quantiles(df, ["g"], "x", qs, names).collect()}
+    slow = {r.g: tuple(r[n] for n in names)
+            for r in A.group_quantiles(df, ["g"], "x", qs, names, max_distinct=0, accuracy=50).collect()}
+    for g in fast:
+        vals = np.array([x for k, x in rows if k == g])
+        want = tuple(np.quantile(vals, q) for q in qs)
+        assert np.allclose(fast[g], want, rtol=0, atol=1e-9), g
+        assert np.allclose(slow[g], want, rtol=0, atol=1e-9), g

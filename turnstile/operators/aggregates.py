@@ -63,11 +63,8 @@ def box_summary(df: DataFrame, key: str, value: str) -> DataFrame:
     (pandas / ``quantile_cont``); the per-group stats are joined back on the
     group key (one row per group)."""
     src = drop_null_keys(df, [key]).where(F.col(value).isNotNull())
-    q = src.groupBy(key).agg(
-        F.percentile(value, 0.25).alias("q1"),
-        F.percentile(value, 0.5).alias("median"),
-        F.percentile(value, 0.75).alias("q3"),
-    ).withColumn("iqr", F.col("q3") - F.col("q1")) \
+    q = group_quantiles(src, [key], value, [0.25, 0.5, 0.75], ["q1", "median", "q3"]) \
+        .withColumn("iqr", F.col("q3") - F.col("q1")) \
      .withColumn("lo_fence", F.col("q1") - 1.5 * F.col("iqr")) \
      .withColumn("hi_fence", F.col("q3") + 1.5 * F.col("iqr"))
     j = src.join(q, key)
@@ -95,3 +92,63 @@ def nps(answer: str, yes: str = "Yes", no: str = "No") -> Column:
     a = F.col(answer)
     return F.try_divide((F.count(F.when(a == yes, 1)) - F.count(F.when(a == no, 1))) * 100.0,
                         F.count(a).cast("double"))
+
+
+# Largest number of distinct values per group for Spark's exact ``percentile``
+# (its buffer is a value -> count map per group).
+MAX_DISTINCT_PER_GROUP = 1_000_000
+
+
+def group_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequence[float],
+                    names: Sequence[str], max_distinct: int = MAX_DISTINCT_PER_GROUP,
+                    accuracy: int = 100_000) -> DataFrame:
+    """Exact, linearly interpolated quantiles per group (the
+    pandas / ``quantile_cont`` definition).
+
+    The widest group is measured with HLL sketches (a partial aggregate).  If
+    every group has at most ``max_distinct`` distinct values, Spark's exact
+    ``percentile`` is used.  Otherwise each target rank is bracketed by
+    ``percentile_approx`` (rank error <= n / accuracy), only the rows inside
+    the bracket are aggregated to (value, count), and the exact value is read
+    off the cumulative counts - memory per group is bounded by the bracket,
+    not by the group.  A bracket that misses its rank falls back to
+    ``percentile`` for correctness."""
+    src = df.where(F.col(value).isNotNull())
+    widest = scalar_row(src.groupBy(*group).agg(F.approx_count_distinct(value).alias("d")),
+                        F.max("d").alias("m"))["m"] or 0
+    if widest <= max_distinct:
+        return src.groupBy(*group).agg(*[F.percentile(value, q).alias(n) for q, n in zip(qs, names)])
+    out = None
+    for q, n in zip(qs, names):
+        part = _quantile_by_rank_window(src, list(group), value, q, n, accuracy)
+        out = part if out is None else out.join(part, list(group))
+    return out
+
+
+def _quantile_by_rank_window(src: DataFrame, group: list[str], value: str, q: float, name: str,
+                             accuracy: int) -> DataFrame:
+    e = 3.0 / accuracy
+    st = src.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(value, F.array(F.lit(max(0.0, q - e)), F.lit(min(1.0, q + e))), accuracy).alias("_b"))
+    st = (st.withColumn("_lo", F.col("_b")[0]).withColumn("_hi", F.col("_b")[1])
+          .withColumn("_h", (F.col("_n") - 1) * F.lit(q))
+          .withColumn("_k0", F.floor("_h")).withColumn("_k1", F.ceil("_h")).drop("_b"))
+    j = src.join(st, group)
+    below = F.col(value) < F.col("_lo")
+    inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
+    c_lo = j.groupBy(*group).agg(F.count(F.when(below, 1)).alias("_clo"))
+    win = j.where(inside).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
+    win = win.join(c_lo, group).join(st, group)
+    w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
+    win = win.withColumn("_end", F.col("_clo") + F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
+
+    def at(k):
+        return F.min(F.when((F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end")), F.col(value)))
+    r = win.groupBy(*group, "_h", "_k0", "_k1").agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"))
+    res = (F.when(F.col("_k0") == F.col("_k1"), F.col("_v0"))
+           .otherwise((F.col("_k1") - F.col("_h")) * F.col("_v0") + (F.col("_h") - F.col("_k0")) * F.col("_v1")))
+    r = r.select(*group, res.alias(name), (F.col("_v0").isNull() | F.col("_v1").isNull()).alias("_miss"))
+    if r.where("_miss").limit(1).count() > 0:
+        return src.groupBy(*group).agg(F.percentile(value, q).alias(name))
+    return r.drop("_miss")

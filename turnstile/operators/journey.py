@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.functions.scalars import safe_corr
-from turnstile.operators.aggregates import scalar_row
+from turnstile.operators.aggregates import group_quantiles, scalar_row
 from turnstile.operators.joins import maybe_broadcast
 
 
@@ -58,7 +58,7 @@ def below_group_quantile(df: DataFrame, group: Sequence[str], value: str, q: flo
                          out: str) -> DataFrame:
     """G7 + J10 (F31): ``value < quantile_q(value) of its group``; a group
     without a threshold means +inf (always True for a non-null value)."""
-    thr = df.groupBy(*group).agg(F.percentile(value, q).alias("_thr"))
+    thr = group_quantiles(df, list(group), value, [q], ["_thr"])
     j = df.join(maybe_broadcast(thr), list(group), "left")
     flag = F.col(value) < F.coalesce(F.col("_thr"), F.lit(float("inf")))
     return j.withColumn(out, F.coalesce(flag, F.lit(False))).drop("_thr")

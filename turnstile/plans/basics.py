@@ -301,8 +301,8 @@ def distinct_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 def group_quantile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Exact linear quantiles per group."""
     v = A.drop_null_keys(visits(spark, sf_dir), ["ride"])
-    return v.groupBy("ride").agg(F.round(F.percentile("wait", 0.25), 6).alias("q25"),
-                                 F.round(F.percentile("wait", 0.3), 6).alias("q30"))
+    q = A.group_quantiles(v, ["ride"], "wait", [0.25, 0.3], ["q25", "q30"])
+    return q.select("ride", F.round("q25", 6).alias("q25"), F.round("q30", 6).alias("q30"))
 
 
 @register("daily_quantiles", """WITH d AS (SELECT CAST(o_orderdate AS DATE) AS day, sum(o_totalprice) AS total

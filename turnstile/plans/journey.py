@@ -239,9 +239,10 @@ def wait_tolerance(spark: SparkSession, sf_dir: str) -> DataFrame:
   round(median(wait), 6) AS median_wait FROM waits GROUP BY 1, 2""", VISITS, WAITS_SQL))
 def median_by_slot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Median wait per time of day and ride (long form of the pivot)."""
-    w = waits(spark, sf_dir)
-    return w.groupBy(F.date_format("slot", "HH:mm").alias("deb_time"), "ride") \
-        .agg(F.round(F.median("wait"), 6).alias("median_wait"))
+    from turnstile.operators.aggregates import group_quantiles
+    w = waits(spark, sf_dir).withColumn("deb_time", F.date_format("slot", "HH:mm"))
+    m = group_quantiles(w, ["deb_time", "ride"], "wait", [0.5], ["median_wait"])
+    return m.select("deb_time", "ride", F.round("median_wait", 6).alias("median_wait"))
 
 
 @register("ride_corr_groups", with_ctes("SELECT ride, round(corr, 6) AS corr, ride_group FROM rgroups",
