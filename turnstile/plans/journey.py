@@ -346,10 +346,14 @@ def sequence_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     and would need every pair)."""
     f = _flagged_visits(spark, sf_dir)
     keys = ["visitor", "session_id"]
-    c = f.groupBy(*keys, "ride").agg(F.count(F.lit(1)).alias("c"))
-    visit = f.groupBy(*keys).agg((F.avg(F.col("low_wait").cast("int")) > 0.6).alias("express"))
-    nrm = c.groupBy(*keys).agg(F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
-    u = (c.join(nrm, keys).join(visit, keys)
+    # one aggregate of the visit rows feeds everything: ride counts per visit
+    # and, summed over rides, the visit's length, low-wait count and norm
+    c = f.groupBy(*keys, "ride").agg(F.count(F.lit(1)).alias("c"),
+                                     F.sum(F.col("low_wait").cast("long")).alias("low"))
+    visit = c.groupBy(*keys).agg(
+        (F.sum("low") / F.sum("c") > 0.6).alias("express"),
+        F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
+    u = (c.join(visit, keys)
          .groupBy("express", "ride").agg(F.sum(F.col("c") / F.col("norm")).alias("s")))
     s2 = u.groupBy("express").agg(F.sum(F.col("s") * F.col("s")).alias("s2"))
     n = visit.groupBy("express").agg(F.count(F.lit(1)).alias("n_visits"))
