@@ -48,13 +48,20 @@ PROMOS_SQL = values_cte("promos", ["event_id", "event", "start_date", "end_date"
                         PROMOS, ["BIGINT", "VARCHAR", "DATE", "DATE"])
 
 
+def review_span() -> tuple[dt.date, dt.date]:
+    """First and last day any promo window covers (before windows included)."""
+    lo = min(dt.date.fromisoformat(s) - (dt.date.fromisoformat(e) - dt.date.fromisoformat(s)) for _, _, s, e in PROMOS)
+    hi = max(dt.date.fromisoformat(e) for _, _, _, e in PROMOS)
+    return lo, hi
+
+
 def promos(spark: SparkSession) -> DataFrame:
     rows = [(i, n, dt.date.fromisoformat(s), dt.date.fromisoformat(e)) for i, n, s, e in PROMOS]
     return spark.createDataFrame(rows, _PROMO_SCHEMA)
 
 
 def _windowed(spark, sf_dir, phase, bucket_broadcast=True):
-    r = reviews(spark, sf_dir)
+    r = reviews(spark, sf_dir, date_range=review_span())
     p = promos(spark)
     w = campaigns.review_windows(p).where(F.col("phase") == phase)
     r = r.where(F.col("branch") == BRANCH)
@@ -115,7 +122,7 @@ FROM promos p LEFT JOIN agg a ON p.event_id = a.event_id"""
 
 
 def change(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return campaigns.change_in_reviews(reviews(spark, sf_dir), promos(spark), BRANCH)
+    return campaigns.change_in_reviews(reviews(spark, sf_dir, date_range=review_span()), promos(spark), BRANCH)
 
 
 @register("campaign_change", CHANGE_SQL)

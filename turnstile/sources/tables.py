@@ -38,9 +38,17 @@ def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
     return spread(d.select(*cols) if cols else d)
 
 
-def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews role: (review_id, written_date, branch, rating, polarity)."""
+def reviews(spark: SparkSession, sf_dir: str, date_range=None) -> DataFrame:
+    """Reviews role: (review_id, written_date, branch, rating, polarity).
+    ``date_range=(first, last)`` (dates) filters the raw order date so the
+    predicate reaches the parquet scan (row-group / partition pruning)."""
     o = table(spark, sf_dir, "orders")
+    if date_range is not None:
+        import datetime as _dt
+        lo, hi = date_range
+        o = o.where((o.o_orderdate >= F.lit(_dt.datetime.combine(lo, _dt.time())).cast("timestamp_ntz"))
+                    & (o.o_orderdate < F.lit(_dt.datetime.combine(hi + _dt.timedelta(days=1), _dt.time()))
+                       .cast("timestamp_ntz")))
     return o.select(
         o.o_orderkey.alias("review_id"),
         F.to_date(o.o_orderdate).alias("written_date"),
