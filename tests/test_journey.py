@@ -81,3 +81,46 @@ def test_entropy_natural_log(spark):
                                  "visitor long, session_id long, ride string")
     e = {r.visitor: r.entropy for r in J.sequence_entropy(rows, ["visitor", "session_id"], "ride").collect()}
     assert abs(e[1] - np.log(2)) < 1e-12 and abs(e[2]) < 1e-12
+
+
+def test_outflow_by_group_equals_pivot_loops(spark):
+    # brute force in the reference's shape: per group, pivot, diff, family subset, pair loops
+    rng = np.random.default_rng(11)
+    rides = ["r0", "r1", "r2", "ref"]
+    rows = [(g, h, r, float(rng.integers(0, 60))) for g in ("normal", "covid") for h in range(30)
+            for r in rides if rng.random() < 0.9]
+    w = spark.createDataFrame([(g, H + dt.timedelta(hours=h + (0 if g == "normal" else 100)), r, v)
+                               for g, h, r, v in rows], "day_type string, slot timestamp_ntz, ride string, wait double")
+    got = {(r.day_type, r.ride): r.outflow for r in J.outflow_by_group(w, "ref").collect()}
+    want = {}
+    for g in ("normal", "covid"):
+        table = {}
+        for gg, h, r, v in rows:
+            if gg == g:
+                table.setdefault(h, {})[r] = v
+        hours = sorted(table)
+        if g == "covid":
+            keep = rides
+        else:
+            def series(r):
+                return [table[h].get(r) for h in hours]
+            ref = series("ref")
+            keep = []
+            for r in rides:
+                pairs = [(a, b) for a, b in zip(series(r), ref) if a is not None and b is not None]
+                xs, ys = np.array([p[0] for p in pairs]), np.array([p[1] for p in pairs])
+                c = np.corrcoef(xs, ys)[0, 1] if xs.std() > 0 and ys.std() > 0 else np.nan
+                if c < 0.5:
+                    keep.append(r)
+        for a in keep:
+            n = 0
+            for i in range(1, len(hours)):
+                cur, prev = table[hours[i]], table[hours[i - 1]]
+                da = cur[a] - prev[a] if a in cur and a in prev else None
+                if da is None or da >= 0:
+                    continue
+                for b in keep:
+                    if b != a and b in cur and b in prev and cur[b] - prev[b] > 0:
+                        n += 1
+            want[(g, a)] = n
+    assert got == want

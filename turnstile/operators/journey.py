@@ -99,30 +99,36 @@ def sequence_entropy(rows: DataFrame, visit_keys: Sequence[str], item: str) -> D
 # ----------------------------------------------------------------- ride moves
 
 def ride_correlation(waits: DataFrame, reference: str, slot: str = "slot",
-                     ride: str = "ride", value: str = "wait") -> DataFrame:
+                     ride: str = "ride", value: str = "wait", by: Sequence[str] = ()) -> DataFrame:
     """Correlation of every ride's wait series with the reference ride
-    on common slots (pairwise complete).  The reference series has one row per
-    slot, so the join is many-to-one and never multiplies rows."""
-    ref = waits.where(F.col(ride) == reference).select(F.col(slot), F.col(value).alias("_ref"))
-    j = waits.join(ref, slot)
-    c = j.groupBy(ride).agg(safe_corr(value, "_ref").alias("corr"))
+    on common slots (pairwise complete), optionally per ``by`` group.  The
+    reference series has one row per slot, so the join is many-to-one and
+    never multiplies rows."""
+    by = list(by)
+    ref = waits.where(F.col(ride) == reference).select(*by, F.col(slot), F.col(value).alias("_ref"))
+    j = waits.join(ref, by + [slot])
+    c = j.groupBy(*by, ride).agg(safe_corr(value, "_ref").alias("corr"))
     return c.withColumn("ride_group", F.when(F.col("corr") >= 0.5, "youth")
                         .when(F.col("corr") < 0.5, "family"))
 
 
 def aligned_changes(waits: DataFrame, slot: str = "slot", ride: str = "ride",
-                    value: str = "wait") -> DataFrame:
+                    value: str = "wait", by: Sequence[str] = ()) -> DataFrame:
     """Change of each ride against the previous slot *of the whole
     table* (not the ride's own previous row); NULL when the ride has no value
     in the previous slot.  Slots are numbered over the distinct slots (an
     aggregated, time-bounded table)."""
-    slots = waits.select(slot).distinct()
-    idx = slots.withColumn("_idx", F.dense_rank().over(Window.orderBy(slot)))
-    w = waits.join(maybe_broadcast(idx, known_small=True), slot)  # one row per time slot
-    prev = w.select(F.col(ride).alias("_pr"), (F.col("_idx") + 1).alias("_pidx"),
-                    F.col(value).alias("_pv"))
-    j = w.join(prev, (w[ride] == prev["_pr"]) & (w["_idx"] == prev["_pidx"]), "left")
-    return j.select(slot, ride, value, "_idx", (F.col(value) - F.col("_pv")).alias("change"))
+    by = list(by)
+    slots = waits.select(*by, slot).distinct()
+    idx = slots.withColumn("_idx", F.dense_rank().over(Window.partitionBy(*by).orderBy(slot)))
+    w = waits.join(maybe_broadcast(idx, known_small=True), by + [slot])  # one row per time slot
+    prev = w.select(*[F.col(b).alias(f"_p_{b}") for b in by], F.col(ride).alias("_pr"),
+                    (F.col("_idx") + 1).alias("_pidx"), F.col(value).alias("_pv"))
+    cond = (w[ride] == prev["_pr"]) & (w["_idx"] == prev["_pidx"])
+    for b in by:
+        cond = cond & (w[b] == prev[f"_p_{b}"])
+    j = w.join(prev, cond, "left")
+    return j.select(*by, slot, ride, value, "_idx", (F.col(value) - F.col("_pv")).alias("change"))
 
 
 def co_movement(changes: DataFrame, rides: Sequence[str], slot: str = "slot",
@@ -147,6 +153,27 @@ def co_movement(changes: DataFrame, rides: Sequence[str], slot: str = "slot",
             .select("from_ride", "to_ride", F.coalesce(F.col("moves"), F.lit(0)).cast("long").alias("moves")))
 
 
+def outflow_by_group(waits: DataFrame, reference: str, group: str = "day_type",
+                     all_rides_group: str = "covid") -> DataFrame:
+    """M17 + M18 per group (day type): each group has its own timeline of
+    slots; moves are counted among the family rides (correlation with the
+    reference ride < .5 within the group), among all rides in
+    ``all_rides_group``.  A ride's outflow is the number of (slot, to) pairs
+    where it fell and ``to`` rose, i.e. the sum over the slots where it fell
+    of the number of kept rides that rose - no pairs are formed.  Kept rides
+    without moves have outflow 0."""
+    ch = aligned_changes(waits, by=[group])
+    rc = ride_correlation(waits, reference, by=[group])
+    rides = waits.select(group, "ride").distinct().join(rc, [group, "ride"], "left")
+    kept = rides.where((F.col(group) == all_rides_group) | (F.col("corr") < 0.5)).select(group, "ride")
+    kc = ch.join(kept, [group, "ride"], "left_semi")
+    n_rise = kc.groupBy(group, "slot").agg(F.count(F.when(F.col("change") > 0, 1)).alias("n_rise"))
+    fo = (kc.where(F.col("change") < 0).join(n_rise, [group, "slot"])
+          .groupBy(group, "ride").agg(F.sum("n_rise").alias("_o")))
+    return kept.join(fo, [group, "ride"], "left").select(
+        group, "ride", F.coalesce(F.col("_o"), F.lit(0)).cast("long").alias("outflow"))
+
+
 def transition_probs(moves: DataFrame) -> DataFrame:
     """Row-normalised move counts; a ride without outflow keeps a zero
     row."""

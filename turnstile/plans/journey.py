@@ -361,3 +361,56 @@ def sequence_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     nv = F.col("n_visits")
     return j.select("express", "n_visits", F.round(F.when(nv > 1, (F.col("s2") - nv) / (nv * (nv - 1))), 6)
                     .alias("mean_similarity"))
+
+
+@register("wait_outflow_by_day_type", with_ctes(f"""wd AS (
+  SELECT w.slot, w.ride, w.wait, coalesce(d.day_type, 'normal') AS day_type
+  FROM waits w LEFT JOIN day_types d ON CAST(w.slot AS DATE) = d.day),
+sidx AS (SELECT day_type, slot, dense_rank() OVER (PARTITION BY day_type ORDER BY slot) AS idx
+  FROM (SELECT DISTINCT day_type, slot FROM wd)),
+wi AS (SELECT wd.*, s.idx FROM wd JOIN sidx s USING (day_type, slot)),
+chg AS (SELECT a.day_type, a.slot, a.ride, a.wait - b.wait AS change
+  FROM wi a LEFT JOIN wi b ON a.day_type = b.day_type AND a.ride = b.ride AND a.idx = b.idx + 1),
+dref AS (SELECT day_type, slot, wait AS ref_wait FROM wd WHERE ride = '{REFERENCE_RIDE}'),
+drc AS (SELECT w.day_type, w.ride, covar_pop(w.wait, r.ref_wait) / nullif(
+    stddev_pop(CASE WHEN r.ref_wait IS NOT NULL THEN w.wait END) *
+    stddev_pop(CASE WHEN w.wait IS NOT NULL THEN r.ref_wait END), 0) AS corr
+  FROM wd w JOIN dref r USING (day_type, slot) GROUP BY 1, 2),
+kept AS (SELECT r.day_type, r.ride FROM (SELECT DISTINCT day_type, ride FROM wd) r
+  LEFT JOIN drc c USING (day_type, ride) WHERE r.day_type = 'covid' OR c.corr < 0.5),
+kc AS (SELECT c.* FROM chg c JOIN kept USING (day_type, ride)),
+nr AS (SELECT day_type, slot, count(*) FILTER (WHERE change > 0) AS n_rise FROM kc GROUP BY 1, 2),
+fo AS (SELECT c.day_type, c.ride, sum(nr.n_rise) AS o FROM kc c JOIN nr USING (day_type, slot)
+  WHERE c.change < 0 GROUP BY 1, 2),
+outflow AS (SELECT k.day_type, k.ride, coalesce(fo.o, 0) AS outflow FROM kept k LEFT JOIN fo USING (day_type, ride)),
+top AS (SELECT ride FROM (SELECT ride, count(*) AS n FROM visits WHERE ride IS NOT NULL GROUP BY ride)
+  ORDER BY n DESC, ride LIMIT {TOP_RIDES}),
+ao AS (SELECT d.day_type, a.avg_outflow_top3 FROM (SELECT DISTINCT day_type FROM wd) d LEFT JOIN (
+  SELECT day_type, avg(outflow) AS avg_outflow_top3 FROM outflow WHERE ride IN (SELECT ride FROM top)
+  GROUP BY day_type) a USING (day_type)),
+sub AS (SELECT * FROM visits WHERE ride IN (SELECT ride FROM top)),
+{_sess_sql(SESSION_GAP_S, 'sub', 'ss')},
+vw AS (SELECT ss.visitor, ss.session_id, coalesce(d.day_type, 'normal') AS day_type, avg(wait) AS avg_wait
+  FROM ss LEFT JOIN day_types d ON CAST(ss.ts AS DATE) = d.day GROUP BY 1, 2, 3),
+aw AS (SELECT day_type, avg(avg_wait) AS avg_wait_top3 FROM vw GROUP BY day_type)
+SELECT aw.day_type, round(aw.avg_wait_top3, 6) AS avg_wait_top3, round(ao.avg_outflow_top3, 6) AS avg_outflow_top3
+FROM aw JOIN ao USING (day_type)""", DAYS_SQL, WAITS_SQL))
+def wait_outflow_by_day_type(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M18 + J5: per day type, the mean outflow of the top-3 rides (moves on
+    that day type's own timeline, family rides only except on covid days)
+    joined to the mean wait on the top-3 rides (M21)."""
+    days = day_table(spark, sf_dir)
+    w = J.with_day_type(waits(spark, sf_dir), "slot", days)
+    out = J.outflow_by_group(w.select("day_type", "slot", "ride", "wait"), REFERENCE_RIDE)
+    v = visits(spark, sf_dir)
+    top = (v.where(F.col("ride").isNotNull()).groupBy("ride").agg(F.count(F.lit(1)).alias("n"))
+           .orderBy(F.desc("n"), "ride").limit(TOP_RIDES).select("ride"))
+    ao = (w.select("day_type").distinct()
+          .join(out.join(F.broadcast(top), "ride", "left_semi").groupBy("day_type")  # <= 3 rides
+                .agg(F.avg("outflow").alias("avg_outflow_top3")), "day_type", "left"))
+    sub = v.join(F.broadcast(top), "ride", "left_semi")
+    s = J.with_day_type(sessionized(spark, sf_dir, src=sub), "ts", days)
+    vw = s.groupBy("visitor", "session_id", "day_type").agg(F.avg("wait").alias("avg_wait"))
+    aw = vw.groupBy("day_type").agg(F.avg("avg_wait").alias("avg_wait_top3"))
+    return aw.join(ao, "day_type").select("day_type", F.round("avg_wait_top3", 6).alias("avg_wait_top3"),
+                                          F.round("avg_outflow_top3", 6).alias("avg_outflow_top3"))
