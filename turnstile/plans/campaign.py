@@ -88,11 +88,13 @@ WHERE r.branch = 'F' AND w.phase = '{phase}' AND w.lo <= w.hi"""
 
 @register("campaign_during", _WINDOWED_SQL.format(phase="during"))
 def campaign_during(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of the branch written during each promo (month-bucketed interval join)."""
     return _windowed(spark, sf_dir, "during")
 
 
 @register("campaign_before", _WINDOWED_SQL.format(phase="before"))
 def campaign_before(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews in the shifted window [start - duration, start - 1 day]."""
     return _windowed(spark, sf_dir, "before")
 
 
@@ -127,6 +129,7 @@ def change(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("campaign_change", CHANGE_SQL)
 def campaign_change(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G26 (J6 + J7, F3 event key): during minus before per promo."""
     return change(spark, sf_dir)
 
 

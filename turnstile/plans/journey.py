@@ -125,7 +125,8 @@ SELECT slot, ride, wait, day_type,
        coalesce(wait < coalesce(thr, CAST('inf' AS DOUBLE)), false) AS express
 FROM wd LEFT JOIN t USING (ride, day_type)""", DAYS_SQL, WAITS_SQL))
 def express_row(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """wait below the p30 of its (ride, day type)."""
+    """F31 + G7 + J10: wait below the p30 of its (ride, day type); a missing
+    threshold is +inf."""
     w = J.with_day_type(waits(spark, sf_dir), "slot", day_table(spark, sf_dir))
     e = J.below_group_quantile(w, ["ride", "day_type"], "wait", 0.3, "express")
     return e.select("slot", "ride", "wait", "day_type", "express")

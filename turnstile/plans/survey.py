@@ -22,6 +22,7 @@ _sql = with_ctes
 @register("filtered_mean", _sql("""SELECT count(*) AS n, round(avg(score), 6) AS mean_score
 FROM survey WHERE coalesce(contains(segment, 'BUILD'), false)""", SURVEY))
 def filtered_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """G1 + P9: mean over a substring-filtered subset (NULL = no match)."""
     s = survey(spark, sf_dir)
     return s.where(contains_flag("segment", "BUILD")).agg(
         F.count(F.lit(1)).alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
@@ -45,6 +46,7 @@ def value_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
        round(100.0 * n / sum(n) OVER (), 2) AS pct
 FROM (SELECT segment, count(*) AS n FROM survey WHERE segment IS NOT NULL GROUP BY segment)""", SURVEY))
 def relative_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shares over non-null values, with the rounded percent."""
     f = A.relative_frequency(survey(spark, sf_dir), "segment", "n", "share")
     return f.select("segment", "n", F.round("share", 6).alias("share"),
                     F.round(F.col("share") * 100.0, 2).alias("pct"))
@@ -113,6 +115,7 @@ _RECOMMEND_SQL = "CASE WHEN score >= 4500 THEN 'Yes' WHEN score < 1000 THEN 'No'
 FROM (SELECT region, {_RECOMMEND_SQL} AS rec FROM survey) WHERE region IS NOT NULL GROUP BY region""",
                       SURVEY))
 def nps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Net promoter score per region."""
     s = A.drop_null_keys(survey(spark, sf_dir), ["region"]).withColumn("rec", _recommend())
     return s.groupBy("region").agg(F.round(A.nps("rec"), 6).alias("nps"))
 
@@ -120,6 +123,7 @@ def nps(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kpi_ratio", _sql("""SELECT segment, round(avg(CASE WHEN score > 0 THEN 1 ELSE 0 END), 6) AS ratio
 FROM survey WHERE segment IS NOT NULL GROUP BY segment""", SURVEY))
 def kpi_ratio(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of a boolean per group."""
     s = A.drop_null_keys(survey(spark, sf_dir), ["segment"])
     return s.groupBy("segment").agg(
         F.round(F.avg(F.coalesce(F.col("score") > 0, F.lit(False)).cast("int")), 6).alias("ratio"))
@@ -139,6 +143,7 @@ SELECT f.segment, round(q1, 6) AS q1, round(median, 6) AS median, round(q3, 6) A
 FROM survey s JOIN f USING (segment) WHERE s.score IS NOT NULL
 GROUP BY f.segment, q1, median, q3, iqr, lo_fence, hi_fence""", SURVEY))
 def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Box-plot data per segment."""
     b = A.box_summary(survey(spark, sf_dir), "segment", "score")
     return b.select("segment", *[F.round(c, 6).alias(c) for c in
                                  ["q1", "median", "q3", "iqr", "lo_fence", "hi_fence",
@@ -149,6 +154,7 @@ def box_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
   SELECT CASE WHEN polarity = 1.0 THEN 19 ELSE CAST(floor((polarity - (-1.0)) / 0.1) AS BIGINT) END AS bin
   FROM reviews WHERE polarity BETWEEN -1.0 AND 1.0) GROUP BY bin""", REVIEWS))
 def histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixed-width polarity histogram, last bin closed."""
     h = A.histogram(reviews(spark, sf_dir), "polarity", -1.0, 1.0, 0.1)
     return h.select("bin", "bin_lo", "count")
 
@@ -188,6 +194,7 @@ def _mode_sql(col: str, key: str = "segment", src: str = "survey") -> str:
 
 @register("mode_per_group", _sql("SELECT * FROM " + _mode_sql("nation"), SURVEY))
 def mode_per_group(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Most frequent value per group, ties to the lowest."""
     s = A.drop_null_keys(survey(spark, sf_dir), ["segment"])
     return s.groupBy("segment").agg(A.mode_of("nation").alias("mode_nation"))
 
@@ -226,6 +233,7 @@ def segment_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("segment_responses", _sql("""SELECT segment, region, count(*) AS n FROM survey
 WHERE segment IS NOT NULL AND region IS NOT NULL GROUP BY segment, region""", SURVEY))
 def segment_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by (segment, answer) for grouped bars."""
     s = A.drop_null_keys(survey(spark, sf_dir), ["segment", "region"])
     return s.groupBy("segment", "region").agg(F.count(F.lit(1)).alias("n"))
 
