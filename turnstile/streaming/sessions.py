@@ -45,10 +45,23 @@ def run_stream_sessions(spark: SparkSession, source: str, schema: StructType, si
     agg = session_aggregate(stream, key, ts, value, gap, watermark)
 
     def write_batch(batch: DataFrame, epoch: int) -> None:
-        w = batch.write.mode("overwrite" if mode == "complete" else "append")
-        w.parquet(sink)
+        # idempotent under replay: complete mode rewrites the whole table,
+        # append mode overwrites the folder of its own epoch
+        if mode == "complete":
+            batch.write.mode("overwrite").parquet(sink)
+        else:
+            batch.write.mode("overwrite").parquet(f"{sink}/epoch={epoch}")
 
     q = (agg.writeStream.outputMode(mode).foreachBatch(write_batch)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(sink)
+    if mode == "complete":
+        return spark.read.parquet(sink)
+    if not _exists(spark, sink):
+        return spark.createDataFrame([], agg.schema)
+    return spark.read.parquet(sink).drop("epoch")
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    from turnstile.sources.files import path_exists
+    return path_exists(spark, path)
