@@ -2,7 +2,6 @@
 
 import math
 
-from pyspark.sql import functions as F
 
 from turnstile.functions import scalars as S
 from turnstile.functions import text as X

@@ -4,7 +4,6 @@ import datetime as dt
 import itertools
 
 import numpy as np
-from pyspark.sql import functions as F
 
 from turnstile.operators import journey as J
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from turnstile.functions import scalars as S
 from turnstile.operators import aggregates as A
 from turnstile.operators import sets as U
-from turnstile.operators.joins import equi_join, maybe_broadcast
+from turnstile.operators.joins import equi_join
 from turnstile.plans.registry import register
 from turnstile.plans.sqlbind import REVIEWS, SURVEY, VISITS, with_ctes
 from turnstile.sources.tables import reviews, survey, table, visits
