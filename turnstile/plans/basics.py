@@ -255,19 +255,22 @@ def drop_or_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
   AS n_distinct, count(*) - (SELECT count(*) FROM (SELECT DISTINCT lang, text FROM documents)) AS n_duplicates
 FROM documents""")
 def dedupe_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Duplicate count over whole rows (lang, full text)."""
+    """Duplicate count over whole rows (lang, full text).  Rows are keyed
+    by (lang, length, SHA-256 of the text) so the shuffle moves fixed-size
+    keys instead of whole documents."""
     d = _t(spark, sf_dir, "documents").select("lang", "text")
     n_rows = A.scalar_row(d, F.count(F.lit(1)).alias("n"))["n"]
-    k = d.dropDuplicates().agg(F.count(F.lit(1)).alias("n_distinct"))
+    keys = d.select("lang", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("h"))
+    k = keys.dropDuplicates().agg(F.count(F.lit(1)).alias("n_distinct"))
     return k.select(F.lit(n_rows).cast("long").alias("n_rows"), "n_distinct",
                     (F.lit(n_rows) - F.col("n_distinct")).cast("long").alias("n_duplicates"))
 
 
 @register("distinct_rows", """SELECT DISTINCT lang, md5(text) AS text_md5 FROM documents""")
 def distinct_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """U4."""
-    d = _t(spark, sf_dir, "documents").select("lang", "text").distinct()
-    return d.select("lang", F.md5("text").alias("text_md5"))
+    """U4: distinct rows of the projection (only the hashes are shuffled)."""
+    d = _t(spark, sf_dir, "documents")
+    return d.select("lang", F.md5("text").alias("text_md5")).distinct()
 
 
 # ------------------------------------------------------------------ group aggregates
