@@ -70,11 +70,15 @@ lexpol AS (SELECT d.doc_id, coalesce(m.pol, 0.0) AS polarity FROM documents d LE
 
 
 def _segmented(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = text_reviews(spark, sf_dir).select("doc_id", "written_date", "branch", "rating", "text")
-    seg = X.with_keyword_segment(t, "text", keep_text=True)
-    seg = seg.select("doc_id", "written_date", "branch", "rating", "segment", "text",
-                     S.keyword_flag("text", X.RAIN_WORDS).alias("mentions_rain"))
-    return X.with_polarity(seg, "text")
+    # score every document where it lies, then join only the small feature
+    # rows to their orders (whole texts never cross the shuffle)
+    d = documents(spark, sf_dir, "doc_id", "text")
+    seg = X.with_keyword_segment(d, "text", keep_text=True)
+    seg = seg.select("doc_id", "segment", "text", S.keyword_flag("text", X.RAIN_WORDS).alias("mentions_rain"))
+    feat = X.with_polarity(seg, "text")
+    r = reviews(spark, sf_dir).select("review_id", "written_date", "branch", "rating")
+    j = feat.join(r, feat.doc_id == r.review_id)
+    return j.select("doc_id", "written_date", "branch", "rating", "segment", "mentions_rain", "polarity")
 
 
 SEGMENTED_SQL = TEXT_REVIEWS_SQL + ", " + LEXICON_SQL + f""",
