@@ -26,10 +26,12 @@ def spread(df: DataFrame) -> DataFrame:
     scan yields fewer splits than there are cores (e.g. a file with a single
     row group).  A no-op for inputs that already have enough splits, so at
     scale it adds no shuffle."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
