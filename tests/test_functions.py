@@ -18,11 +18,11 @@ def test_severity_rules(spark):
 
 
 def test_actions_and_labels(spark):
-    df = spark.createDataFrame([(0, "Disney HK", 0.9), (1, "Disney HK", 0.9), (3, "USS", 0.5)],
+    df = spark.createDataFrame([(0, "X-east", 0.9), (1, "X-east", 0.9), (3, "Y", 0.5)],
                                "s int, b string, p double")
-    got = [r.a for r in df.select(S.recommended_action("s", "b", "p").alias("a")).collect()]
+    got = [r.a for r in df.select(S.recommended_action("s", "b", "p", "X").alias("a")).collect()]
     assert got[0] == S.NO_ACTION
-    assert got[1].startswith(S.SEVERITY_ACTIONS[1]) and got[1].endswith(S.FOCUS_DISNEY_HIGH)
+    assert got[1].startswith(S.SEVERITY_ACTIONS[1]) and got[1].endswith(S.FOCUS_MARKED_HIGH)
     assert got[2].endswith(S.FOCUS_OTHER_LOW)
 
 

@@ -156,20 +156,20 @@ SEVERITY_ACTIONS = {
     2: "Customer service team to contact and provide partial refund or free upgrade",
     3: "Management intervention, full refund or free re-visit, and root cause analysis",
 }
-FOCUS_DISNEY_HIGH = "focus on queue time management and facility maintenance"
-FOCUS_DISNEY_LOW = "focus on service quality improvement"
+FOCUS_MARKED_HIGH = "focus on queue time management and facility maintenance"
+FOCUS_MARKED_LOW = "focus on service quality improvement"
 FOCUS_OTHER_HIGH = "focus on visitor experience and facility availability"
 FOCUS_OTHER_LOW = "focus on service standardization"
 NO_ACTION = "No action needed"
 
 
-def recommended_action(severity, branch, prob, marker: str = "Disney") -> Column:
+def recommended_action(severity, branch, prob, marker: str) -> Column:
     """F34."""
     s, p = col(severity), col(prob)
     base = map_values(s, SEVERITY_ACTIONS)
-    disney = F.coalesce(col(branch).contains(marker), F.lit(False))
-    focus = (F.when(disney & (p > 0.8), FOCUS_DISNEY_HIGH)
-             .when(disney, FOCUS_DISNEY_LOW)
+    marked = F.coalesce(col(branch).contains(marker), F.lit(False))
+    focus = (F.when(marked & (p > 0.8), FOCUS_MARKED_HIGH)
+             .when(marked, FOCUS_MARKED_LOW)
              .when(p > 0.8, FOCUS_OTHER_HIGH)
              .otherwise(FOCUS_OTHER_LOW))
     return F.when(s == 0, F.lit(NO_ACTION)).otherwise(F.concat(base, F.lit(", "), focus))

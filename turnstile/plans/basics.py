@@ -25,13 +25,13 @@ def _t(spark, sf_dir, name):
 # ------------------------------------------------------------------ projections / filters
 
 @register("project_rename", """SELECT l_orderkey, l_quantity AS qty, l_discount AS disc,
-  'Disney' AS park_type FROM lineitem""")
+  'Park A' AS park_type FROM lineitem""")
 def project_rename(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P1 (rename map with an absent key), P2, P3 (tolerant drop), P13."""
     li = _t(spark, sf_dir, "lineitem")
     r = li.withColumnsRenamed({"l_quantity": "qty", "l_discount": "disc", "not_a_column": "x"})
     r = r.select("l_orderkey", "qty", "disc", "l_linenumber").drop("l_linenumber", "also_absent")
-    return r.withColumn("park_type", F.lit("Disney"))
+    return r.withColumn("park_type", F.lit("Park A"))
 
 
 @register("filter_predicates", """SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem

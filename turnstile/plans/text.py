@@ -17,7 +17,7 @@ from turnstile.plans.registry import register
 from turnstile.plans.sqlbind import REVIEWS, with_ctes
 from turnstile.sources.tables import documents, reviews, table
 
-DISNEY_MARKER = "O"   # branch code standing in for the reference's "Disney" branches
+MARKED_BRANCH = "O"   # branches containing this code get the first focus set
 
 # Character names used by the emoji / symbol mapper (T4).
 CHAR_NAMES = {"é": ":e_acute:", "è": ":e_grave:", "ç": ":c_cedilla:", "ü": ":u_umlaut:",
@@ -289,8 +289,8 @@ def severity_by_branch(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _action_sql() -> str:
     base = "CASE severity " + " ".join(f"WHEN {k} THEN '{v}'" for k, v in S.SEVERITY_ACTIONS.items()) + " END"
-    focus = (f"CASE WHEN contains(branch, '{DISNEY_MARKER}') AND p_raw > 0.8 THEN '{S.FOCUS_DISNEY_HIGH}' "
-             f"WHEN contains(branch, '{DISNEY_MARKER}') THEN '{S.FOCUS_DISNEY_LOW}' "
+    focus = (f"CASE WHEN contains(branch, '{MARKED_BRANCH}') AND p_raw > 0.8 THEN '{S.FOCUS_MARKED_HIGH}' "
+             f"WHEN contains(branch, '{MARKED_BRANCH}') THEN '{S.FOCUS_MARKED_LOW}' "
              f"WHEN p_raw > 0.8 THEN '{S.FOCUS_OTHER_HIGH}' ELSE '{S.FOCUS_OTHER_LOW}' END")
     return f"CASE WHEN severity = 0 THEN '{S.NO_ACTION}' ELSE {base} || ', ' || {focus} END"
 
@@ -301,5 +301,5 @@ def recommended_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F34 + F35."""
     s = _severity(spark, sf_dir)
     return s.select("review_id", "severity",
-                    S.recommended_action("severity", "branch", "p_raw", DISNEY_MARKER).alias("action"),
+                    S.recommended_action("severity", "branch", "p_raw", MARKED_BRANCH).alias("action"),
                     S.severity_label("severity").alias("severity_label"))
