@@ -239,4 +239,5 @@ def word_contributions(model: PipelineModel, scored: DataFrame, threshold: float
     logit = F.log(F.col("p_negative") / (1 - F.col("p_negative")))
     j = toks.join(maybe_broadcast(weights, known_small=True), "word", "left")  # <= vocabSize rows
     p_without = 1 / (1 + F.exp(-(logit - F.coalesce(F.col("w"), F.lit(0.0)))))
-    return j.select("doc_id", "pos", "word", (F.col("p_negative") - p_without).alias("contribution"))
+    return j.select("doc_id", "p_negative", "pos", "word",
+                    (F.col("p_negative") - p_without).alias("contribution"))

@@ -250,10 +250,12 @@ def word_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("review_explanations")
 def review_explanations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per negative-scored document, its 5 words with the largest
-    positive contribution (ranked per document, so at most 5 per row)."""
+    """Per negative-scored document: predicted class, confidence, and
+    its 5 words with the largest positive contribution (ranked per
+    document, so at most 5 per row)."""
     c = _contributions(spark, sf_dir).where(F.col("contribution") > 0)
     w = Window.partitionBy("doc_id").orderBy(F.desc("contribution"), "pos")
     top = c.withColumn("r", F.row_number().over(w)).where(F.col("r") <= 5)
-    return top.groupBy("doc_id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("r", "word"))), lambda x: x["word"]).alias("top_words"))
+    return top.groupBy("doc_id", "p_negative").agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("r", "word"))), lambda x: x["word"]).alias("top_words")
+    ).select("doc_id", F.lit(1).alias("predicted_class"), F.round("p_negative", 6).alias("confidence"), "top_words")
