@@ -140,10 +140,15 @@ def staff_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("staff_model")
 def staff_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M12 + M14: random forest (100 trees) on daily carried; predictions
-    rounded up to whole staff on the hold-out, with metrics."""
+    """M12 + M14 (+ S7): random forest (100 trees) on daily carried, saved
+    and loaded back; the loaded model scores the hold-out, predictions rounded
+    up to whole staff, with metrics."""
+    from pyspark.ml import PipelineModel
+    from turnstile.session import scratch_dir
     train, test = M.split_by_hash(staff_table(spark, sf_dir), "staff_key")
-    model = M.forest_pipeline(STAFF_FEATURES, "carried").fit(train)
+    path = scratch_dir(spark, "staff-model")
+    M.forest_pipeline(STAFF_FEATURES, "carried").fit(train).write().overwrite().save(path)
+    model = PipelineModel.load(path)
     pred = model.transform(test).withColumn("staff", F.ceil("prediction"))
     met = M.regression_metrics(pred, "carried")
     return met.withColumn("staff_total", F.lit(pred.agg(F.sum("staff")).first()[0]))
