@@ -114,3 +114,13 @@ def test_group_quantiles_bounded_path_is_exact(spark):
         want = tuple(np.quantile(vals, q) for q in qs)
         assert np.allclose(fast[g], want, rtol=0, atol=1e-9), g
         assert np.allclose(slow[g], want, rtol=0, atol=1e-9), g
+
+
+def test_parse_python_literal_records_with_apostrophe(spark):
+    from turnstile.plans.staffing import parse_records
+    text = ("[{'Attraction': \"Mel's Diner\", 'Queue_Time': np.float64(12.5), 'k': 3}, "
+            "{'Attraction': 'Coaster', 'Queue_Time': np.float64(0.0), 'k': 4}]")
+    df = spark.createDataFrame([(text,), ("[]",)], "t string")
+    rows = df.select(parse_records("t").alias("r")).collect()
+    assert [(x.Attraction, x.Queue_Time, x.k) for x in rows[0].r] == [("Mel's Diner", 12.5, 3), ("Coaster", 0.0, 4)]
+    assert rows[1].r == []
