@@ -23,6 +23,7 @@ def con():
 def test_query_matches_oracle(spark, con, name):
     res = compare(QUERIES[name](spark, SF_SMALL), con, SQL[name])
     assert res["match"], res
+    assert not res["type_differences"], res
 
 
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL) - HEAVY))

@@ -49,7 +49,8 @@ def top_k_per_group(df: DataFrame, keys: Sequence[str], order: list[Column], k:
     w1 = Window.partitionBy(*keys, "_salt").orderBy(*order)
     lvl1 = salted.withColumn("_r1", F.row_number().over(w1)).where(F.col("_r1") <= k)
     w2 = Window.partitionBy(*keys).orderBy(*order)
-    return lvl1.withColumn(out, F.row_number().over(w2)).where(F.col(out) <= k).drop("_salt", "_r1")
+    return (lvl1.withColumn(out, F.row_number().over(w2).cast("long")).where(F.col(out) <= k)
+            .drop("_salt", "_r1"))
 
 
 def pair_product_stats(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:

@@ -66,5 +66,5 @@ def tfidf_contrast(docs: DataFrame, doc_id: str, text: str, label: str,
                 - F.coalesce(F.col("s0"), F.lit(0.0)) / F.lit(float(max(n_pos, 1))))
     scored = vocab.select("term").join(means, "term", "left").withColumn("contrast", contrast)
     return (scored.orderBy(F.desc("contrast"), "term").limit(top)
-            .withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("contrast"), "term")))
+            .withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("contrast"), "term")).cast("long"))
             .select("term", F.round("contrast", 6).alias("contrast"), "rnk"))

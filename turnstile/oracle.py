@@ -53,6 +53,26 @@ def _rows(names, rows):
     return sorted(out, key=repr)
 
 
+_TYPE_NAMES = {"LongType": "BIGINT", "IntegerType": "INTEGER", "DoubleType": "DOUBLE", "StringType": "VARCHAR",
+               "DateType": "DATE", "TimestampNTZType": "TIMESTAMP", "BooleanType": "BOOLEAN",
+               "ShortType": "SMALLINT", "FloatType": "FLOAT", "ByteType": "TINYINT"}
+
+
+def type_differences(spark_df, con, sql: str) -> list:
+    """Columns whose Spark type does not correspond to the DuckDB type."""
+    duck = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    out = []
+    for f in spark_df.schema.fields:
+        t = type(f.dataType).__name__
+        got = duck.get(f.name)
+        if got is None:
+            continue
+        ok = got.endswith("[]") if t == "ArrayType" else _TYPE_NAMES.get(t, t) == got
+        if not ok:
+            out.append((f.name, t, got))
+    return out
+
+
 def compare(spark_df, con, sql: str) -> dict:
     s_names = spark_df.columns
     s_rows = [tuple(r) for r in spark_df.collect()]
@@ -67,6 +87,7 @@ def compare(spark_df, con, sql: str) -> dict:
         res["match"] = False
         return res
     a, b = _rows(s_names, s_rows), _rows(d_names, d_rows)
+    res["type_differences"] = type_differences(spark_df, con, sql)
     res["match"] = a == b
     if not res["match"]:
         diff_a = [x for x in a if x not in b][:3]

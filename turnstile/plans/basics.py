@@ -76,7 +76,7 @@ def head_n(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First n rows in an explicit order (TakeOrderedAndProject)."""
     o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
     top = o.orderBy("o_orderdate", "o_orderkey").limit(10)
-    return top.withColumn("rnk", F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey")))
+    return top.withColumn("rnk", F.row_number().over(Window.orderBy("o_orderdate", "o_orderkey")).cast("long"))
 
 
 # ------------------------------------------------------------------ scalar functions
@@ -328,7 +328,7 @@ def pivot_unique_check(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pivot without aggregate needs unique (index, column) keys; this
     reports the cells that would collide (``waits`` resolves them with max)."""
     v = visits(spark, sf_dir)
-    w = v.groupBy(F.date_trunc("hour", "ts").alias("slot"), "ride").agg(F.count(F.lit(1)).alias("n"))
+    w = v.groupBy(F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot"), "ride").agg(F.count(F.lit(1)).alias("n"))
     dup = F.col("n") > 1
     return w.agg(F.count(F.lit(1)).alias("n_cells"), F.count(F.when(dup, 1)).alias("n_duplicate_cells"),
                  F.coalesce(F.sum(F.when(dup, F.col("n"))), F.lit(0)).cast("long").alias("n_rows_in_duplicates"))
@@ -447,7 +447,7 @@ def sorted_frequencies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """L4: frequency table sorted by its key (window over the aggregate)."""
     o = A.drop_null_keys(_t(spark, sf_dir, "orders"), ["o_orderpriority"])
     f = o.groupBy("o_orderpriority").agg(F.count(F.lit(1)).alias("n"))
-    return f.withColumn("rnk", F.row_number().over(Window.orderBy("o_orderpriority")))
+    return f.withColumn("rnk", F.row_number().over(Window.orderBy("o_orderpriority")).cast("long"))
 
 
 _CORR_TARGETS = ["l_quantity", "l_discount", "l_tax"]
@@ -463,7 +463,7 @@ def sorted_correlations(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = _t(spark, sf_dir, "lineitem")
     wide = li.agg(*[F.round(S.safe_corr(c, "l_extendedprice"), 6).alias(c) for c in _CORR_TARGETS])
     long = wide.unpivot([], _CORR_TARGETS, "col", "corr")
-    return long.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("corr"), "col")))
+    return long.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("corr"), "col")).cast("long"))
 
 
 @register("top_k_per_group", """SELECT o_orderstatus, o_orderkey, o_totalprice, rnk FROM (

@@ -187,7 +187,7 @@ def feature_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     pred = model.transform(st)
     wide = pred.agg(*[F.round(safe_corr(c, "prediction"), 6).alias(c) for c in STAFF_FEATURES])
     long = wide.unpivot([], STAFF_FEATURES, "feature", "corr")
-    return long.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc_nulls_last("corr"), "feature")))
+    return long.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc_nulls_last("corr"), "feature")).cast("long"))
 
 
 @register("weather_regression")
@@ -250,7 +250,7 @@ def word_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = _contributions(spark, sf_dir)
     g = c.groupBy("word").agg(F.count(F.lit(1)).alias("n"), F.avg("contribution").alias("mean_contribution"))
     top = g.where(F.col("n") >= 3).orderBy(F.desc("mean_contribution"), "word").limit(20)
-    return top.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("mean_contribution"), "word")))
+    return top.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("mean_contribution"), "word")).cast("long"))
 
 
 @register("review_explanations")

@@ -62,7 +62,7 @@ def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = A.drop_null_keys(survey(spark, sf_dir), ["nation"])
     top = s.groupBy("nation").agg(F.count(F.lit(1)).alias("n")) \
         .orderBy(F.desc("n"), "nation").limit(5)
-    return top.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("n"), "nation")))
+    return top.withColumn("rnk", F.row_number().over(Window.orderBy(F.desc("n"), "nation")).cast("long"))
 
 
 @register("corr_pair", _sql("""SELECT region, round(covar_pop(score, nationkey) /

@@ -166,7 +166,7 @@ _SEASON_LIST_SQL = "[" + ", ".join(f"'{s}'" for s in SEASON_ORDER) + "]"
   SELECT {_season_sql('month(written_date)')} AS season, count(*) AS n FROM reviews
   WHERE written_date IS NOT NULL GROUP BY 1),
 u AS (SELECT season, n FROM v UNION ALL SELECT 'Feb - Apr (2)', n FROM v WHERE season = 'Feb - Apr')
-SELECT season, CAST(sum(n) AS BIGINT) AS n, list_position({_SEASON_LIST_SQL}, season) AS season_rank
+SELECT season, CAST(sum(n) AS BIGINT) AS n, CAST(list_position({_SEASON_LIST_SQL}, season) AS BIGINT) AS season_rank
 FROM u GROUP BY season""", REVIEWS))
 def season_cycle_volume(spark: SparkSession, sf_dir: str) -> DataFrame:
     """U3 + L2: the Feb - Apr slice is appended again as "Feb - Apr (2)" so a

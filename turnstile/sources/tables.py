@@ -75,7 +75,8 @@ def visits(spark: SparkSession, sf_dir: str) -> DataFrame:
 def waits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ride-wait role: one row per (slot, ride) with the max wait of the hour."""
     v = visits(spark, sf_dir)
-    return (v.groupBy(F.date_trunc("hour", v.ts).alias("slot"), "ride")
+    # date_trunc yields a session-time-zone timestamp: cast back to wall-clock time
+    return (v.groupBy(F.date_trunc("hour", v.ts).cast("timestamp_ntz").alias("slot"), "ride")
             .agg(F.max("wait").alias("wait")))
 
 
