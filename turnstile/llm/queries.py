@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.chat import format_conversations, loss_text
 from turnstile.llm.common import table
+from turnstile.llm.mixing import mix_sources, size_weights
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
 
@@ -92,3 +93,40 @@ SELECT conv_id, count(*) AS n_turns,
   sum(n)::BIGINT AS formatted_chars
 FROM f GROUP BY conv_id
 """
+
+
+@query
+def op7_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sources mixed to the square root of their size by earliest deadline first."""
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix_sources(docs.select("doc_id", "source"), size_weights(docs))
+    return mixed.select("doc_id", "source", "block", "slot", "release", "deadline", "in_mix")
+
+
+ORACLE["op7_pfair_mixing"] = """
+WITH RECURSIVE p AS (SELECT coalesce('=' || source, '') AS source, sqrt(1.0 + sum(coalesce(length(text), 0))) AS weight,
+    count(*) AS n FROM documents GROUP BY 1),
+a AS (SELECT source, n, greatest(400, count(*) OVER ()) AS q,
+    weight / sum(weight) OVER () * (greatest(400, count(*) OVER ()) - count(*) OVER ()) AS exact, count(*) OVER () AS m FROM p),
+b AS (SELECT *, row_number() OVER (ORDER BY exact - floor(exact) DESC, source) AS rank, sum(floor(exact)) OVER () AS low FROM a),
+s AS (SELECT source, n, q, (1 + floor(exact) + CASE WHEN rank <= q - m - low THEN 1 ELSE 0 END)::BIGINT AS share,
+    row_number() OVER (ORDER BY source) AS i FROM b),
+jobs AS (SELECT i, k, k * q // share AS rel, ((k + 1) * q + share - 1) // share AS due
+    FROM s, LATERAL (SELECT unnest(range(0, share)) AS k)),
+lists AS (SELECT list(share ORDER BY i) AS sh, any_value(q) AS q FROM s),
+edf(t, nxt, pick) AS (
+  SELECT 0::BIGINT, list_transform(sh, lambda x: 0::BIGINT), 0::BIGINT FROM lists
+  UNION ALL
+  SELECT t + 1, list_transform(nxt, lambda x, j: x + CASE WHEN j = c.i THEN 1 ELSE 0 END), c.i
+  FROM (SELECT t, nxt, list_min(list_filter(list_transform(nxt, lambda x, j: CASE
+            WHEN x < sh[j] AND x * q // sh[j] <= t
+            THEN {'due': ((x + 1) * q + sh[j] - 1) // sh[j], 'i': j::BIGINT} END), lambda z: z IS NOT NULL)) AS c
+        FROM edf, lists WHERE t < q) AS o),
+pattern AS (SELECT pick AS i, t - 1 AS slot, row_number() OVER (PARTITION BY pick ORDER BY t) - 1 AS k FROM edf WHERE t > 0),
+ends AS (SELECT min(((n + 7) // 8) // share * q + slot) AS "end" FROM s JOIN pattern USING (i) WHERE k = ((n + 7) // 8) % share),
+d AS (SELECT doc_id, source, coalesce('=' || source, '') AS name,
+    (row_number() OVER (PARTITION BY source ORDER BY md5(doc_id::VARCHAR), doc_id) - 1) // 8 AS block FROM documents)
+SELECT doc_id, d.source, block, block // share * q + slot AS slot, block * q // share AS release,
+  ((block + 1) * q + share - 1) // share AS deadline, block // share * q + slot < "end" AS in_mix
+FROM d JOIN s ON d.name = s.source JOIN pattern p ON p.i = s.i AND p.k = block % share, ends
+"""
