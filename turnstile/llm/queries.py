@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from turnstile.llm.chat import format_conversations, loss_text
 from turnstile.llm.common import table
+from turnstile.llm.decontam import contaminated_documents
 from turnstile.llm.mixing import mix_sources, size_weights
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
@@ -130,3 +131,34 @@ SELECT doc_id, d.source, block, block // share * q + slot AS slot, block * q //
   ((block + 1) * q + share - 1) // share AS deadline, block // share * q + slot < "end" AS in_mix
 FROM d JOIN s ON d.name = s.source JOIN pattern p ON p.i = s.i AND p.k = block % share, ends
 """
+
+
+@query
+def op6_spaced_seed_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items of which it holds a passage."""
+    docs = table(spark, sf_dir, "documents")
+    bad = contaminated_documents(docs, table(spark, sf_dir, "benchmark"))
+    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"))
+    bad = bad.select(F.col("id").alias("bad_id"), F.col("text_hash").alias("bad_hash"), "n_items", "first_item", "equal_words")
+    both = rows.join(bad, rows["doc_id"].eqNullSafe(bad["bad_id"]) & (rows["text_hash"] == bad["bad_hash"]), "left")
+    return both.select("doc_id", F.col("n_items").isNotNull().alias("contaminated"),
+                       F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"), "first_item",
+                       F.coalesce("equal_words", F.lit(0)).cast("long").alias("equal_words"))
+
+
+# brute force: every aligned run of 13 words (or the whole item) with enough equal words
+ORACLE["op6_spaced_seed_decontamination"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'),
+      lambda x: x <> '') AS w FROM documents),
+b AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS v FROM benchmark),
+c AS (SELECT item_id, len(v) AS n, unnest(v) AS x, generate_subscripts(v, 1) AS q FROM b WHERE len(v) >= 8),
+u AS (SELECT r, unnest(w) AS x, generate_subscripts(w, 1) AS p FROM d),
+e AS (SELECT r, item_id, n, p - q AS diagonal, q FROM u JOIN c USING (x)),
+s AS (SELECT r, item_id, n, count(*) OVER (PARTITION BY r, item_id, diagonal ORDER BY q
+        RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS k,
+        q, diagonal FROM e),
+f AS (SELECT r, item_id, max(k) AS equal FROM s WHERE k >= ceil(least(13, n) * 0.8) GROUP BY r, item_id)
+SELECT doc_id, count(item_id) > 0 AS contaminated, count(item_id) AS n_items, min(item_id) AS first_item,
+  coalesce(max(equal), 0) AS equal_words
+FROM d LEFT JOIN f USING (r) GROUP BY r, doc_id
+"""
