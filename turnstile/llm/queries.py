@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from turnstile.llm.chat import format_conversations, loss_text
 from turnstile.llm.common import table
 from turnstile.llm.decontam import contaminated_documents
+from turnstile.llm.line_templates import drop_recurring_lines
 from turnstile.llm.mixing import mix_sources, size_weights
+from turnstile.llm.quality_fm import held_out, with_quality
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
 
@@ -162,3 +164,21 @@ SELECT doc_id, count(item_id) > 0 AS contaminated, count(item_id) AS n_items, mi
   coalesce(max(equal), 0) AS equal_words
 FROM d LEFT JOIN f USING (r) GROUP BY r, doc_id
 """
+
+
+@query
+def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text scored by the factorisation machine trained on the labels not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    scored = with_quality(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+@query
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that recur across documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = drop_recurring_lines(docs, count_into="n_dropped")
+    kept = F.coalesce("text", F.lit(""))
+    return out.select("doc_id", "n_dropped", F.length(kept).cast("long").alias("kept_chars"), F.sha2(kept, 256).alias("kept_sha256"))
