@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnstile.llm.chat import format_conversations, loss_text
 from turnstile.llm.common import table
 from turnstile.llm.decontam import contaminated_documents
+from turnstile.llm.html_tree import extract_main_text
 from turnstile.llm.line_templates import drop_recurring_lines
 from turnstile.llm.mixing import mix_sources, size_weights
 from turnstile.llm.quality_fm import held_out, with_quality
@@ -182,3 +183,10 @@ def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = drop_recurring_lines(docs, count_into="n_dropped")
     kept = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_dropped", F.length(kept).cast("long").alias("kept_chars"), F.sha2(kept, 256).alias("kept_sha256"))
+
+
+@query
+def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of every page by marginals of the tree model."""
+    out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
