@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import zlib
 from collections.abc import Iterator
 from functools import cache
 from html.parser import HTMLParser
@@ -144,10 +145,7 @@ def _size_bin(n: int) -> int:
 FEATURES = 1 << 14
 
 
-@cache
 def _feature(name: str) -> int:
-    import zlib
-
     return zlib.crc32(name.encode("utf-8", "replace")) % FEATURES
 
 

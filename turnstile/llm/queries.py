@@ -13,6 +13,7 @@ from turnstile.llm.decontam import contaminated_documents
 from turnstile.llm.html_tree import extract_main_text
 from turnstile.llm.line_templates import drop_recurring_lines
 from turnstile.llm.mixing import mix_sources, size_weights
+from turnstile.llm.pii_crf import KINDS, find_personal_data, spans_text
 from turnstile.llm.quality_fm import held_out, with_quality
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
@@ -190,3 +191,15 @@ def op10_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of every page by marginals of the tree model."""
     out = extract_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op4_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: base spans by pattern, more by the tagger."""
+    found = find_personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii.*")
+    count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    rank = lambda x: F.array_position(F.array(*map(F.lit, KINDS)), x["kind"])
+    every = F.transform(F.array_sort(F.transform(F.concat("base", "added"), lambda x: F.struct(
+        x["start"].alias("start"), rank(x).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))), lambda x: x)
+    return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
