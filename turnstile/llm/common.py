@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import gc
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,3 +71,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
         state = now
     return (cur.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .unionByName(cur.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver notice that finished plans are garbage, so that executors drop their shuffle files
+    before the next phase writes its own."""
+    gc.collect()
+    spark._jvm.System.gc()

@@ -17,6 +17,7 @@ from turnstile.llm.pii_crf import KINDS, find_personal_data, spans_text
 from turnstile.llm.quality_fm import held_out, with_quality
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
+from turnstile.llm.suffix_dedup import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -203,3 +204,12 @@ def op4_pii_bilstm_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
         x["start"].alias("start"), rank(x).alias("rank"), x["end"].alias("end"), x["kind"].alias("kind")))), lambda x: x)
     return found.select("doc_id", *[count(k) for k in KINDS], F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
                         spans_text(every).alias("spans"), F.size("added").cast("long").alias("n_added"))
+
+
+@query
+def op9_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the 50-byte strings that a smaller document holds."""
+    out = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"), length=50)
+    gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + (x["end"] - x["start"]))
+    return out.select(F.col("id").alias("doc_id"), "n_bytes", gone.alias("n_removed"),
+                      F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
