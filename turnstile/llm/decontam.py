@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: 1: the word counts, 0: any word
-MASKS = ("11111", "110111", "11011011")
+MASKS = ("11111", "110111", "11001011")
 SPAN = max(map(len, MASKS))
 
 
