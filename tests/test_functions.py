@@ -2,6 +2,8 @@
 
 import math
 
+import pytest
+
 
 from turnstile.functions import scalars as S
 from turnstile.functions import text as X
@@ -98,22 +100,21 @@ def test_weighted_choice_is_deterministic(spark):
     assert math.isclose(sum(1 for _ in one), 2000)
 
 
-def test_group_quantiles_bounded_path_is_exact(spark):
+@pytest.mark.parametrize("buckets", [1, 3, 1024])
+def test_group_quantiles_exact_for_any_bucket_count(spark, buckets):
     import numpy as np
     rng = np.random.default_rng(5)
     rows = [("hot", float(v)) for v in rng.integers(0, 300, 5000)]          # many duplicates
-    rows += [("one", 4.0), ("two", 1.0), ("two", 3.0)]
-    rows += [("wide", float(v)) for v in rng.normal(size=700)]
+    rows += [("one", 4.0), ("two", 1.0), ("two", 3.0), ("two", None), ("same", 2.0), ("same", 2.0)]
+    rows += [(None, float(v)) for v in rng.normal(size=700)]
+    rows += [("tail", float(2.0 ** v)) for v in range(60)]
     df = spark.createDataFrame(rows, "g string, x double")
-    qs, names = [0.25, 0.3, 0.5, 0.75], ["a", "b", "c", "d"]
-    fast = {r.g: tuple(r[n] for n in names) for r in A.group_quantiles(df, ["g"], "x", qs, names).collect()}
-    slow = {r.g: tuple(r[n] for n in names)
-            for r in A.group_quantiles(df, ["g"], "x", qs, names, max_distinct=0, accuracy=50).collect()}
-    for g in fast:
-        vals = np.array([x for k, x in rows if k == g])
-        want = tuple(np.quantile(vals, q) for q in qs)
-        assert np.allclose(fast[g], want, rtol=0, atol=1e-9), g
-        assert np.allclose(slow[g], want, rtol=0, atol=1e-9), g
+    qs, names = [0.0, 0.25, 0.3, 0.5, 0.75, 1.0], ["z", "a", "b", "c", "d", "e"]
+    got = {r.g: tuple(r[n] for n in names) for r in A.group_quantiles(df, ["g"], "x", qs, names, buckets=buckets).collect()}
+    assert got.keys() == {k for k, _ in rows}
+    for g, have in got.items():
+        vals = np.array([x for k, x in rows if k == g and x is not None])
+        assert np.allclose(have, [np.quantile(vals, q) for q in qs], rtol=1e-12, atol=1e-9), g
 
 
 def test_parse_python_literal_records_with_apostrophe(spark):

@@ -94,61 +94,45 @@ def nps(answer: str, yes: str = "Yes", no: str = "No") -> Column:
                         F.count(a).cast("double"))
 
 
-# Largest number of distinct values per group for Spark's exact ``percentile``
-# (its buffer is a value -> count map per group).
-MAX_DISTINCT_PER_GROUP = 1_000_000
-
-
 def group_quantiles(df: DataFrame, group: Sequence[str], value: str, qs: Sequence[float],
-                    names: Sequence[str], max_distinct: int = MAX_DISTINCT_PER_GROUP,
-                    accuracy: int = 100_000) -> DataFrame:
+                    names: Sequence[str], buckets: int = 1024) -> DataFrame:
     """Exact, linearly interpolated quantiles per group (the
-    pandas / ``quantile_cont`` definition).
-
-    The widest group is measured with HLL sketches (a partial aggregate).  If
-    every group has at most ``max_distinct`` distinct values, Spark's exact
-    ``percentile`` is used.  Otherwise each target rank is bracketed by
-    ``percentile_approx`` (rank error <= n / accuracy), only the rows inside
-    the bracket are aggregated to (value, count), and the exact value is read
-    off the cumulative counts - memory per group is bounded by the bracket,
-    not by the group.  A bracket that misses its rank falls back to
-    ``percentile`` for correctness."""
-    src = df.where(F.col(value).isNotNull())
-    widest = scalar_row(src.groupBy(*group).agg(F.approx_count_distinct(value).alias("d")),
-                        F.max("d").alias("m"))["m"] or 0
-    if widest <= max_distinct:
-        return src.groupBy(*group).agg(*[F.percentile(value, q).alias(n) for q, n in zip(qs, names)])
-    out = None
-    for q, n in zip(qs, names):
-        part = _quantile_by_rank_window(src, list(group), value, q, n, accuracy)
-        out = part if out is None else out.join(part, list(group))
-    return out
-
-
-def _quantile_by_rank_window(src: DataFrame, group: list[str], value: str, q: float, name: str,
-                             accuracy: int) -> DataFrame:
-    e = 3.0 / accuracy
-    st = src.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx(value, F.array(F.lit(max(0.0, q - e)), F.lit(min(1.0, q + e))), accuracy).alias("_b"))
-    st = (st.withColumn("_lo", F.col("_b")[0]).withColumn("_hi", F.col("_b")[1])
-          .withColumn("_h", (F.col("_n") - 1) * F.lit(q))
-          .withColumn("_k0", F.floor("_h")).withColumn("_k1", F.ceil("_h")).drop("_b"))
-    j = src.join(st, group)
-    below = F.col(value) < F.col("_lo")
-    inside = F.col(value).between(F.col("_lo"), F.col("_hi"))
-    c_lo = j.groupBy(*group).agg(F.count(F.when(below, 1)).alias("_clo"))
-    win = j.where(inside).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c"))
-    win = win.join(c_lo, group).join(st, group)
-    w = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, 0)
-    win = win.withColumn("_end", F.col("_clo") + F.sum("_c").over(w)).withColumn("_start", F.col("_end") - F.col("_c"))
-
-    def at(k):
-        return F.min(F.when((F.col("_start") <= F.col(k)) & (F.col(k) < F.col("_end")), F.col(value)))
-    r = win.groupBy(*group, "_h", "_k0", "_k1").agg(at("_k0").alias("_v0"), at("_k1").alias("_v1"))
-    res = (F.when(F.col("_k0") == F.col("_k1"), F.col("_v0"))
-           .otherwise((F.col("_k1") - F.col("_h")) * F.col("_v0") + (F.col("_h") - F.col("_k0")) * F.col("_v1")))
-    r = r.select(*group, res.alias(name), (F.col("_v0").isNull() | F.col("_v1").isNull()).alias("_miss"))
-    if r.where("_miss").limit(1).count() > 0:
-        return src.groupBy(*group).agg(F.percentile(value, q).alias(name))
-    return r.drop("_miss")
+    pandas / ``quantile_cont`` definition); NULL values are left out, a NULL
+    group is a group.
+
+    One path for every size: the rows become (group, value) counts (partial
+    aggregate, so a hot group costs one row per distinct value), the value
+    range of a group is cut into ``buckets`` and the counts summed per
+    bucket, the bucket that holds each target rank is cut again, and only the
+    values of that small bucket are ordered to read off the rank.
+    ``buckets`` splits the work and never changes the result."""
+    keys = F.struct(*[F.col(c) for c in group]).alias("_g")  # NULL fields are equal to each other
+    counts = (df.where(F.col(value).isNotNull()).groupBy(keys, F.col(value).cast("double").alias("_v"))
+              .agg(F.count(F.lit(1)).alias("_c")))
+    whole = counts.groupBy("_g").agg(F.sum("_c").alias("_total"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    targets = whole.select("_g", "_lo", "_hi", F.lit(0).cast("long").alias("_below"), F.explode(F.array(*[F.struct(
+        F.lit(i).alias("q"), h.alias("h"), end(h).cast("long").alias("rank"))
+        for i, q in enumerate(qs) for h in [(F.col("_total") - 1) * F.lit(float(q))] for end in (F.floor, F.ceil)])).alias("_t"))
+    targets = targets.select("_g", F.col("_t.q").alias("_q"), F.col("_t.h").alias("_h"), F.col("_t.rank").alias("_rank"),
+                             "_lo", "_hi", "_below").distinct()
+    rank_keys = ["_g", "_q", "_h", "_rank"]
+    for _ in range(2):
+        # try_divide: a bucket of one value is not cut
+        place = F.coalesce(F.least(F.lit(buckets - 1), F.floor(F.try_divide(F.col("_v") - F.col("_lo"), F.col("_hi") - F.col("_lo")) * buckets)), F.lit(0))
+        cut = (counts.join(targets, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+               .groupBy(*rank_keys, "_below", place.alias("_b"))
+               .agg(F.sum("_c").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")))
+        upto = Window.partitionBy(*rank_keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+        cut = cut.withColumn("_below", F.col("_below") + F.sum("_n").over(upto) - F.col("_n"))
+        targets = cut.where((F.col("_below") <= F.col("_rank")) & (F.col("_rank") < F.col("_below") + F.col("_n"))).select(
+            *rank_keys, "_lo", "_hi", "_below")
+    last = counts.join(targets, "_g").where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    upto = Window.partitionBy(*rank_keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    last = last.withColumn("_end", F.col("_below") + F.sum("_c").over(upto))
+    found = last.where((F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_c")))
+    # the two neighbours of the target position, weighted by nearness
+    both = found.groupBy("_g", "_q", "_h").agg(F.min("_v").alias("_v0"), F.max("_v").alias("_v1"))
+    k0, k1, h = F.floor("_h"), F.ceil("_h"), F.col("_h")
+    value_at = F.when(k0 == k1, F.col("_v0")).otherwise((k1 - h) * F.col("_v0") + (h - k0) * F.col("_v1"))
+    wide = both.groupBy("_g").agg(*[F.max(F.when(F.col("_q") == i, value_at)).alias(n) for i, n in enumerate(names)])
+    return wide.select(*[F.col(f"_g.{c}").alias(c) for c in group], *names)

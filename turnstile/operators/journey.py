@@ -59,7 +59,8 @@ def below_group_quantile(df: DataFrame, group: Sequence[str], value: str, q: flo
     """G7 + J10 (F31): ``value < quantile_q(value) of its group``; a group
     without a threshold means +inf (always True for a non-null value)."""
     thr = group_quantiles(df, list(group), value, [q], ["_thr"])
-    j = df.join(maybe_broadcast(thr), list(group), "left")
+    thr = thr.select(F.struct(*group).alias("_g"), "_thr")
+    j = df.withColumn("_g", F.struct(*group)).join(thr, "_g", "left").drop("_g")
     flag = F.col(value) < F.coalesce(F.col("_thr"), F.lit(float("inf")))
     return j.withColumn(out, F.coalesce(flag, F.lit(False))).drop("_thr")
 

@@ -1,227 +1,55 @@
-"""Ordered scans over a (possibly skewed) key: gap to previous row (W1) and
-inactivity sessions (W2).
-
-``Window.partitionBy(key).orderBy(ts)`` puts every row of a key in one task,
-and with no key at all (the reference's single global timeline) in one task
-for the whole table.  Here the rows are range-partitioned on
-``(key, ts, tiebreak)`` instead, so a hot key is cut into many ts ranges, and
-the scan runs in two passes:
-
-1. every partition scans its rows in order (``mapInPandas``, Arrow batches)
-   and emits its rows with *local* results plus one boundary summary row;
-2. the summary (one row per partition, so its size is bounded by the number
-   of partitions, not by the data) gets a carried offset per partition from a
-   window over the summaries, and the rows join that offset back (broadcast
-   of the bounded summary) to become global.
-
-Pass 1 is written as a parquet table under the shared checkpoint folder, so a
-lost executor never forces the range shuffle to be redone and the rows are
-not recomputed for pass 2.
+"""Ordered work over a (possibly skewed) key: gap to the previous row (W1),
+inactivity sessions (W2) and exact row numbers.
+
+Rows of a key are never ordered in one task.  A session scan cuts every key into time buckets: gaps and
+counts inside a bucket are plain JVM windows over ``(key, bucket)``, and one
+summary row per ``(key, bucket)`` carries the last time and the number of
+session starts to the next bucket.  The bucket width changes the split of the
+work, never the result.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from turnstile.session import scratch_dir
 
-_ROW_COLS = [
-    ("_pid", T.IntegerType()),
-    ("_is_sum", T.BooleanType()),
-    ("_first_seg", T.BooleanType()),   # row belongs to the partition's first key run
-    ("_lsid", T.LongType()),           # session ordinal local to the key run
-    ("_lgap", T.DoubleType()),         # seconds to previous row of the run (null at run start)
-    # summary-only columns
-    ("_last_k", None),                 # typed like the key
-    ("_last_ts", T.TimestampNTZType()),
-    ("_last_lsid", T.LongType()),
-    ("_single", T.BooleanType()),      # the whole partition is one key run
-]
-
-
-def _scan_partition(gap_seconds: float, key: str, ts: str, out_cols: list[str]):
-    thr = float(gap_seconds)
-
-    def fn(batches):
-        prev_k = None
-        prev_t = None
-        pid = None
-        run_idx = 0          # number of key-run starts seen after the first row
-        sid = 0              # local session ordinal in the current run
-        first_k = first_t = None
-        last_k = last_t = None
-        have_first = False
-        last_first_seg = True
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            if pid is None:
-                pid = int(pdf["_pid"].iloc[0])
-            k = pdf[key].to_numpy()
-            t = pdf[ts].to_numpy(dtype="datetime64[us]")
-            n = len(pdf)
-            pk = np.empty(n, dtype=object)
-            pk[1:] = k[:-1]
-            pk[0] = prev_k
-            pt = np.empty(n, dtype="datetime64[us]")
-            pt[1:] = t[:-1]
-            pt[0] = prev_t if prev_t is not None else np.datetime64("NaT")
-            same = pd.Series(pk, dtype=object).eq(pd.Series(k, dtype=object)).to_numpy()
-            if not have_first:
-                same[0] = False
-            gap = (t - pt).astype("timedelta64[us]").astype(np.int64) / 1e6
-            gap = np.where(same, gap, np.nan)
-            start_flag = same & (gap > thr)
-            run_start = ~same
-            if not have_first:
-                run_start[0] = False  # the partition's first row opens run 0
-                first_k, first_t = k[0], t[0]
-                have_first = True
-            # run index and local session ordinal with carry from earlier batches
-            ridx = run_idx + np.cumsum(run_start)
-            # session ordinal: cumulative starts, reset at each run start
-            cs = np.cumsum(start_flag)
-            # value of cs just before each run start, forward filled
-            base = np.where(run_start, cs - start_flag, np.nan)
-            base_s = pd.Series(base).ffill().to_numpy()
-            carry_mask = np.isnan(base_s)
-            lsid = np.where(carry_mask, sid + cs, cs - np.nan_to_num(base_s))
-            lsid = lsid.astype(np.int64)
-            run_idx = int(ridx[-1])
-            sid = int(lsid[-1])
-            prev_k, prev_t = k[-1], t[-1]
-            last_k, last_t = k[-1], t[-1]
-            first_seg = ridx == 0
-            last_first_seg = bool(first_seg[-1])
-            out = pdf.copy()
-            out["_is_sum"] = False
-            out["_first_seg"] = first_seg
-            out["_lsid"] = lsid
-            out["_lgap"] = gap
-            out["_last_k"] = None
-            out["_last_ts"] = pd.NaT
-            out["_last_lsid"] = None
-            out["_single"] = None
-            yield out[out_cols]
-        if have_first:
-            s = {c: [None] for c in out_cols}
-            s[key] = [first_k]
-            s[ts] = [pd.Timestamp(first_t)]
-            s["_pid"] = [pid]
-            s["_is_sum"] = [True]
-            s["_last_k"] = [last_k]
-            s["_last_ts"] = [pd.Timestamp(last_t)]
-            s["_last_lsid"] = [sid]
-            s["_single"] = [last_first_seg]
-            yield pd.DataFrame(s)[out_cols]
-
-    return fn
-
-
-# Largest group (rows) that may be ordered inside one task.
-MAX_GROUP_ROWS = 2_000_000
-
 
-def largest_group(df: DataFrame, key: str | None) -> int:
-    """Rows of the largest key group (partial aggregate of one column; the
-    whole table when there is no key)."""
-    if key is None:
-        return df.count()
-    r = df.groupBy(key).count().agg(F.max("count").alias("m")).first()
-    return int(r["m"] or 0)
+def _seconds(later: Column, earlier: Column) -> Column:
+    return F.timestamp_diff("MICROSECOND", earlier, later) / 1e6
 
 
 def gap_sessions(df: DataFrame, ts: str, tiebreak: str, gap_seconds: float,
-                 key: str | None = None, num_partitions: int | None = None,
-                 gap_col: str = "gap_seconds", session_col: str = "session_id",
-                 strategy: str = "auto", max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+                 key: str | None = None, gap_col: str = "gap_seconds", session_col: str = "session_id",
+                 bucket_seconds: int = 86_400) -> DataFrame:
     """W1 + W2: add ``gap_col`` (seconds since the previous row of the same
     key in ``(ts, tiebreak)`` order, 0 for a key's first row) and
     ``session_col`` (0-based count of gaps ``> gap_seconds`` so far within the
     key).  ``key=None`` is one global timeline.  A gap of exactly
     ``gap_seconds`` stays in the session.
 
-    ``strategy``: ``"scan"`` = two-pass range-partitioned scan (any skew);
-    ``"window"`` = one window task per key; ``"auto"`` measures the largest
-    key group and takes the window only when it is below ``max_group_rows``
-    (a proven bound), the scan otherwise."""
-    if strategy == "auto":
-        strategy = "window" if largest_group(df, key) <= max_group_rows else "scan"
-    if strategy == "window":
-        return gap_sessions_window(df, ts, tiebreak, gap_seconds, key, gap_col, session_col)
-    return _gap_sessions_scan(df, ts, tiebreak, gap_seconds, key, num_partitions, gap_col, session_col)
-
-
-def _gap_sessions_scan(df: DataFrame, ts: str, tiebreak: str, gap_seconds: float,
-                       key: str | None, num_partitions: int | None,
-                       gap_col: str, session_col: str) -> DataFrame:
-    spark = df.sparkSession
-    kcol = key if key is not None else "_gkey"
-    src = df if key is not None else df.withColumn(kcol, F.lit(0).cast("int"))
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    key_type = src.schema[kcol].dataType
-
-    parted = (src.repartitionByRange(n, F.col(kcol), F.col(ts), F.col(tiebreak))
-              .sortWithinPartitions(kcol, ts, tiebreak)
-              .withColumn("_pid", F.spark_partition_id()))
-    fields = list(parted.schema.fields)
-    for name, typ in _ROW_COLS[1:]:
-        fields.append(T.StructField(name, typ if typ is not None else key_type, True))
-    out_schema = T.StructType(fields)
-    out_cols = [f.name for f in fields]
-    scanned = parted.mapInPandas(_scan_partition(gap_seconds, kcol, ts, out_cols), out_schema)
-
-    path = scratch_dir(spark, "ordered-scan")
-    scanned.write.partitionBy("_is_sum").parquet(path)
-    rows = spark.read.parquet(f"{path}/_is_sum=false")
-    summ = spark.read.parquet(f"{path}/_is_sum=true")
-
-    # carried offsets over the per-partition summaries (bounded: one row per partition)
-    w = Window.orderBy("_pid")
-    thr = float(gap_seconds)
-    s = (summ.select("_pid", F.col(kcol).alias("_fk"), F.col(ts).alias("_ft"),
-                     "_last_k", "_last_ts", "_last_lsid", "_single")
-         .withColumn("_plk", F.lag("_last_k").over(w))
-         .withColumn("_plt", F.lag("_last_ts").over(w))
-         .withColumn("_carried", F.coalesce(F.col("_fk") == F.col("_plk"), F.lit(False)))
-         .withColumn("_bgap", F.when(F.col("_carried"),
-                                     F.timestamp_diff("MICROSECOND", F.col("_plt"), F.col("_ft")) / 1e6))
-         .withColumn("_b", F.when(F.col("_carried") & (F.col("_bgap") > thr), 1).otherwise(0))
-         .withColumn("_cs_flag", F.when(F.col("_carried") & F.col("_single"), 0).otherwise(1))
-         .withColumn("_contrib", F.col("_last_lsid")
-                     + F.when(F.col("_carried") & F.col("_single"), F.col("_b")).otherwise(0))
-         .withColumn("_grp", F.sum("_cs_flag").over(w.rowsBetween(Window.unboundedPreceding, 0))))
-    s = s.withColumn("_csum", F.sum("_contrib").over(
-        Window.partitionBy("_grp").orderBy("_pid").rowsBetween(Window.unboundedPreceding, 0)))
-    s = s.withColumn("_carry", F.when(F.col("_carried"), F.lag("_csum").over(w)).otherwise(0))
-    offsets = s.select("_pid", "_carried", "_bgap", "_b", "_carry")
-
-    j = rows.join(F.broadcast(offsets), "_pid")
-    is_carry_row = F.col("_first_seg") & F.col("_carried")
-    first_of_part = is_carry_row & F.col("_lgap").isNull()
-    gap = F.when(first_of_part, F.col("_bgap")).otherwise(F.col("_lgap"))
-    sid = F.col("_lsid") + F.when(is_carry_row, F.col("_b") + F.col("_carry")).otherwise(0)
-    out = j.withColumn(gap_col, F.coalesce(gap, F.lit(0.0))).withColumn(session_col, sid.cast("long"))
-    keep = [c for c in df.columns] + [gap_col, session_col]
-    return out.select(*keep)
-
-
-def gap_sessions_window(df: DataFrame, ts: str, tiebreak: str, gap_seconds: float,
-                        key: str | None = None, gap_col: str = "gap_seconds",
-                        session_col: str = "session_id") -> DataFrame:
-    """Single-window form of ``gap_sessions`` (one task per key); kept as the
-    reference implementation the two-pass scan is tested against."""
-    w = (Window.partitionBy(key) if key else Window.partitionBy()).orderBy(ts, tiebreak)
-    prev = F.lag(ts).over(w)
-    g = df.withColumn(gap_col, F.coalesce(
-        F.timestamp_diff("MICROSECOND", prev, F.col(ts)) / 1e6, F.lit(0.0)))
-    out = g.withColumn(session_col, F.sum((F.col(gap_col) > gap_seconds).cast("long"))
-                       .over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return out.select(*df.columns, gap_col, session_col)
+    NULL keys are one key.  NULL times come first in their key, with gap 0, and so
+    has the row after them.  ``bucket_seconds`` is how a key is split."""
+    # one struct column as the key: its NULL fields are equal to each other in joins
+    bucket = F.floor(F.timestamp_diff("SECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col(ts)) / bucket_seconds)
+    of_key = F.struct((F.col(key) if key is not None else F.lit(0)).alias("key"))
+    rows = df.withColumn("_part", F.struct(of_key.alias("k"), bucket.alias("b")))
+    inside = Window.partitionBy("_part").orderBy(ts, tiebreak)
+    rows = rows.withColumn("_gap", _seconds(F.col(ts), F.lag(ts).over(inside)))
+    rows = rows.withColumn("_starts", F.sum(F.coalesce((F.col("_gap") > gap_seconds).cast("long"), F.lit(0))).over(
+        inside.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_first", F.row_number().over(inside) == 1)
+
+    # one row per (key, bucket)
+    summary = rows.groupBy("_part").agg(F.min(ts).alias("_lo"), F.max(ts).alias("_hi"), F.max("_starts").alias("_n"))
+    before = Window.partitionBy("_part.k").orderBy(F.col("_part.b").asc_nulls_first())
+    summary = summary.withColumn("_carried", _seconds(F.col("_lo"), F.lag("_hi").over(before)))
+    entry = F.coalesce((F.col("_carried") > gap_seconds).cast("long"), F.lit(0))
+    summary = summary.withColumn("_offset", F.sum(F.col("_n") + entry).over(
+        before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
+    out = rows.join(summary.select("_part", "_carried", "_offset"), "_part")
+    gap = F.coalesce(F.when(F.col("_first"), F.col("_carried")).otherwise(F.col("_gap")), F.lit(0.0))
+    return out.select(*df.columns, gap.alias(gap_col), (F.col("_offset") + F.col("_starts")).cast("long").alias(session_col))
 
 
 def global_row_number(df: DataFrame, order: list, out: str = "rn",
