@@ -24,7 +24,7 @@ def test_interval_join_paths_agree_and_handle_edges(spark):
                                 (4, None, _d("2000-02-01"))],               # NULL bound
                                "iid long, lo date, hi date")
     a = interval_join(pts, iv, "d", "lo", "hi")
-    b = interval_join(pts, iv, "d", "lo", "hi", max_broadcast_rows=0)
+    b = interval_join(pts, iv, "d", "lo", "hi", shuffle=True)
     ka = sorted((r.pid, r.iid) for r in a.collect())
     kb = sorted((r.pid, r.iid) for r in b.collect())
     assert ka == kb

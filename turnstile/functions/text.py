@@ -48,6 +48,20 @@ VALENCE = {
 }
 VADER_ALPHA = 15.0
 
+# Words that turn a valence around within three words before it, and their factor.
+NEGATIONS = ["not", "never", "none", "neither", "nor", "nothing", "nowhere", "without", "cannot",
+             "rarely", "seldom", "despite"]
+NEGATION_FACTOR = -0.74
+# Words that raise or lower a valence, their step, and its share one, two and three words away.
+BOOSTERS_UP = ["absolutely", "amazingly", "awfully", "completely", "considerably", "decidedly", "deeply", "enormously",
+               "entirely", "especially", "exceptionally", "extremely", "fully", "greatly", "highly", "hugely",
+               "incredibly", "intensely", "more", "most", "particularly", "purely", "quite", "really", "remarkably",
+               "so", "substantially", "thoroughly", "totally", "tremendously", "unbelievably", "unusually", "utterly", "very"]
+BOOSTERS_DOWN = ["almost", "barely", "hardly", "kinda", "less", "little", "marginally", "occasionally", "partly", "scarcely",
+                 "slightly", "somewhat", "sorta"]
+BOOSTER_STEP = 0.293
+BOOSTER_REACH = [1.0, 0.95, 0.9]
+
 
 def tokens(text) -> Column:
     """Lower-cased letter runs; empty strings removed."""
@@ -87,35 +101,40 @@ def with_polarity(df, text: str, out: str = "polarity", lexicon: Mapping[str, fl
             .select(*keep, polarity_of("_scores").alias(out)))
 
 
-def valence_scores(text, valence: Mapping[str, float] = VALENCE) -> dict[str, Column]:
-    """compound = s / sqrt(s^2 + alpha); pos / neg = shares of the summed
-    absolute valence that are positive / negative."""
-    v = matched_scores(text, valence)
-    s = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x)
-    pos = F.aggregate(v, F.lit(0.0), lambda acc, x: acc + F.greatest(x, F.lit(0.0)))
-    neg = F.aggregate(v, F.lit(0.0), lambda acc, x: acc - F.least(x, F.lit(0.0)))
-    return _valence_from(s, pos, neg)
+def word_valences(words, valence: Mapping[str, float] = VALENCE) -> Column:
+    """Valence of each word of an array in its context, 0 for neutral ones: boosters among the three words
+    before it step it away from (or towards) zero, negations there turn it."""
+    w = col(words)
+    base = _literal_map(valence)
+    step = _literal_map({**dict.fromkeys(BOOSTERS_UP, BOOSTER_STEP), **dict.fromkeys(BOOSTERS_DOWN, -BOOSTER_STEP)})
 
+    def in_context(word: Column, i: Column) -> Column:
+        v = base[word]
+        for k, share in enumerate(BOOSTER_REACH, 1):
+            v = v + F.signum(base[word]) * F.coalesce(step[F.get(w, i - k)], F.lit(0.0)) * share
+        for k in (1, 2, 3):
+            v = v * F.when(F.get(w, i - k).isin(*NEGATIONS), NEGATION_FACTOR).otherwise(1.0)
+        return F.coalesce(v, F.lit(0.0))
 
-def _valence_from(s, pos, neg) -> dict[str, Column]:
-    tot = pos + neg
-    return {
-        "compound": F.coalesce(F.try_divide(s, F.sqrt(s * s + F.lit(VADER_ALPHA))), F.lit(0.0)),
-        "pos": F.coalesce(F.try_divide(pos, tot), F.lit(0.0)),
-        "neg": F.coalesce(F.try_divide(neg, tot), F.lit(0.0)),
-    }
+    return F.transform(w, in_context)
 
 
 def with_valence(df, text: str, valence: Mapping[str, float] = VALENCE):
-    """T2 in three projections: token array once, its three sums, the scores."""
+    """T2 in four projections: compound = s / sqrt(s^2 + alpha) of the summed valences; pos and neg are
+    shares of positive + |negative| + neutral words, a scored word weighing its valence and one more."""
     keep = [c for c in df.columns if c != text]
-    v = df.select(*keep, matched_scores(text, valence).alias("_v"))
-    sums = v.select(*keep,
-                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + x).alias("_s"),
-                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + F.greatest(x, F.lit(0.0))).alias("_pos"),
-                    F.aggregate("_v", F.lit(0.0), lambda acc, x: acc - F.least(x, F.lit(0.0))).alias("_neg"))
-    sc = _valence_from(F.col("_s"), F.col("_pos"), F.col("_neg"))
-    return sums.select(*keep, *[c.alias(k) for k, c in sc.items()])
+    w = df.select(*keep, tokens(text).alias("_w"))
+    v = w.select(*keep, word_valences("_w", valence).alias("_v"))
+
+    def total(of):
+        return F.aggregate("_v", F.lit(0.0), lambda acc, x: acc + of(x))
+    sums = v.select(*keep, total(lambda x: x).alias("_s"), total(lambda x: F.when(x > 0, x + 1).otherwise(0.0)).alias("_pos"),
+                    total(lambda x: F.when(x < 0, 1 - x).otherwise(0.0)).alias("_neg"),
+                    total(lambda x: F.when(x == 0, 1.0).otherwise(0.0)).alias("_neu"))
+    s, every = F.col("_s"), F.col("_pos") + F.col("_neg") + F.col("_neu")
+    return sums.select(*keep, F.coalesce(F.try_divide(s, F.sqrt(s * s + F.lit(VADER_ALPHA))), F.lit(0.0)).alias("compound"),
+                       F.coalesce(F.try_divide("_pos", every), F.lit(0.0)).alias("pos"),
+                       F.coalesce(F.try_divide("_neg", every), F.lit(0.0)).alias("neg"))
 
 
 def keyword_scores(text, keywords: Mapping[str, Sequence[str]] = SEGMENT_KEYWORDS) -> dict[str, Column]:

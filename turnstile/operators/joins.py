@@ -1,9 +1,9 @@
 """Join operators (J*).
 
-Broadcast is only used behind a size check (``small_enough``) or for tables
-whose size is fixed by construction (literal dimension maps).  Above the
-limit the same logical join runs as a shuffle equi-join and AQE is left to
-split skewed partitions.
+Tables whose size is fixed by construction (literal dimension maps, calendars)
+are broadcast.  Everything else is an equi-join left to AQE, which broadcasts
+a side whose measured bytes are under the session's threshold and splits
+skewed partitions otherwise.
 """
 
 from __future__ import annotations
@@ -13,41 +13,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Default row bound under which a side may be broadcast.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def small_enough(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> bool:
-    """True if ``df`` has at most ``max_rows`` rows.  Reads at most
-    ``max_rows + 1`` rows, so the check itself is bounded."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def maybe_broadcast(df: DataFrame, max_rows: int | None = None,
-                    known_small: bool = False) -> DataFrame:
+def maybe_broadcast(df: DataFrame, known_small: bool = False) -> DataFrame:
     """Broadcast hint for a side whose size is bounded by construction
-    (literal tables, calendars, dimension lists).  Otherwise the side is left
-    to AQE, which turns the shuffle join into a broadcast join at run time
-    only when the measured shuffle output is below
-    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` - a size check on the
-    real data without an extra job.  ``max_rows`` forces an explicit row-count
-    check instead."""
-    if known_small:
-        return F.broadcast(df)
-    if max_rows is not None:
-        return F.broadcast(df) if small_enough(df, max_rows) else df
-    return df
+    (literal tables, calendars, dimension lists); any other side is left to
+    AQE and its byte threshold."""
+    return F.broadcast(df) if known_small else df
 
 
 def equi_join(left: DataFrame, right: DataFrame, left_on: Sequence[str],
-              right_on: Sequence[str], how: str = "inner",
-              broadcast_right: bool | None = None) -> DataFrame:
-    """Equi join with different key names on each side.
-
-    ``broadcast_right=None`` lets Catalyst decide from statistics; ``True``
-    broadcasts after a size check."""
-    if broadcast_right:
-        right = maybe_broadcast(right, BROADCAST_MAX_ROWS)
+              right_on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi join with different key names on each side."""
     cond = [left[a] == right[b] for a, b in zip(left_on, right_on, strict=True)]
     return left.join(right, cond, how)
 
@@ -68,15 +43,15 @@ def lookup(df: DataFrame, key: str | Column, mapping: Mapping, out: str,
 
 def interval_join(points: DataFrame, intervals: DataFrame, point_col: str,
                   start_col: str, end_col: str, how: str = "inner",
-                  max_broadcast_rows: int = 100_000) -> DataFrame:
+                  shuffle: bool = False) -> DataFrame:
     """Rows of ``points`` whose date lies in the closed interval
     ``[start, end]`` of a row of ``intervals``.
 
     Each interval is exploded to the months it covers, the points are keyed
     by their month and the join is an equi-join on the month plus the
-    residual ``between``.  The interval side is broadcast when its bucket
-    table is small (checked); otherwise both sides shuffle on the month key
-    (AQE splits a hot month).  Intervals with a NULL bound match nothing.
+    residual ``between``.  The plan is left to Catalyst and AQE; ``shuffle``
+    asks for the sort-merge form (both sides shuffled on the month, AQE splits
+    a hot month).  Intervals with a NULL bound match nothing.
     """
     bucketed = intervals.withColumn(
         "_bucket",
@@ -84,7 +59,7 @@ def interval_join(points: DataFrame, intervals: DataFrame, point_col: str,
                              F.trunc(F.col(end_col), "MM"),
                              F.expr("INTERVAL 1 MONTH"))),
     ).where(F.col(start_col) <= F.col(end_col))
-    side = maybe_broadcast(bucketed, max_broadcast_rows)
+    side = bucketed.hint("merge") if shuffle else bucketed
     p = points.withColumn("_pbucket", F.trunc(F.col(point_col), "MM"))
     cond = ((p["_pbucket"] == side["_bucket"])
             & p[point_col].between(side[start_col], side[end_col]))

@@ -12,19 +12,17 @@ from collections.abc import Sequence
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import BisectingKMeans, KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
-from pyspark.ml.feature import (IDF, PCA, CountVectorizer, RegexTokenizer, StopWordsRemover,
-                                VectorAssembler)
+from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from turnstile.functions.scalars import hash_split
 from turnstile.operators.aggregates import scalar_row
-from turnstile.operators.joins import maybe_broadcast
 
 
 # ------------------------------------------------------------------ scaling / projection
@@ -75,9 +73,9 @@ def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, n_init: int = 10,
 
 
 def silhouette(pred: DataFrame, prediction: str = "prediction", features: str = "features") -> float:
-    """M4: MLlib silhouette (squared Euclidean; linear-time formulation)."""
+    """M4: MLlib silhouette (squared Euclidean; linear-time formulation); 0 with fewer than two clusters."""
     if pred.select(prediction).distinct().limit(2).count() < 2:
-        return float("nan")
+        return 0.0
     return ClusteringEvaluator(predictionCol=prediction, featuresCol=features,
                                distanceMeasure="squaredEuclidean").evaluate(pred)
 
@@ -87,50 +85,44 @@ def bisecting(df: DataFrame, k: int = 4, seed: int = 42, features: str = "featur
     return BisectingKMeans(k=k, seed=seed, featuresCol=features).fit(df).transform(df)
 
 
+def _neighbourhood(cells: DataFrame, *cols: str) -> DataFrame:
+    """Every cell with each of the 9 cells around it (``ncx``, ``ncy``), itself included."""
+    around = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
+    e = cells.withColumn("_o", F.explode(around))
+    return e.select(*cols, (F.col("cx") + F.col("_o.dx")).alias("ncx"), (F.col("cy") + F.col("_o.dy")).alias("ncy"))
+
+
 def grid_density_clusters(df: DataFrame, x: str, y: str, eps: float = 0.5, min_pts: int = 10,
-                          max_iter: int = 100) -> DataFrame:
+                          checkpoint_every: int = 4) -> DataFrame:
     """M6 (re-aimed DBSCAN): points are binned into square cells of side
-    ``eps``; a cell with at least ``min_pts`` points is a core cell; core
-    cells that touch (8-neighbourhood) form one cluster, found by min-label
-    propagation over the cell graph (one row per occupied cell, each with at
-    most 8 edges - never pairs of points); points of a non-core cell next to
-    a core cell join the smallest adjacent cluster label; the rest are noise
-    (-1).  Each propagation step is checkpointed."""
+    ``eps``; an occupied cell whose 9-cell neighbourhood holds at least
+    ``min_pts`` points is a core cell; core cells that touch (8-neighbourhood)
+    form one cluster, named by its smallest cell (``cx:cy``); points of
+    other cells next to a core cell join the smallest adjacent cluster; the rest
+    are noise (NULL).  Works on the table of occupied cells, never on pairs
+    of points; labels spread until none changes."""
     pts = df.withColumn("cx", F.floor(F.col(x) / eps)).withColumn("cy", F.floor(F.col(y) / eps))
     cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    core = cells.where(F.col("n") >= min_pts).select("cx", "cy")
-    core = core.withColumn("cid", F.dense_rank().over(Window.orderBy("cx", "cy"))).checkpoint()
-    # the 9 cells of the neighbourhood, generated per core cell (bounded fan-out)
-    offs = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                               for dx in (-1, 0, 1) for dy in (-1, 0, 1)])).alias("o")
-    nb = core.select("cid", "cx", "cy", offs).select(
-        "cid", (F.col("cx") + F.col("o.dx")).alias("ncx"), (F.col("cy") + F.col("o.dy")).alias("ncy"))
-    edges = nb.join(core.select(F.col("cx").alias("ncx"), F.col("cy").alias("ncy"), F.col("cid").alias("nid")),
-                    ["ncx", "ncy"]).select("cid", "nid").checkpoint()
-    labels = core.select("cid", F.col("cid").alias("label"))
-    for _ in range(max_iter):
-        prop = (edges.join(labels.withColumnRenamed("cid", "nid").withColumnRenamed("label", "nl"), "nid")
-                .groupBy("cid").agg(F.min("nl").alias("nl")))
-        new = labels.join(prop, "cid", "left").select(
-            "cid", F.least("label", F.coalesce("nl", "label")).alias("label")).checkpoint()
-        changed = new.join(labels.withColumnRenamed("label", "old"), "cid") \
-            .where(F.col("label") != F.col("old")).limit(1).count()
+    near = _neighbourhood(cells, "cx", "cy", "n").groupBy(F.col("ncx").alias("cx"), F.col("ncy").alias("cy")).agg(F.sum("n").alias("n9"))
+    core = cells.join(near, ["cx", "cy"]).where(F.col("n9") >= min_pts).select("cx", "cy").checkpoint()
+    edges = _neighbourhood(core, "cx", "cy").join(
+        core.select(F.col("cx").alias("ncx"), F.col("cy").alias("ncy")), ["ncx", "ncy"]).checkpoint()
+    labels = core.withColumn("label", F.struct("cx", "cy"))
+    while True:
+        new = labels
+        for _ in range(checkpoint_every):
+            from_near = edges.join(new.select(F.col("cx").alias("ncx"), F.col("cy").alias("ncy"), F.col("label").alias("nl")), ["ncx", "ncy"])
+            new = from_near.groupBy("cx", "cy").agg(F.min("nl").alias("label"))  # a cell is its own neighbour
+        new = new.checkpoint()
+        moved = new.join(labels.withColumnRenamed("label", "old"), ["cx", "cy"]).where(F.col("label") != F.col("old"))
         labels = new
-        if changed == 0:
+        if moved.isEmpty():
             break
-    core_lab = core.join(labels, "cid").select("cx", "cy", "label")
-    # border cells: any cell adjacent to a core cell takes the smallest adjacent label
-    near = (core_lab.select("cx", "cy", "label", offs)
-            .select((F.col("cx") + F.col("o.dx")).alias("cx"), (F.col("cy") + F.col("o.dy")).alias("cy"), "label")
-            .groupBy("cx", "cy").agg(F.min("label").alias("border_label")))
-    out = pts.join(core_lab, ["cx", "cy"], "left").join(near, ["cx", "cy"], "left")
-    lab = F.coalesce(F.col("label"), F.col("border_label"), F.lit(-1))
-    # renumber clusters 0..n-1 by label; noise stays -1
-    ids = out.where(lab >= 0).select(lab.alias("_l")).distinct() \
-        .withColumn("cluster", F.dense_rank().over(Window.orderBy("_l")) - 1)
-    return (out.withColumn("_l", lab).join(maybe_broadcast(ids), "_l", "left")
-            .withColumn("cluster", F.coalesce(F.col("cluster"), F.lit(-1)))
-            .drop("_l", "label", "border_label", "cx", "cy"))
+    reach = _neighbourhood(labels, "label").groupBy(F.col("ncx").alias("cx"), F.col("ncy").alias("cy")).agg(F.min("label").alias("_edge"))
+    out = pts.join(labels, ["cx", "cy"], "left").join(reach, ["cx", "cy"], "left")
+    c = F.coalesce("label", "_edge")
+    name = F.when(c.isNotNull(), F.concat_ws(":", c["cx"].cast("string"), c["cy"].cast("string")))
+    return out.withColumn("cluster", name).drop("label", "_edge", "cx", "cy")
 
 
 # ------------------------------------------------------------------ regression
@@ -193,13 +185,14 @@ TOKEN_PATTERN = r"(?U)\w\w+"
 
 
 def text_classifier(reg_params: Sequence[float] = (0.01, 0.1), folds: int = 3, seed: int = 42,
-                    vocab: int = 5000) -> CrossValidator:
-    """T5 (re-aimed BERT): tokens -> counts -> idf -> logistic regression,
-    regularisation chosen by cross-validation on area under ROC."""
+                    features: int = 1 << 18) -> CrossValidator:
+    """T5 (re-aimed BERT): tokens -> hashed counts -> idf -> logistic regression,
+    regularisation chosen by cross-validation on area under ROC.  Every term counts: it is
+    hashed into ``features`` slots, there is no vocabulary to cut."""
     pipe = Pipeline(stages=[
         RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
         StopWordsRemover(inputCol="tokens", outputCol="words"),
-        CountVectorizer(inputCol="words", outputCol="tf", vocabSize=vocab, minDF=2.0),
+        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
         IDF(inputCol="tf", outputCol="features"),
         LogisticRegression(featuresCol="features", labelCol="label", maxIter=50),
     ])
@@ -211,33 +204,34 @@ def text_classifier(reg_params: Sequence[float] = (0.01, 0.1), folds: int = 3, s
 
 
 def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Class and probability of the positive (negative-review) class."""
+    """Class, probability and log odds of the positive (negative-review) class."""
     s = model.transform(df)
-    return s.withColumn("p_negative", vector_to_array("probability")[1]).drop(
-        "tokens", "words", "tf", "features", "rawPrediction", "probability")
+    return s.withColumn("p_negative", vector_to_array("probability")[1]).withColumn(
+        "logit", vector_to_array("rawPrediction")[1]).drop("tokens", "words", "tf", "features", "rawPrediction", "probability")
 
 
-def term_weights(model: PipelineModel) -> list[tuple[str, float]]:
-    """coef_t * idf_t of every vocabulary term: the logit change of one
-    occurrence (the vocabulary is bounded by ``vocabSize``)."""
-    cv = model.stages[2]
-    idf = model.stages[3].idf.toArray()
-    coef = model.stages[4].coefficients.toArray()
-    return [(t, float(c * i)) for t, c, i in zip(cv.vocabulary, coef, idf, strict=True)]
+def term_weights(model: PipelineModel, words: DataFrame) -> DataFrame:
+    """``word`` -> ``word, w``: the log odds that one occurrence adds, i.e. those of the one-word text without
+    the intercept (0 for stop words).  One row per distinct word, scored by the model itself."""
+    one = words.withColumn("words", F.array("word"))
+    one = model.stages[1].copy({model.stages[1].inputCol: "words", model.stages[1].outputCol: "kept"}).transform(one)
+    one = one.withColumn("words", F.col("kept"))
+    for stage in model.stages[2:]:
+        one = stage.transform(one)
+    return one.select("word", (vector_to_array("rawPrediction")[1] - F.lit(float(model.stages[4].intercept))).alias("w"))
 
 
 def word_contributions(model: PipelineModel, scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Leave-one-word-out importance, exact for this linear model:
-    removing one occurrence of term t lowers the logit by w_t = coef_t *
-    idf_t, so contribution = p - sigmoid(logit - w_t).  Out-of-vocabulary
-    and stop words contribute 0.  Only documents with p > threshold."""
-    spark = scored.sparkSession
-    weights = spark.createDataFrame(term_weights(model), "word string, w double")
+    removing one occurrence of term t lowers the logit by w_t, so
+    contribution = p - sigmoid(logit - w_t).  Stop words contribute 0.  Only
+    documents with p > threshold."""
     pos = scored.where(F.col("p_negative") > threshold)
-    toks = pos.select("doc_id", "p_negative", F.posexplode(
+    toks = pos.select("doc_id", "p_negative", "logit", F.posexplode(
         F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), 0)).alias("pos", "word"))
-    logit = F.log(F.col("p_negative") / (1 - F.col("p_negative")))
-    j = toks.join(maybe_broadcast(weights, known_small=True), "word", "left")  # <= vocabSize rows
-    p_without = 1 / (1 + F.exp(-(logit - F.coalesce(F.col("w"), F.lit(0.0)))))
+    weights = term_weights(model, toks.select("word").distinct())
+    j = toks.join(weights, "word")
+    # the sigmoid without overflow, from the log odds (p itself may round to 1)
+    p_without = 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("logit") - F.col("w")))))
     return j.select("doc_id", "p_negative", "pos", "word",
                     (F.col("p_negative") - p_without).alias("contribution"))

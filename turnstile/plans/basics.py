@@ -130,24 +130,29 @@ def math_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
                      F.round(F.sqrt("l_quantity"), 6).alias("qty_sqrt"))
 
 
-# Wait buckets and their midpoints (minutes); unmapped = 37.5.
-WAIT_MIDPOINTS = {"Less than 15 minutes": 7.5, "15-30 minutes": 22.5, "30-45 minutes": 37.5,
-                  "45-60 minutes": 52.5, "60-90 minutes": 75.0}
-_BUCKET_SQL = """CASE WHEN wait < 15 THEN 'Less than 15 minutes' WHEN wait < 30 THEN '15-30 minutes'
-  WHEN wait < 45 THEN '30-45 minutes' WHEN wait < 60 THEN '45-60 minutes' WHEN wait < 90 THEN '60-90 minutes'
-  WHEN wait IS NOT NULL THEN 'More than 90 minutes' END"""
-
-
-@register("ordinal_map", with_ctes("""b AS (SELECT event_id, """ + _BUCKET_SQL + """ AS bucket FROM visits)
-SELECT event_id, bucket, coalesce(CASE bucket """ + " ".join(
-    f"WHEN '{k}' THEN CAST({v} AS DOUBLE)" for k, v in WAIT_MIDPOINTS.items()) + """ END, 37.5) AS midpoint
-FROM b""", VISITS))
+# Minutes of each wait answer; any other answer is 37.5.
+WAIT_MIDPOINTS = {
+    "Less than 15 minutes": 10.0,
+    "15 to 30 minutes": 22.5,
+    "31 to 45 minutes": 37.5,
+    "46 to 60 minutes": 52.5,
+    "61 to 90 minutes": 75.0,
+    "More than 90 minutes": 100.0,
+}
+
+
+@register("ordinal_map", with_ctes("""b AS (SELECT event_id, wait, CASE WHEN wait IS NULL THEN NULL
+    WHEN wait < 15 THEN 'Less than 15 minutes' WHEN wait < 31 THEN '15 to 30 minutes'
+    WHEN wait < 46 THEN '31 to 45 minutes' WHEN wait < 61 THEN '46 to 60 minutes'
+    WHEN wait <= 90 THEN '61 to 90 minutes' ELSE 'More than 90 minutes' END AS bucket FROM visits)
+SELECT event_id, bucket, CAST(CASE WHEN wait < 15 THEN 10 WHEN wait < 31 THEN 22.5 WHEN wait < 46 THEN 37.5
+    WHEN wait < 61 THEN 52.5 WHEN wait <= 90 THEN 75 WHEN wait > 90 THEN 100 ELSE 37.5 END AS DOUBLE) AS midpoint FROM b""", VISITS))
 def ordinal_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """bucket label -> midpoint with a default."""
+    """answer label -> minutes with a default."""
     w = F.col("wait")
-    bucket = (F.when(w < 15, "Less than 15 minutes").when(w < 30, "15-30 minutes")
-              .when(w < 45, "30-45 minutes").when(w < 60, "45-60 minutes")
-              .when(w < 90, "60-90 minutes").when(w.isNotNull(), "More than 90 minutes"))
+    bucket = (F.when(w < 15, "Less than 15 minutes").when(w < 31, "15 to 30 minutes")
+              .when(w < 46, "31 to 45 minutes").when(w < 61, "46 to 60 minutes")
+              .when(w <= 90, "61 to 90 minutes").when(w > 90, "More than 90 minutes"))
     v = visits(spark, sf_dir).select("event_id", bucket.alias("bucket"))
     return v.withColumn("midpoint", S.map_values("bucket", WAIT_MIDPOINTS, default=37.5))
 
@@ -244,11 +249,9 @@ def null_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def drop_or_fill_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """P4 + P5: the fill policy applied, and the rows the drop policy keeps."""
     d = _doc_labels(spark, sf_dir)
-    kept = d.na.drop(subset=["quality", "toxic"]).select("doc_id", F.lit(True).alias("kept_by_dropna"))
-    filled = d.na.fill(-1, subset=["quality", "toxic"])
-    return (filled.join(kept, "doc_id", "left")
-            .select("doc_id", "quality", "toxic",
-                    F.coalesce("kept_by_dropna", F.lit(False)).alias("kept_by_dropna")))
+    kept = F.col("quality").isNotNull() & F.col("toxic").isNotNull()
+    return d.withColumn("kept_by_dropna", kept).na.fill(-1, subset=["quality", "toxic"]).select(
+        "doc_id", "quality", "toxic", "kept_by_dropna")
 
 
 @register("dedupe_rows", """SELECT count(*) AS n_rows, (SELECT count(*) FROM (SELECT DISTINCT lang, text FROM documents))

@@ -34,19 +34,26 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return IO.read_csv(spark, path, _ORDERS_CSV_SCHEMA, escape='"')
 
 
-@register("dirty_csv", """SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderpriority <> '5-LOW'""")
+@register("dirty_csv", """SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 2 = 0
+  THEN 'caf' || chr(65533) || ', "' || o_orderstatus || '"' ELSE 'a "quoted", ' || o_orderstatus END AS note
+FROM orders WHERE o_orderpriority <> '5-LOW'""")
 def dirty_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A text file whose low-priority lines are malformed (wrong field
-    count) read with DROPMALFORMED and unquoted / backslash-escaped fields."""
+    """Two files with malformed (short) low-priority lines.  One is quoted and holds Latin-1 bytes that
+    are no UTF-8; the other has stray quotes and backslash-escaped commas and is read by the retry."""
     o = table(spark, sf_dir, "orders")
-    line = F.when(F.col("o_orderpriority") == "5-LOW",
-                  F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus", F.lit("n/a")))
-    line = line.otherwise(F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus",
-                                      F.col("o_totalprice").cast("string")))
+    low = F.col("o_orderpriority") == "5-LOW"
     path = scratch_dir(spark, "dirty-csv")
-    o.select(line.alias("value")).write.text(path)
-    return IO.read_dirty_csv(spark, path, "o_orderkey long, o_orderstatus string, o_totalprice double",
-                             header=False, drop_malformed=True, quote=None)
+    key, price = F.col("o_orderkey").cast("string"), F.col("o_totalprice").cast("string")
+    note = F.concat(F.lit('"caf\u00e9, \\"'), "o_orderstatus", F.lit('\\""'))
+    quoted = F.when(low, F.concat_ws(",", key, F.lit("n/a"))).otherwise(F.concat_ws(",", key, price, note))
+    (o.where("o_orderkey % 2 = 0").select(quoted.alias("value")).write.option("encoding", "ISO-8859-1").option("quote", "")
+     .option("sep", "\u0001").option("escape", "").csv(f"{path}/quoted"))
+    note = F.concat(F.lit('a "quoted"\\, '), "o_orderstatus")
+    plain = F.when(low, F.concat_ws(",", key, F.lit("n/a"))).otherwise(F.concat_ws(",", key, price, note))
+    o.where("o_orderkey % 2 <> 0").select(plain.alias("value")).write.text(f"{path}/plain")
+    first = IO.read_dirty_csv(spark, f"{path}/quoted", "o_orderkey long, o_totalprice double, note string", header=False)
+    retry = IO.read_unquoted_csv(spark, f"{path}/plain", [("o_orderkey", "long"), ("o_totalprice", "double"), ("note", "string")])
+    return first.unionByName(retry)
 
 
 _MONTH_SQL = """SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, round(sum(o_totalprice), 2) AS total_sales,
@@ -88,7 +95,7 @@ def parquet_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("o_orderkey", "o_totalprice", "o_orderstatus")
 
 
-@register("model_roundtrip")
+@register("model_roundtrip", "SELECT count(*) AS n, count(*) AS n_equal FROM lineitem")
 def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A fitted pipeline saved, loaded and re-scored; the loaded model
     must give the same predictions."""
@@ -100,10 +107,9 @@ def model_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "model")
     model.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    a = model.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p1"))
-    b = loaded.transform(li).select("l_orderkey", "l_linenumber", F.col("prediction").alias("p2"))
-    j = a.join(b, ["l_orderkey", "l_linenumber"])
-    return j.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("p1") == F.col("p2")).cast("long")).alias("n_equal"))
+    first = model.transform(li).withColumnRenamed("prediction", "p1").drop("features")
+    both = loaded.transform(first).withColumnRenamed("prediction", "p2")  # both scores in the row itself
+    return both.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("p1") == F.col("p2")).cast("long")).alias("n_equal"))
 
 
 @register("cached_source", """SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS n_orders FROM orders GROUP BY 1""")
@@ -144,25 +150,32 @@ def preview(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ------------------------------------------------------------------ streaming
 
 STREAM_GAP_S = 6 * 3600
+STREAM_WATERMARK_S = 6 * 3600
 
 
 @register("stream_sessions", f"""WITH g AS (
-  SELECT user_id, event_id, ts, value, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w), 0) / 1000000 AS gap
+  SELECT user_id, event_id, ts, event_type, value, coalesce(epoch_us(ts) - epoch_us(lag(ts) OVER w), 0) / 1000000 AS gap
   FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(CASE WHEN gap >= {STREAM_GAP_S} THEN 1 ELSE 0 END) OVER (
-  PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g)
+  PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS sid FROM g),
+t AS (SELECT event_type, quantile_cont(value, 0.25) AS thr FROM events GROUP BY event_type),
+j AS (SELECT s.*, coalesce(value < thr, false) AS low FROM s LEFT JOIN t USING (event_type))
 SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL {STREAM_GAP_S} SECOND AS session_end,
-  count(*) AS n_events, round(avg(value), 6) AS avg_value, min(ts) AS first_ts, max(ts) AS last_ts
-FROM s GROUP BY user_id, sid""")
+  count(*) AS n_events, round(avg(value), 6) AS avg_value, min(ts) AS first_ts, max(ts) AS last_ts,
+  list(event_type ORDER BY ts, event_id) AS rides, round(avg(low::INTEGER), 6) AS express_share
+FROM j GROUP BY user_id, sid
+HAVING max(ts) + INTERVAL {STREAM_GAP_S} SECOND <= (SELECT max(ts) FROM events) - INTERVAL {STREAM_WATERMARK_S} SECOND""")
 def stream_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """R1 in complete mode over the whole events table (every session,
-    closed or open); append mode emits only sessions the watermark closed.
-    Spark's session window closes a session when the next event is at least
-    ``gap`` later."""
-    schema = table(spark, sf_dir, "events").schema
+    """R1 in append mode over the events table: every session that the watermark has closed, with its rides in
+    order and the share of short waits (below the ride's first quartile).  State is dropped as sessions
+    close.  Spark's session window closes a session when the next event is at least ``gap`` later."""
+    from turnstile.operators.aggregates import group_quantiles
+    events = table(spark, sf_dir, "events")
+    limits = group_quantiles(events, ["event_type"], "value", [0.25], ["threshold"])
     base = scratch_dir(spark, "stream")
-    out = run_stream_sessions(spark, sf_dir, schema, f"{base}/sink", f"{base}/ckpt", file_glob="events.parquet",
+    out = run_stream_sessions(spark, sf_dir, events.schema, f"{base}/sink", f"{base}/ckpt", file_glob="events.parquet",
                               key="user_id", ts="ts", value="value", gap=f"{STREAM_GAP_S} seconds",
-                              watermark="6 hours", mode="complete")
-    return out.select("user_id", "session_start", "session_end", "n_events",
-                      F.round("avg_value", 6).alias("avg_value"), "first_ts", "last_ts")
+                              watermark=f"{STREAM_WATERMARK_S} seconds", mode="append", ride="event_type", row_id="event_id",
+                              limits=limits)
+    return out.select("user_id", "session_start", "session_end", "n_events", F.round("avg_value", 6).alias("avg_value"),
+                      "first_ts", "last_ts", "rides", F.round("express_share", 6).alias("express_share"))

@@ -53,7 +53,7 @@ def link_split_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = F.split("raw", ";")
     link = link.select(parts.getItem(0).cast("long").alias("attraction"), parts.getItem(1).alias("park"))
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    j = equi_join(li, link, ["l_partkey"], ["attraction"], "inner", broadcast_right=True)
+    j = equi_join(li, link, ["l_partkey"], ["attraction"], "inner")
     return j.where(F.col("park") == LINK_PARK).select("l_orderkey", "l_linenumber", "attraction", "park")
 
 

@@ -19,9 +19,17 @@ from turnstile.sources.tables import documents, reviews, table
 
 MARKED_BRANCH = "O"   # branches containing this code get the first focus set
 
-# Character names used by the emoji / symbol mapper (T4).
-CHAR_NAMES = {"é": ":e_acute:", "è": ":e_grave:", "ç": ":c_cedilla:", "ü": ":u_umlaut:",
-              "ä": ":a_umlaut:"}
+# Emoji and other symbols by name (T4); an input table of the mapper.
+CHAR_NAMES = {
+    "😀": ":grinning_face:", "😃": ":grinning_face_with_big_eyes:", "😄": ":grinning_face_with_smiling_eyes:",
+    "😊": ":smiling_face_with_smiling_eyes:", "😍": ":smiling_face_with_heart-eyes:", "😂": ":face_with_tears_of_joy:",
+    "😢": ":crying_face:", "😭": ":loudly_crying_face:", "😡": ":enraged_face:", "😠": ":angry_face:",
+    "😱": ":face_screaming_in_fear:", "😴": ":sleeping_face:", "👍": ":thumbs_up:", "👎": ":thumbs_down:",
+    "👏": ":clapping_hands:", "🙏": ":folded_hands:", "🎉": ":party_popper:", "🎢": ":roller_coaster:",
+    "🎡": ":ferris_wheel:", "🎠": ":carousel_horse:", "🌧": ":cloud_with_rain:", "☀": ":sun:", "🔥": ":fire:",
+    "💯": ":hundred_points:", "❤": ":red_heart:", "💔": ":broken_heart:", "⭐": ":star:", "✨": ":sparkles:",
+    "é": ":e_acute:", "è": ":e_grave:", "ç": ":c_cedilla:", "ü": ":u_umlaut:", "ä": ":a_umlaut:",
+}
 
 SEASON_ORDER = ["Feb - Apr", "Summer Holidays", "Aug - Oct", "Winter Holidays", "Feb - Apr (2)"]
 
@@ -189,13 +197,26 @@ def lexicon_sentiment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select("doc_id", F.round("polarity", 6).alias("polarity"))
 
 
+def _in_sql(words) -> str:
+    return "(" + ", ".join(f"'{w}'" for w in words) + ")"
+
+
+_BOOST_SQL = " + ".join(f"{share} * CASE WHEN p{k} IN {_in_sql(X.BOOSTERS_UP)} THEN 0.293 WHEN p{k} IN {_in_sql(X.BOOSTERS_DOWN)} "
+                        f"THEN -0.293 ELSE 0 END" for k, share in ((1, "1.0"), (2, "0.95"), (3, "0.9")))
+_TURN_SQL = " * ".join(f"CASE WHEN p{k} IN {_in_sql(X.NEGATIONS)} THEN -0.74 ELSE 1 END" for k in (1, 2, 3))
+
+
 @register("vader_compound", with_ctes(f"""val(word, v) AS (SELECT * FROM {_lexicon_values(X.VALENCE)} t(word, v)),
-toks AS (SELECT doc_id, {_TOKENS_SQL} AS tok FROM documents),
-m AS (SELECT doc_id, sum(v) AS s, sum(greatest(v, 0)) AS pos, sum(-least(v, 0)) AS neg
-  FROM toks JOIN val ON toks.tok = val.word GROUP BY doc_id)
-SELECT d.doc_id, round(coalesce(m.s / sqrt(m.s * m.s + {X.VADER_ALPHA}), 0), 6) AS compound,
-  round(coalesce(m.pos / nullif(m.pos + m.neg, 0), 0), 6) AS pos,
-  round(coalesce(m.neg / nullif(m.pos + m.neg, 0), 0), 6) AS neg
+seq AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(text), '[^\\p{{L}}]+'), lambda x: length(x) > 0) AS w FROM documents),
+one AS (SELECT doc_id, unnest(w) AS tok, generate_subscripts(w, 1) AS i FROM seq),
+near AS (SELECT doc_id, tok, lag(tok, 1) OVER o AS p1, lag(tok, 2) OVER o AS p2, lag(tok, 3) OVER o AS p3
+  FROM one WINDOW o AS (PARTITION BY doc_id ORDER BY i)),
+scored AS (SELECT doc_id, coalesce((v + sign(v) * ({_BOOST_SQL})) * {_TURN_SQL}, 0)::DOUBLE AS s FROM near LEFT JOIN val ON tok = word),
+m AS (SELECT doc_id, sum(s) AS s, sum(CASE WHEN s > 0 THEN s + 1 ELSE 0 END) AS pos,
+  sum(CASE WHEN s < 0 THEN 1 - s ELSE 0 END) AS neg, sum(CASE WHEN s = 0 THEN 1 ELSE 0 END) AS neu FROM scored GROUP BY doc_id)
+SELECT d.doc_id, round(coalesce(m.s / sqrt(m.s * m.s + 15), 0), 6) AS compound,
+  round(coalesce(m.pos / nullif(m.pos + m.neg + m.neu, 0), 0), 6) AS pos,
+  round(coalesce(m.neg / nullif(m.pos + m.neg + m.neu, 0), 0), 6) AS neg
 FROM documents d LEFT JOIN m USING (doc_id)"""))
 def vader_compound(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T2."""

@@ -39,14 +39,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint folder, setting a scratch one only if
-    the session has none (tests, local runs)."""
+    """Return the shared checkpoint folder.  A scratch one is made only for a
+    local master; on a cluster ``spark.checkpoint.dir`` has to name one that
+    all executors share."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     conf = spark.conf.get(_CHECKPOINT_CONF, None) or sc.getConf().get(_CHECKPOINT_CONF, None)
     if not conf:
+        if not str(sc.master).startswith("local") or str(sc.master).startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="turnstile-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(conf)
     return sc.getCheckpointDir() or conf

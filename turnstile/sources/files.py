@@ -28,17 +28,29 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str, header: b
 
 
 def read_dirty_csv(spark: SparkSession, path: str, schema: StructType | str, header: bool = True,
-                   drop_malformed: bool = True, quote: str | None = '"', escape: str = "\\") -> DataFrame:
+                   drop_malformed: bool = True, quote: str | None = '"', escape: str = "\\",
+                   multi_line: bool = False) -> DataFrame:
     """Malformed lines dropped (``DROPMALFORMED``) or kept with a
-    ``_corrupt_record`` column (``PERMISSIVE``); quoting can be switched off
-    (``quote=None``) with a backslash escape, as the reference's retry does."""
+    ``_corrupt_record`` column (``PERMISSIVE``); bytes that are no UTF-8 become
+    U+FFFD.  ``multi_line`` (line breaks inside quotes) reads each file in one
+    task: only for files known to need it."""
     r = (spark.read.schema(schema).option("header", header).option("escape", escape)
-         .option("multiLine", True).option("encoding", "UTF-8"))
+         .option("multiLine", multi_line).option("encoding", "UTF-8"))
     r = r.option("quote", "" if quote is None else quote)
     r = r.option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE")
     return r.csv(path)
 
 
+def read_unquoted_csv(spark: SparkSession, path: str, columns: list[tuple[str, str]], separator: str = ",") -> DataFrame:
+    """S2, the retry without quoting: quotes are plain characters and a backslash takes the next character
+    literally, separators too.  ``columns`` are (name, type); lines with another number of fields
+    are dropped, values that do not fit their type are NULL."""
+    fields = F.split("value", rf"(?<!\\){separator}")
+    rows = spark.read.text(path).select(fields.alias("f")).where(F.size("f") == len(columns))
+    plain = lambda i: F.regexp_replace(F.col("f")[i], r"\\(.)", "$1")
+    return rows.select(*[plain(i).try_cast(kind).alias(name) for i, (name, kind) in enumerate(columns)])
+
+
 def write_csv(df: DataFrame, path: str, float_digits: int | None = None, mode: str = "overwrite") -> None:
     """CSV sink with a header; doubles optionally fixed to n digits."""
     if float_digits is not None:
@@ -57,8 +69,9 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
 
 
 def cached_source(spark: SparkSession, path: str, compute: Callable[[], DataFrame]) -> DataFrame:
-    """Reuse the written table if it exists, else compute, write, reuse."""
-    if not path_exists(spark, path):
+    """Reuse the written table if it is complete, else compute, write, reuse.  A folder that a
+    broken-off write has left holds no ``_SUCCESS`` and is written again."""
+    if not path_exists(spark, f"{path.rstrip('/')}/_SUCCESS"):
         write_parquet(compute(), path)
     return spark.read.parquet(path)
 

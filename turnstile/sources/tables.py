@@ -21,23 +21,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread CPU-heavy per-row work (text scoring) over the cluster when the
-    scan yields fewer splits than there are cores (e.g. a file with a single
-    row group).  A no-op for inputs that already have enough splits, so at
-    scale it adds no shuffle."""
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. Spark Connect): leave the plan as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def documents(spark: SparkSession, sf_dir: str, *cols: str) -> DataFrame:
-    """Documents with only the needed columns, spread for per-row scoring."""
+    """Documents with only the needed columns."""
     d = table(spark, sf_dir, "documents")
-    return spread(d.select(*cols) if cols else d)
+    return d.select(*cols) if cols else d
 
 
 def reviews(spark: SparkSession, sf_dir: str, date_range=None) -> DataFrame:
