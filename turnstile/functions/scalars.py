@@ -143,17 +143,13 @@ def safe_corr(a, b) -> Column:
 # ---------------------------------------------------------------- complaints
 
 def complaint_severity(rating, prob) -> Column:
-    """severity 0-3; NULL rating reads as 5, NULL probability as 0, and
-    an out-of-range input is 0."""
+    """0 to 3, worse for a lower rating that the model is surer of; NULL rating reads as 5, NULL
+    probability as 0, and anything outside the scales is 0."""
     r = F.coalesce(col(rating).cast("double"), F.lit(5.0))
     p = F.coalesce(col(prob).cast("double"), F.lit(0.0))
-    valid = r.between(1, 5) & p.between(0, 1)
-    return (F.when(~valid, 0)
-            .when(r > 4, 0)
-            .when((r <= 2) & (p > 0.8), 3)
-            .when((r <= 3) & (p > 0.6), 2)
-            .when(r <= 4, 1)
-            .otherwise(0))
+    complaint = r.between(1, 4) & p.between(0, 1)
+    level = F.lit(1) + F.when((r <= 2) & (p > 0.8), 2).when((r <= 3) & (p > 0.6), 1).otherwise(0)
+    return F.when(complaint, level).otherwise(0)
 
 
 # Action texts by severity and the branch-specific focus.
@@ -189,8 +185,10 @@ def severity_label(severity) -> Column:
 # ---------------------------------------------------------------- sampling
 
 def hash_uniform(key, seed: int) -> Column:
-    """Deterministic U[0,1) per key (stable under repartitioning)."""
-    return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(1_000_000)) / F.lit(1_000_000.0)
+    """Deterministic U[0,1) per key (stable under repartitioning): the first 32 bits of the MD5 of
+    ``key:seed``, which any SQL engine can repeat."""
+    digest = F.md5(F.concat(col(key).cast("string"), F.lit(f":{seed}")).cast("binary"))
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(float(1 << 32))
 
 
 def weighted_choice(key, values: Sequence[str], weights: Sequence[float], seed: int) -> Column:
@@ -207,4 +205,4 @@ def weighted_choice(key, values: Sequence[str], weights: Sequence[float], seed:
 
 def hash_split(key, seed: int, train_pct: int = 80) -> Column:
     """Stable train/test flag from a key hash."""
-    return F.pmod(F.xxhash64(col(key), F.lit(seed)), F.lit(100)) < train_pct
+    return hash_uniform(key, seed) < train_pct / 100

@@ -55,10 +55,11 @@ def with_day_type(df: DataFrame, ts: str, days: DataFrame) -> DataFrame:
 
 
 def below_group_quantile(df: DataFrame, group: Sequence[str], value: str, q: float,
-                         out: str) -> DataFrame:
+                         out: str, of: DataFrame | None = None) -> DataFrame:
     """G7 + J10 (F31): ``value < quantile_q(value) of its group``; a group
-    without a threshold means +inf (always True for a non-null value)."""
-    thr = group_quantiles(df, list(group), value, [q], ["_thr"])
+    without a threshold means +inf (always True for a non-null value).  ``of``: a
+    cheaper table with the same rows to take the quantiles from."""
+    thr = group_quantiles(df if of is None else of, list(group), value, [q], ["_thr"])
     thr = thr.select(F.struct(*group).alias("_g"), "_thr")
     j = df.withColumn("_g", F.struct(*group)).join(thr, "_g", "left").drop("_g")
     flag = F.col(value) < F.coalesce(F.col("_thr"), F.lit(float("inf")))
@@ -80,10 +81,22 @@ def first_by_order(value: str, *order: str):
     return F.min_by(F.col(value), F.struct(*[F.col(o) for o in order]))
 
 
-def ordered_collect(value: str, *order: str):
+def ordered_collect(value: str, *order: str, keep_nulls: bool = True):
     """Values of a group as an array sorted by ``order``."""
     s = F.array_sort(F.collect_list(F.struct(*[F.col(o) for o in order], F.col(value).alias("_v"))))
-    return F.transform(s, lambda x: x["_v"])
+    out = F.transform(s, lambda x: x["_v"])
+    return out if keep_nulls else F.filter(out, lambda x: x.isNotNull())
+
+
+def array_entropy(seq: str):
+    """G22 of a sequence held in a row: natural-log entropy of its (non-null) items."""
+    items = F.filter(F.col(seq), lambda x: x.isNotNull())
+    n = F.size(items).cast("double")
+
+    def part(x):
+        p = F.size(F.filter(items, lambda y: y == x)) / n
+        return -p * F.ln(p)
+    return F.aggregate(F.transform(F.array_distinct(items), part), F.lit(0.0), lambda a, x: a + x)
 
 
 def sequence_entropy(rows: DataFrame, visit_keys: Sequence[str], item: str) -> DataFrame:
@@ -122,7 +135,7 @@ def aligned_changes(waits: DataFrame, slot: str = "slot", ride: str = "ride",
     by = list(by)
     slots = waits.select(*by, slot).distinct()
     idx = slots.withColumn("_idx", F.dense_rank().over(Window.partitionBy(*by).orderBy(slot)))
-    w = waits.join(maybe_broadcast(idx, known_small=True), by + [slot])  # one row per time slot
+    w = waits.join(idx, by + [slot])
     prev = w.select(*[F.col(b).alias(f"_p_{b}") for b in by], F.col(ride).alias("_pr"),
                     (F.col("_idx") + 1).alias("_pidx"), F.col(value).alias("_pv"))
     cond = (w[ride] == prev["_pr"]) & (w["_idx"] == prev["_pidx"])
@@ -168,8 +181,9 @@ def outflow_by_group(waits: DataFrame, reference: str, group: str = "day_type",
     rides = waits.select(group, "ride").distinct().join(rc, [group, "ride"], "left")
     kept = rides.where((F.col(group) == all_rides_group) | (F.col("corr") < 0.5)).select(group, "ride")
     kc = ch.join(kept, [group, "ride"], "left_semi")
-    n_rise = kc.groupBy(group, "slot").agg(F.count(F.when(F.col("change") > 0, 1)).alias("n_rise"))
-    fo = (kc.where(F.col("change") < 0).join(n_rise, [group, "slot"])
+    # a slot holds one row per ride
+    risen = F.count(F.when(F.col("change") > 0, 1)).over(Window.partitionBy(group, "slot"))
+    fo = (kc.withColumn("n_rise", risen).where(F.col("change") < 0)
           .groupBy(group, "ride").agg(F.sum("n_rise").alias("_o")))
     return kept.join(fo, [group, "ride"], "left").select(
         group, "ride", F.coalesce(F.col("_o"), F.lit(0)).cast("long").alias("outflow"))
@@ -183,16 +197,18 @@ def transition_probs(moves: DataFrame) -> DataFrame:
 
 
 def steady_state(probs: DataFrame, rides: Sequence[str], tol: float = 1e-13,
-                 max_steps: int = 32) -> DataFrame:
+                 max_doublings: int = 256) -> DataFrame:
     """Stationary distribution of the lazy chain L = (P + I) / 2 from a
     uniform start (same leading vector as P, no periodic cycling).  The
-    matrix is squared until the normalised column sums stop moving; each
-    step is checkpointed (reliable) so the lineage stays one step long."""
+    matrix is squared until the normalised column sums stop moving; it is
+    checkpointed (reliable) after every few squarings so the lineage stays
+    short.  Squaring doubles the number of steps, so a chain that has not settled after
+    ``max_doublings`` never will: that raises instead of returning the last vector."""
     spark = probs.sparkSession
     eye = spark.createDataFrame([(r, r, 0.5) for r in rides], "i string, j string, v double")
     half = probs.select(F.col("from_ride").alias("i"), F.col("to_ride").alias("j"),
                         (F.col("p") * 0.5).alias("v"))
-    m = half.unionByName(eye).groupBy("i", "j").agg(F.sum("v").alias("v")).checkpoint()
+    m = half.unionByName(eye).groupBy("i", "j").agg(F.sum("v").alias("v")).where("v <> 0").checkpoint()
 
     def pi_of(mat):
         col_sums = mat.groupBy("j").agg(F.sum("v").alias("s"))
@@ -208,14 +224,15 @@ def steady_state(probs: DataFrame, rides: Sequence[str], tol: float = 1e-13,
         return sq.withColumn("v", F.col("v") / F.sum("v").over(Window.partitionBy()))
 
     prev = pi_of(m)
-    for _ in range(max_steps):
-        # two squarings per checkpoint: L^(4^k); the plan stays a few joins deep
-        m = square(square(m)).checkpoint()
+    for _ in range(0, max_doublings, 4):
+        for _ in range(4):
+            m = square(m)
+        m = m.checkpoint()
         cur = pi_of(m)
         delta = scalar_row(cur.join(prev, "ride", "full_outer"),
                            F.max(F.abs(F.coalesce(cur["pi"], F.lit(0.0))
                                        - F.coalesce(prev["pi"], F.lit(0.0)))).alias("d"))["d"]
         prev = cur
-        if delta is not None and delta < tol:
-            break
-    return prev
+        if delta is None or delta < tol:
+            return prev
+    raise RuntimeError(f"the chain has not settled: last change {delta}")

@@ -18,6 +18,7 @@ from turnstile.operators.joins import maybe_broadcast
 from turnstile.operators.ordered import gap_sessions
 from turnstile.plans.registry import register
 from turnstile.plans.sqlbind import ATTENDANCE, VISITS, with_ctes
+from turnstile.session import snapshot
 from turnstile.sources.tables import attendance, visits, waits
 
 # Fixed values of the bindings.
@@ -47,10 +48,17 @@ def sessionized(spark: SparkSession, sf_dir: str, gap: float = SESSION_GAP_S,
     return gap_sessions(v, "ts", "event_id", gap, key="visitor")
 
 
+# Rides of one park: the pair tables (moves, transition matrix) are its square.
+MAX_RIDES = 1000
+
+
 def ride_list(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Distinct rides: a dimension (bounded by the park), used as pivot values."""
-    return sorted(r[0] for r in visits(spark, sf_dir).select("ride").distinct()
-                  .where(F.col("ride").isNotNull()).collect())
+    """Distinct rides: a dimension (bounded by the park, checked), used as pivot values."""
+    rides = [r[0] for r in visits(spark, sf_dir).select("ride").distinct()
+             .where(F.col("ride").isNotNull()).limit(MAX_RIDES + 1).collect()]
+    if len(rides) > MAX_RIDES:
+        raise ValueError(f"more than {MAX_RIDES} rides: ride pairs are for one park")
+    return sorted(rides)
 
 
 _COVID_SQL = "covid AS (SELECT * FROM (VALUES " + ", ".join(
@@ -141,9 +149,16 @@ flagged AS (
   FROM vd LEFT JOIN t USING (ride, day_type))"""
 
 
+def typed_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits with the type of their day, written once: sessions and thresholds both read them."""
+    v = J.with_day_type(visits(spark, sf_dir), "ts", day_table(spark, sf_dir))
+    return snapshot(v.select("event_id", "visitor", "ts", "ride", "wait", "day_type"), "typed-visits")
+
+
 def _flagged_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = J.with_day_type(sessionized(spark, sf_dir), "ts", day_table(spark, sf_dir))
-    return J.below_group_quantile(s, ["ride", "day_type"], "wait", 0.25, "low_wait")
+    typed = typed_visits(spark, sf_dir)
+    s = sessionized(spark, sf_dir, src=typed)
+    return J.below_group_quantile(s, ["ride", "day_type"], "wait", 0.25, "low_wait", of=typed)
 
 
 @register("express_visit", with_ctes("""SELECT visitor, session_id, count(*) AS n_rides,
@@ -174,13 +189,15 @@ rgroups AS (SELECT ride, corr, CASE WHEN corr >= 0.5 THEN 'youth' WHEN corr < 0.
   CASE WHEN count(*) FILTER (WHERE g.ride_group = 'family') > count(*) FILTER (WHERE g.ride_group = 'youth')
        THEN 'Family'
        WHEN count(*) FILTER (WHERE g.ride_group = 'youth') > count(*) FILTER (WHERE g.ride_group = 'family')
-       THEN 'Youth' ELSE 'Mixed' END AS ride_type
+       THEN 'Youth' ELSE 'Mixed' END AS ride_type,
+  list(f.ride ORDER BY f.ts, f.event_id) AS ride_sequence,
+  round(coalesce(entropy(f.ride) * ln(2), 0), 6) AS entropy, len(list(f.ride)) AS length
 FROM flagged f LEFT JOIN rgroups g ON f.ride = g.ride
 GROUP BY f.visitor, f.session_id""", DAYS_SQL, SESS_SQL, _VISIT_FLAG_SQL, WAITS_SQL, _CORR_SQL))
 def visit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M20 (G13, F24, F32): one row per visit with ride count, first day
-    type, express flag and Family / Youth / Mixed ride type - all from
-    long-form conditional aggregates."""
+    """M20 (G13, G14, G22, F24, F25, F32): one row per visit with ride count, first day
+    type, express flag, Family / Youth / Mixed ride type, and the rides in order with
+    their entropy and number."""
     f = _flagged_visits(spark, sf_dir)
     groups = J.ride_correlation(waits(spark, sf_dir), REFERENCE_RIDE).select("ride", "ride_group")
     j = f.join(maybe_broadcast(groups), "ride", "left")  # one row per ride
@@ -191,7 +208,9 @@ def visit_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         J.first_by_order("day_type", "ts", "event_id").alias("day_type"),
         (F.avg(F.col("low_wait").cast("int")) > 0.6).alias("express"),
         F.when(fam > yth, "Family").when(yth > fam, "Youth").otherwise("Mixed").alias("ride_type"),
-    )
+        J.ordered_collect("ride", "ts", "event_id").alias("ride_sequence"),
+    ).select("*", F.round(J.array_entropy("ride_sequence"), 6).alias("entropy"),
+             F.size("ride_sequence").cast("long").alias("length"))
 
 
 @register("visit_sequences", with_ctes("""SELECT visitor, session_id,
@@ -327,11 +346,14 @@ def steady_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pi.select("ride", F.round("pi", 6).alias("pi"))
 
 
-@register("sequence_similarity", with_ctes("""c AS (SELECT visitor, session_id, ride, count(*) AS c
-  FROM flagged GROUP BY ALL),
+@register("sequence_similarity", with_ctes("""o AS (SELECT *, lead(ride) OVER (PARTITION BY visitor, session_id
+  ORDER BY ts, event_id) AS nxt FROM flagged),
+c AS (SELECT visitor, session_id, step, count(*) AS c FROM (
+  SELECT visitor, session_id, coalesce(ride, '') AS step FROM o
+  UNION ALL SELECT visitor, session_id, coalesce(ride, '') || ' > ' || nxt FROM o WHERE nxt IS NOT NULL) GROUP BY ALL),
 ex AS (SELECT visitor, session_id, avg(CAST(low_wait AS INTEGER)) > 0.6 AS express FROM flagged GROUP BY ALL),
 nrm AS (SELECT visitor, session_id, sqrt(sum(c * c)) AS norm FROM c GROUP BY ALL),
-u AS (SELECT ex.express, c.ride, sum(c.c / nrm.norm) AS s
+u AS (SELECT ex.express, c.step, sum(c.c / nrm.norm) AS s
   FROM c JOIN nrm USING (visitor, session_id) JOIN ex USING (visitor, session_id) GROUP BY ALL),
 g AS (SELECT express, count(*) AS n FROM ex GROUP BY express),
 ss AS (SELECT express, sum(s * s) AS s2 FROM u GROUP BY express)
@@ -341,27 +363,30 @@ FROM g JOIN ss USING (express)""", DAYS_SQL, SESS_SQL, _VISIT_FLAG_SQL))
 def sequence_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """G21 re-aimed: mean similarity over *all* pairs of visits within the
     express / other groups, computed exactly without forming pairs.  Each
-    visit is its unit ride-count vector u_i; the mean pairwise cosine is
-    (|sum u_i|^2 - n) / (n (n - 1)), so one aggregate per (group, ride)
-    replaces the quadratic pair loop (Ratcliff-Obershelp is not decomposable
-    and would need every pair)."""
+    visit is the unit vector u_i of its rides and of its moves from one ride to the next, so the
+    order counts; the mean pairwise cosine is (|sum u_i|^2 - n) / (n (n - 1)), so one
+    aggregate per (group, step) replaces the quadratic pair loop (Ratcliff-Obershelp
+    is not decomposable and would need every pair)."""
     f = _flagged_visits(spark, sf_dir)
-    keys = ["visitor", "session_id"]
-    # one aggregate of the visit rows feeds everything: ride counts per visit
-    # and, summed over rides, the visit's length, low-wait count and norm
-    c = f.groupBy(*keys, "ride").agg(F.count(F.lit(1)).alias("c"),
-                                     F.sum(F.col("low_wait").cast("long")).alias("low"))
-    visit = c.groupBy(*keys).agg(
-        (F.sum("low") / F.sum("c") > 0.6).alias("express"),
-        F.sqrt(F.sum(F.col("c") * F.col("c"))).alias("norm"))
-    u = (c.join(visit, keys)
-         .groupBy("express", "ride").agg(F.sum(F.col("c") / F.col("norm")).alias("s")))
+    visit = f.groupBy("visitor", "session_id").agg(
+        (F.avg(F.col("low_wait").cast("int")) > 0.6).alias("express"),
+        J.ordered_collect("ride", "ts", "event_id", keep_nulls=True).alias("seq"))
+    seq = F.col("seq")
+    moves = F.transform(F.sequence(F.lit(1), F.size(seq)), lambda i: F.when(
+        F.get(seq, i).isNotNull(), F.concat(F.coalesce(F.get(seq, i - 1), F.lit("")), F.lit(" > "), F.get(seq, i))))
+    steps = F.concat(F.transform(seq, lambda x: F.coalesce(x, F.lit(""))), F.filter(moves, lambda x: x.isNotNull()))
+    # a visit's steps and its norm stay in its row; only (group, step) sums are shuffled
+    counts = F.transform(F.array_distinct("steps"), lambda x: F.struct(
+        x.alias("step"), F.size(F.filter("steps", lambda y: y == x)).alias("c")))
+    visit = visit.select("express", steps.alias("steps")).withColumn("counts", counts)
+    norm = F.sqrt(F.aggregate("counts", F.lit(0.0), lambda a, x: a + x["c"] * x["c"]))
+    rows = visit.select("express", norm.alias("norm"), F.explode("counts").alias("k"))
+    u = rows.groupBy("express", "k.step").agg(F.sum(F.col("k.c") / F.col("norm")).alias("s"))
     s2 = u.groupBy("express").agg(F.sum(F.col("s") * F.col("s")).alias("s2"))
     n = visit.groupBy("express").agg(F.count(F.lit(1)).alias("n_visits"))
-    j = n.join(s2, "express")
     nv = F.col("n_visits")
-    return j.select("express", "n_visits", F.round(F.when(nv > 1, (F.col("s2") - nv) / (nv * (nv - 1))), 6)
-                    .alias("mean_similarity"))
+    return n.join(s2, "express").select("express", "n_visits", F.round(F.when(
+        nv > 1, (F.col("s2") - nv) / (nv * (nv - 1))), 6).alias("mean_similarity"))
 
 
 @register("wait_outflow_by_day_type", with_ctes(f"""wd AS (
@@ -400,17 +425,18 @@ def wait_outflow_by_day_type(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M18 + J5: per day type, the mean outflow of the top-3 rides (moves on
     that day type's own timeline, family rides only except on covid days)
     joined to the mean wait on the top-3 rides (M21)."""
-    days = day_table(spark, sf_dir)
-    w = J.with_day_type(waits(spark, sf_dir), "slot", days)
-    out = J.outflow_by_group(w.select("day_type", "slot", "ride", "wait"), REFERENCE_RIDE)
-    v = visits(spark, sf_dir)
+    v = typed_visits(spark, sf_dir)
+    # hourly waits: the hour of a visit lies in its day, so the day type is that of the visits
+    w = v.groupBy("day_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("slot"), "ride").agg(F.max("wait").alias("wait"))
+    w = snapshot(w, "typed-waits")
+    out = J.outflow_by_group(w, REFERENCE_RIDE)
     top = (v.where(F.col("ride").isNotNull()).groupBy("ride").agg(F.count(F.lit(1)).alias("n"))
            .orderBy(F.desc("n"), "ride").limit(TOP_RIDES).select("ride"))
     ao = (w.select("day_type").distinct()
           .join(out.join(F.broadcast(top), "ride", "left_semi").groupBy("day_type")  # <= 3 rides
                 .agg(F.avg("outflow").alias("avg_outflow_top3")), "day_type", "left"))
     sub = v.join(F.broadcast(top), "ride", "left_semi")
-    s = J.with_day_type(sessionized(spark, sf_dir, src=sub), "ts", days)
+    s = sessionized(spark, sf_dir, src=sub)
     vw = s.groupBy("visitor", "session_id", "day_type").agg(F.avg("wait").alias("avg_wait"))
     aw = vw.groupBy("day_type").agg(F.avg("avg_wait").alias("avg_wait_top3"))
     return aw.join(ao, "day_type").select("day_type", F.round("avg_wait_top3", 6).alias("avg_wait_top3"),

@@ -8,8 +8,7 @@ and sales).
 
 from __future__ import annotations
 
-from pyspark.ml.feature import StringIndexer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnstile.functions import scalars as S
@@ -147,6 +146,43 @@ def staff_features(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("regular") + F.col("part_time")).alias("total_staff"))
 
 
+@register("staff_per_ride", with_ctes("""t AS (SELECT day, park, sum(carried) AS park_total FROM carried GROUP BY 1, 2),
+e AS (SELECT c.day, c.park, c.ride, round_even(c.carried / t.park_total * a.attendance, 0) AS est
+  FROM carried c JOIN t USING (day, park) LEFT JOIN att a ON c.day = a.day AND c.park = a.facility),
+m AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE)) AS month, count(*) AS visitors, CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) AS DOUBLE) AS total,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (o_orderpriority IN ('1-URGENT', '2-HIGH')) AS DOUBLE) AS admission,
+  CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (o_orderpriority = '3-MEDIUM') AS DOUBLE) AS restaurant,
+  count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS regular, count(DISTINCT o_custkey) FILTER (o_orderstatus = 'O') AS part_time
+  FROM orders GROUP BY 1)
+SELECT day, park, ride, est AS est_attendance, CAST(floor(est * total / visitors) AS BIGINT) AS sale, CAST(floor(est * admission / visitors) AS BIGINT) AS adm_sale,
+  CAST(floor(est * restaurant / visitors) AS BIGINT) AS rest_sale, CAST(ceil(round(est * regular / visitors, 6)) AS BIGINT) AS reg_worker,
+  CAST(ceil(round(est * part_time / visitors, 6)) AS BIGINT) AS part_worker,
+  CAST(ceil(round(est * regular / visitors, 6)) + ceil(round(est * part_time / visitors, 6)) AS BIGINT) AS staff_count
+FROM e LEFT JOIN m ON date_trunc('month', e.day) = m.month""", _DAILY_SQL))
+def staff_per_ride(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """F36 per ride: estimated attendance turned into sales and workers by the month's ratios to its visitors;
+    sales are whole units, workers are rounded up, staff is their sum.  Month roles on orders: admission = urgent and high
+    priority, restaurant = medium, regular / part-time = customers of closed / open orders."""
+    c = U.group_total(_carried(spark, sf_dir), ["day", "park"], "carried", "park_total")
+    a = _att(spark, sf_dir).withColumnRenamed("facility", "park")
+    est = F.bround(F.try_divide(F.col("carried"), F.col("park_total")) * F.col("attendance"), 0)
+    rides = c.join(a, ["day", "park"], "left").select("day", "park", "ride", est.alias("est_attendance"), F.trunc("day", "MM").alias("month"))
+    price, status, prio = F.col("o_totalprice"), F.col("o_orderstatus"), F.col("o_orderpriority")
+    money = lambda c: F.sum(c.cast("decimal(18,2)")).cast("double")  # noqa: E731  exact in any order
+    month = _t(spark, sf_dir, "orders").groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month")).agg(
+        F.count(F.lit(1)).alias("visitors"), money(price).alias("total"),
+        money(F.when(prio.isin("1-URGENT", "2-HIGH"), price)).alias("admission"),
+        money(F.when(prio == "3-MEDIUM", price)).alias("restaurant"),
+        F.count_distinct(F.when(status == "F", F.col("o_custkey"))).alias("regular"),
+        F.count_distinct(F.when(status == "O", F.col("o_custkey"))).alias("part_time"))
+    j = rides.join(month, "month", "left")
+    of = lambda total: F.try_divide(F.col("est_attendance") * F.col(total), F.col("visitors"))
+    workers = lambda total: F.ceil(F.round(of(total), 6)).cast("long")
+    return j.select("day", "park", "ride", "est_attendance", F.floor(of("total")).cast("long").alias("sale"), F.floor(of("admission")).cast("long").alias("adm_sale"),
+                    F.floor(of("restaurant")).cast("long").alias("rest_sale"), workers("regular").alias("reg_worker"), workers("part_time").alias("part_worker"),
+                    (workers("regular") + workers("part_time")).alias("staff_count"))
+
+
 # ------------------------------------------------------------------ nested records (IoT)
 
 _RECORDS_SCHEMA = "array<struct<Attraction:string,Queue_Time:double,k:int>>"
@@ -203,14 +239,13 @@ def popular_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
   CAST(dense_rank() OVER (ORDER BY coalesce(p_type, 'nan')) - 1 AS BIGINT) AS type_idx,
   CAST(dense_rank() OVER (ORDER BY coalesce(p_brand, 'nan')) - 1 AS BIGINT) AS brand_idx FROM part""")
 def label_encode(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sorted distinct labels -> 0..n-1 (``StringIndexer`` alphabetAsc;
-    NULL is the class 'nan')."""
-    p = _t(spark, sf_dir, "part").na.fill("nan", subset=["p_type", "p_brand"])
-    idx = StringIndexer(inputCols=["p_type", "p_brand"], outputCols=["t", "b"],
-                        stringOrderType="alphabetAsc", handleInvalid="keep").fit(p)
-    out = idx.transform(p)
-    return out.select("p_partkey", F.col("t").cast("long").alias("type_idx"),
-                      F.col("b").cast("long").alias("brand_idx"))
+    """sorted distinct labels -> 0..n-1 (NULL is the class 'nan'), numbered over the distinct
+    labels only and joined back."""
+    p = _t(spark, sf_dir, "part").na.fill("nan", subset=["p_type", "p_brand"]).select("p_partkey", "p_type", "p_brand")
+    for label, idx in (("p_type", "type_idx"), ("p_brand", "brand_idx")):
+        codes = p.select(label).distinct().withColumn(idx, (F.row_number().over(Window.orderBy(label)) - 1).cast("long"))
+        p = p.join(codes, label)
+    return p.select("p_partkey", "type_idx", "brand_idx")
 
 
 def _onehot_name(r: str) -> str:
@@ -228,15 +263,26 @@ def one_hot(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     for r in REGIONS[1:]])
 
 
-@register("weighted_category")
+# Seasons and events of the synthetic visits with their shares.
+SEASON_SHARES = {"January - March": 0.1, "April - June": 0.1, "July - September": 0.4, "October - December": 0.4}
+EVENT_SHARES = {"None": 0.8, "Special Event": 0.2}
+
+
+@register("weighted_category", """WITH u AS (SELECT c_custkey AS respondent,
+  ('0x' || substr(md5(c_custkey || ':42'), 1, 8))::BIGINT / 4294967296.0 AS s,
+  ('0x' || substr(md5(c_custkey || ':43'), 1, 8))::BIGINT / 4294967296.0 AS e FROM customer),
+q AS (SELECT *, CASE WHEN s < 0.1 THEN 'January - March' WHEN s < 0.2 THEN 'April - June' WHEN s < 0.6 THEN 'July - September'
+  ELSE 'October - December' END AS visit_quarter FROM u)
+SELECT respondent, visit_quarter, CASE WHEN visit_quarter = 'October - December' THEN 'Special Event'
+  WHEN e < 0.8 THEN 'None' ELSE 'Special Event' END AS event FROM q""")
 def weighted_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """seeded weighted category per respondent (hash draw, stable under
-    repartitioning); the fourth quarter is always a special event."""
+    """seeded weighted season and event per respondent (hash draws, stable under
+    repartitioning); the last quarter always has a special event."""
     s = survey(spark, sf_dir)
-    base = S.weighted_choice("respondent", ["Weekday", "Weekend", "Public Holiday"], [0.6, 0.3, 0.1], 42)
-    q = S.season_of_month(F.pmod(F.col("respondent"), F.lit(12)) + 1, S.QUARTER_SEASONS)
-    return s.select("respondent", q.alias("visit_quarter"),
-                    F.when(q == "October - December", "Special Event").otherwise(base).alias("visit_type"))
+    q = S.weighted_choice("respondent", list(SEASON_SHARES), list(SEASON_SHARES.values()), 42)
+    e = S.weighted_choice("respondent", list(EVENT_SHARES), list(EVENT_SHARES.values()), 43)
+    return s.select("respondent", q.alias("visit_quarter"), e.alias("event")).withColumn(
+        "event", F.when(F.col("visit_quarter") == "October - December", "Special Event").otherwise(F.col("event")))
 
 
 # ------------------------------------------------------------------ calendar / weather

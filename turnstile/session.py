@@ -12,7 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -63,6 +63,29 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def snapshot(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared folder and read back: for a table that several parts of one query
+    read, so that none is computed twice and a lost executor costs no recomputation.  Files live until
+    the session ends: ``drop_snapshots`` removes what is no longer read."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, name)
+    df.write.parquet(path)
+    _SNAPSHOTS.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_SNAPSHOTS: list[str] = []
+
+
+def drop_snapshots(spark: SparkSession) -> int:
+    """Delete the tables that ``snapshot`` has written; the frames that read them end with it."""
+    gone = 0
+    while _SNAPSHOTS:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SNAPSHOTS.pop())
+        gone += bool(path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True))
+    return gone
+
+
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
                  target_partition_bytes: int = 256 << 20) -> dict[str, str]:
     """Settings for a cluster run sized from the input volume: enough initial
