@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from turnstile.operators import models as M
 from turnstile.plans import models as PM
 
+from turnstile.sources.tables import table
+
 from .conftest import SF_SMALL
 
 
@@ -26,7 +28,7 @@ def test_forest_metrics_bounds_and_seed(spark):
 
 def test_leave_one_out_contribution_is_exact(spark):
     model = PM.complaint_classifier(spark, SF_SMALL)
-    d = PM.labelled_docs(spark, SF_SMALL).limit(30)
+    d = table(spark, SF_SMALL, "documents").select("doc_id", "text").limit(30)
     scored = M.score_texts(model, d)
     contrib = M.word_contributions(model, scored, threshold=0.0)
     row = contrib.where(F.col("contribution") != 0).orderBy("doc_id", "pos").first()

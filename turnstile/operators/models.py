@@ -182,43 +182,51 @@ def kfold_scores(df: DataFrame, key: str, pipeline: Pipeline, label: str, folds:
 # ------------------------------------------------------------------ text classifier
 
 TOKEN_PATTERN = r"(?U)\w\w+"
+TERM_SLOTS = 1 << 18
 
 
-def text_classifier(reg_params: Sequence[float] = (0.01, 0.1), folds: int = 3, seed: int = 42,
-                    features: int = 1 << 18) -> CrossValidator:
-    """T5 (re-aimed BERT): tokens -> hashed counts -> idf -> logistic regression,
-    regularisation chosen by cross-validation on area under ROC.  Every term counts: it is
-    hashed into ``features`` slots, there is no vocabulary to cut."""
-    pipe = Pipeline(stages=[
-        RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
-        StopWordsRemover(inputCol="tokens", outputCol="words"),
-        HashingTF(inputCol="words", outputCol="tf", numFeatures=features),
-        IDF(inputCol="tf", outputCol="features"),
-        LogisticRegression(featuresCol="features", labelCol="label", maxIter=50),
-    ])
-    lr = pipe.getStages()[-1]
+def _term_stages(features: int) -> list:
+    return [RegexTokenizer(inputCol="text", outputCol="tokens", pattern=TOKEN_PATTERN, gaps=False, toLowercase=True),
+            StopWordsRemover(inputCol="tokens", outputCol="words"),
+            HashingTF(inputCol="words", outputCol="tf", numFeatures=features)]
+
+
+def hash_terms(df: DataFrame, features: int = TERM_SLOTS) -> DataFrame:
+    """Column ``tf``: hashed term counts of ``text``.  Nothing is fitted, so this runs beside the scan and a join
+    that follows moves counts, not texts.  Every term counts: there is no vocabulary to cut."""
+    return PipelineModel(_term_stages(features)).transform(df).drop("tokens", "words")
+
+
+def text_classifier(reg_params: Sequence[float] = (0.01, 0.1), folds: int = 3, seed: int = 42) -> CrossValidator:
+    """T5 (re-aimed BERT): hashed counts ``tf`` -> idf -> logistic regression on ``label``,
+    regularisation chosen by cross-validation on area under ROC."""
+    lr = LogisticRegression(featuresCol="features", labelCol="label", maxIter=50)
+    pipe = Pipeline(stages=[IDF(inputCol="tf", outputCol="features"), lr])
     grid = ParamGridBuilder().addGrid(lr.regParam, list(reg_params)).build()
     # the folds x grid fits are independent jobs: evaluate them concurrently
     return CrossValidator(estimator=pipe, estimatorParamMaps=grid, numFolds=folds, seed=seed,
                           evaluator=BinaryClassificationEvaluator(labelCol="label"), parallelism=4)
 
 
-def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:
-    """Class, probability and log odds of the positive (negative-review) class."""
+def score_terms(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """T6 on hashed counts: class, probability and log odds of the positive (negative-review) class."""
     s = model.transform(df)
     return s.withColumn("p_negative", vector_to_array("probability")[1]).withColumn(
-        "logit", vector_to_array("rawPrediction")[1]).drop("tokens", "words", "tf", "features", "rawPrediction", "probability")
+        "logit", vector_to_array("rawPrediction")[1]).drop("tf", "features", "rawPrediction", "probability")
+
+
+def score_texts(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """T6 on texts."""
+    return score_terms(model, hash_terms(df))
 
 
 def term_weights(model: PipelineModel, words: DataFrame) -> DataFrame:
     """``word`` -> ``word, w``: the log odds that one occurrence adds, i.e. those of the one-word text without
     the intercept (0 for stop words).  One row per distinct word, scored by the model itself."""
-    one = words.withColumn("words", F.array("word"))
-    one = model.stages[1].copy({model.stages[1].inputCol: "words", model.stages[1].outputCol: "kept"}).transform(one)
-    one = one.withColumn("words", F.col("kept"))
-    for stage in model.stages[2:]:
+    one = words.withColumn("tokens", F.array("word"))
+    for stage in [*_term_stages(TERM_SLOTS)[1:], *model.stages]:
         one = stage.transform(one)
-    return one.select("word", (vector_to_array("rawPrediction")[1] - F.lit(float(model.stages[4].intercept))).alias("w"))
+    return one.select("word", (vector_to_array("rawPrediction")[1] - F.lit(float(model.stages[-1].intercept))).alias("w"))
 
 
 def word_contributions(model: PipelineModel, scored: DataFrame, threshold: float = 0.5) -> DataFrame:

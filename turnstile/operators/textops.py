@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from turnstile.operators.joins import maybe_broadcast
-from turnstile.session import scratch_dir
+from turnstile.session import snapshot
 
 # Word tokens of two or more letters / digits / underscores (Unicode aware).
 WORD_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -35,24 +35,20 @@ def term_counts(docs: DataFrame, doc_id: str, text: str,
     return toks.groupBy(doc_id, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_contrast(docs: DataFrame, doc_id: str, text: str, label: str,
+def tfidf_contrast(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str,
                    max_features: int = 1000, top: int = 100) -> DataFrame:
     """Vocabulary and idf fitted on the ``label == 1`` documents;
     ``idf = ln((1 + n) / (1 + df)) + 1``; L2-normalised tf-idf per document;
-    mean over all documents of each class; top terms of mean(1) - mean(0)."""
-    spark = docs.sparkSession
-    lab = docs.select(doc_id, label)
-    # the (doc, term, tf, label) table feeds the vocabulary, the weights and the
-    # class means: it is written once under the checkpoint folder instead of
-    # tokenising the corpus again for each consumer
-    path = scratch_dir(spark, "term-counts")
-    term_counts(docs, doc_id, text).join(lab, doc_id).write.parquet(path)
-    tc = spark.read.parquet(path)
-    neg = tc.where(F.col(label) == 1)
-    vocab = (neg.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
+    mean over all documents of each class; top terms of mean(1) - mean(0).
+
+    Texts are counted beside their scan; only (doc, term, count) rows meet the labels."""
+    lab = labels.select(doc_id, label)
+    # feeds the vocabulary, the weights and the class means
+    tc = snapshot(term_counts(docs, doc_id, text).join(lab, doc_id), "term-counts")
+    n = {r[label]: r["n"] for r in docs.select(doc_id).join(lab, doc_id).groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n_neg, n_pos = n.get(1, 0), n.get(0, 0)
+    vocab = (tc.where(F.col(label) == 1).groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
              .orderBy(F.desc("freq"), "term").limit(max_features))
-    n_neg = docs.where(F.col(label) == 1).count()
-    n_pos = docs.where(F.col(label) == 0).count()
     vocab = vocab.withColumn("idf", F.log((1.0 + n_neg) / (1.0 + F.col("df"))) + 1.0)
     # the vocabulary has at most max_features rows
     w = tc.join(maybe_broadcast(vocab.select("term", "idf"), known_small=True), "term") \

@@ -232,11 +232,12 @@ def weather_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # ------------------------------------------------------------------ review classifier
 
-def labelled_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, tf, label``: the texts become counts before they meet their labels."""
     from turnstile.sources.tables import documents
-    d = documents(spark, sf_dir, "doc_id", "text")
+    terms = M.hash_terms(documents(spark, sf_dir, "doc_id", "text")).select("doc_id", "tf")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").cast("double").alias("label"))
-    return d.join(lab, "doc_id")
+    return terms.join(lab, "doc_id")
 
 
 def _state(spark: SparkSession, sf_dir: str, *names: str) -> tuple:
@@ -255,7 +256,7 @@ def complaint_classifier(spark: SparkSession, sf_dir: str):
     """T5: the last fitted model is reused by T6-T8 as long as its input files are the same."""
     key = _state(spark, sf_dir, "documents", "labels")
     if key not in _FITTED:
-        train, _ = M.split_by_hash(labelled_docs(spark, sf_dir), "doc_id")
+        train, _ = M.split_by_hash(labelled_terms(spark, sf_dir), "doc_id")
         _FITTED.clear()
         _FITTED[key] = M.text_classifier().fit(train).bestModel
     return _FITTED[key]
@@ -266,9 +267,8 @@ def complaint_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """T5 + T6 + T9 + G37: hold-out predictions with the negative-class
     probability and the hold-out flag."""
     model = complaint_classifier(spark, sf_dir)
-    docs = labelled_docs(spark, sf_dir)
     from turnstile.functions.scalars import hash_split
-    s = M.score_texts(model, docs.withColumn("is_train", hash_split("doc_id", 42)))
+    s = M.score_terms(model, labelled_terms(spark, sf_dir).withColumn("is_train", hash_split("doc_id", 42)))
     return s.select("doc_id", "label", "prediction", F.round("p_negative", 6).alias("p_negative"), "is_train")
 
 

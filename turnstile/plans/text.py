@@ -248,7 +248,7 @@ def tfidf_contrast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Distinguishing terms of toxic (negative) vs other labelled documents."""
     d = documents(spark, sf_dir, "doc_id", "text")
     lab = table(spark, sf_dir, "labels").select("doc_id", F.col("toxic").alias("label"))
-    return tfidf_contrast(d.join(lab, "doc_id"), "doc_id", "text", "label")
+    return tfidf_contrast(d, lab, "doc_id", "text", "label")
 
 
 def _replace_sql(expr: str) -> str:
