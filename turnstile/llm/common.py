@@ -78,3 +78,27 @@ def free_shuffles(spark: SparkSession) -> None:
     before the next phase writes its own."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def hash_bitmap(hashes: DataFrame, column: str, bits: int):
+    """numpy uint64 words of a bitmap with the bit ``hash mod bits`` set for every row.
+
+    ``bits`` (a power of two, at least 32768) is a parameter, so what comes to the driver and goes to the tasks
+    has the same size for any input: a filter that lets some hashes pass in vain, but loses none."""
+    import numpy as np
+
+    value = F.pmod(F.col(column), F.lit(bits).cast("bigint")) + 1
+    parts = hashes.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("k")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("b")).collect()  # bits / 32768 rows of 4 KB
+    words = np.zeros(bits // 64, dtype=np.uint64)
+    for r in parts:
+        words[(r["k"] - 1) * 512:r["k"] * 512] = np.frombuffer(bytes(r["b"]), dtype="<u8")
+    return words
+
+
+def in_bitmap(words, hashes):
+    """Which of the uint64 ``hashes`` have their bit set."""
+    import numpy as np
+
+    b = hashes & np.uint64(64 * len(words) - 1)
+    return (words[(b >> np.uint64(6)).astype(np.int64)] >> (b & np.uint64(63)) & np.uint64(1)).astype(bool)

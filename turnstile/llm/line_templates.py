@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from turnstile.llm.common import stored
+from turnstile.llm.common import hash_bitmap, stored
 
 _DIGIT = re.compile(r"[0-9]")
 FIELD = "<*>"
@@ -56,18 +56,9 @@ def _leaves(depth: int, min_tokens: int):
 
 
 def shared_leaf_bits(docs: DataFrame, text_col: str, depth: int, min_tokens: int, min_docs: int, bits: int):
-    """Bitmap (numpy uint64, ``bits`` long whatever the input) of the leaves found in ``min_docs`` documents."""
-    import numpy as np
-
+    """Bitmap (``bits`` long whatever the input) of the leaves found in ``min_docs`` documents."""
     leaf = docs.select(F.explode(_leaves(depth, min_tokens)(F.col(text_col))).alias("leaf"))
-    often = leaf.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
-    at = often.select(F.pmod("leaf", F.lit(bits)).alias("b"))
-    words = at.groupBy(F.floor(F.col("b") / 64).cast("int").alias("w")).agg(
-        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), (F.col("b") % 64).cast("int"))).alias("m"))
-    bitmap = np.zeros(bits // 64, dtype=np.int64)
-    got = words.toPandas()  # at most bits / 64 rows
-    bitmap[got["w"].to_numpy(dtype=np.int64)] = got["m"].to_numpy(dtype=np.int64)
-    return bitmap.view(np.uint64)
+    return hash_bitmap(leaf.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaf", bits)
 
 
 def _candidate_lines(bitmap, depth: int, min_tokens: int):
@@ -137,6 +128,7 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each = named.groupBy("template", "id", "text_hash").agg(F.min("line").alias("line"))
     often = each.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct(
         F.col("id").isNull().alias("no"), "id", "text_hash", "line")).alias("first")).where(F.col("n") >= min_docs)
+    often = stored(often, "template-often")  # a table of its own: the join may split a template's lines
     drop = named.join(often.select("template", "first"), "template").where(
         ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))
           & (F.col("line") == F.col("first.line"))))
