@@ -1,8 +1,11 @@
 """SURVEY §5 invariants on the driver data (sf0.001)."""
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from turnstile.plans.io import STREAM_WATERMARK_S
 
 from .conftest import SF_SMALL
 
@@ -39,6 +42,13 @@ def test_sessions_partition_visits_and_visit_counts_add_up(spark):
     assert v.count() == s.select("visitor", "session_id").distinct().count()
 
 
-def test_stream_equals_batch_sessions(spark):
+def test_closed_stream_sessions_hold_their_events(spark):
+    # append mode: only sessions that the watermark has closed
     st = Q["stream_sessions"](spark, SF_SMALL)
-    assert st.agg(F.sum("n_events")).first()[0] == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
+    rows = st.collect()
+    ev = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    end = ev.agg(F.max("ts")).first()[0]
+    assert rows and all(len(r.rides) == r.n_events and 0 <= r.express_share <= 1 for r in rows)
+    assert all(r.session_end <= end - dt.timedelta(seconds=STREAM_WATERMARK_S) for r in rows)
+    closed = ev.where(F.col("ts") < F.lit(end - dt.timedelta(days=30)))
+    assert closed.count() <= sum(r.n_events for r in rows) <= ev.count()
