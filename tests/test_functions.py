@@ -125,3 +125,12 @@ def test_parse_python_literal_records_with_apostrophe(spark):
     rows = df.select(parse_records("t").alias("r")).collect()
     assert [(x.Attraction, x.Queue_Time, x.k) for x in rows[0].r] == [("Mel's Diner", 12.5, 3), ("Coaster", 0.0, 4)]
     assert rows[1].r == []
+
+
+def test_signed_rank_p_equals_enumeration():
+    import itertools
+    for n in (1, 4, 9):
+        sums = [sum(r for r, s in zip(range(1, n + 1), signs) if s) for signs in itertools.product((0, 1), repeat=n)]
+        for w in range(n * (n + 1) // 4 + 1):
+            want = min(1.0, 2 * sum(x <= w for x in sums) / len(sums))
+            assert abs(ST.signed_rank_p(w, n) - want) < 1e-12

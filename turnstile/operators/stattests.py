@@ -121,6 +121,27 @@ def normal_two_sided_p(z: pd.Series) -> pd.Series:
     return pd.Series([math.erfc(abs(v) / math.sqrt(2.0)) if pd.notna(v) else np.nan for v in z])
 
 
+# Up to this many values the signed-rank distribution is counted out.
+EXACT_SIGNED_RANKS = 50
+
+
+def signed_rank_p(w: float, n: int) -> float:
+    """Two-sided p of the smaller rank sum ``w`` of ``n`` untied values: the share of all 2^n sign patterns with a
+    rank sum as small, counted rank by rank."""
+    ways = np.zeros(n * (n + 1) // 2 + 1)
+    ways[0] = 1.0
+    for rank in range(1, n + 1):
+        ways[rank:] += ways[:-rank].copy()
+    return float(min(1.0, 2.0 * ways[: int(w) + 1].sum() / 2.0 ** n))
+
+
+@pandas_udf(T.DoubleType())
+def signed_rank_pvalue(w: pd.Series, n: pd.Series, z: pd.Series, tie_term: pd.Series) -> pd.Series:
+    """Exact for few untied values, the normal approximation otherwise."""
+    return pd.Series([np.nan if pd.isna(a) else signed_rank_p(a, int(m)) if m <= EXACT_SIGNED_RANKS and not t
+                      else math.erfc(abs(b) / math.sqrt(2.0)) for a, m, b, t in zip(w, n, z, tie_term, strict=True)])
+
+
 def chi2_2df_sf(x):
     """Survival function of chi-square with 2 degrees of freedom."""
     return F.exp(-x / 2.0)

@@ -216,16 +216,16 @@ def campaign_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("campaign_significance")
 def campaign_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per metric, normality gate (JB p > .05) picks the t-test or the
-    signed-rank test; verdict at alpha .05."""
+    signed-rank test (exact for few untied changes); verdict at alpha .05."""
     from turnstile.operators import stattests as ST
     lg = _long(spark, sf_dir)
     t = ST.t_test(lg).select("metric", "n", "t")
-    w = ST.wilcoxon(lg).select("metric", "z")
+    w = ST.wilcoxon(lg).select("metric", "z", "w", F.col("n").alias("n_signed"), "tie_term")
     j = ST.jarque_bera(lg).select("metric", "jb")
     r = t.join(w, "metric", "left").join(j, "metric", "left")
     r = (r.withColumn("p_normal", ST.chi2_2df_sf(F.col("jb")))
          .withColumn("p_t", ST.t_pvalue(F.col("t"), (F.col("n") - 1).cast("double")))
-         .withColumn("p_wilcoxon", ST.normal_two_sided_p(F.col("z"))))
+         .withColumn("p_wilcoxon", ST.signed_rank_pvalue("w", F.col("n_signed").cast("double"), "z", "tie_term")))
     normal = F.coalesce(F.col("p_normal") > 0.05, F.lit(False))
     p = F.when(normal, F.col("p_t")).otherwise(F.col("p_wilcoxon"))
     return r.select("metric", "n", F.when(normal, "t-test").otherwise("wilcoxon").alias("test"),
