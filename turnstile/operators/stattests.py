@@ -10,14 +10,19 @@ vectorised pandas UDF over the one-row-per-metric result.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
+# the p-value functions travel with the tasks: executors need no copy of the repository
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def long_metrics(df: DataFrame, key: str, metrics: list[str]) -> DataFrame:
     """Unpivot the metric columns; NULL changes are dropped (n is reported)."""
