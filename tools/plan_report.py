@@ -45,9 +45,8 @@ def summarize(plan: str) -> dict:
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.01"
     spark = local_session(app="turnstile-plans")
-    import __spark_entry__ as entry
+    from turnstile.plans import QUERIES as qs
 
-    qs = entry.queries()
     print(f"# Physical plans ({sf_dir})\n")
     print("Generated by `tools/plan_report.py`: the formatted plan of each query before AQE re-planning "
           "(AQE may still turn a shuffle join into a broadcast join at run time).  Model queries are "

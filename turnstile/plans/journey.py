@@ -136,6 +136,7 @@ def express_row(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F31 + G7 + J10: wait below the p30 of its (ride, day type); a missing
     threshold is +inf."""
     w = J.with_day_type(waits(spark, sf_dir), "slot", day_table(spark, sf_dir))
+    w = snapshot(w.select("slot", "ride", "wait", "day_type"), "typed-waits")  # read by the threshold and the flag
     e = J.below_group_quantile(w, ["ride", "day_type"], "wait", 0.3, "express")
     return e.select("slot", "ride", "wait", "day_type", "express")
 
