@@ -148,6 +148,9 @@ def test_html_edges(spark):
     by = {}
     for r in got:
         by.setdefault(r.page_id, []).append(r.text)
+    model = trained_model()
+    assert model.text("<html><head><title>T<body><article><h1>A title</h1><p>Some words, here.</p></article>") == "A title Some words, here."
+    assert model.text("<article><p>One, two.</p><select><option>a<option>b<p>Three, four.</p></article>") == "One, two. Three, four."
     assert by[1] == [""] and by[None] == [""] and by[5] == [""] and by[6] == [""]
     assert any(t.startswith("T & U One two three. word word") for t in by[8])
     assert extract_main_text(df.limit(0)).count() == 0

@@ -27,9 +27,12 @@ INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIP = frozenset("script style noscript template textarea select option head title svg math iframe object canvas audio "
                  "video button datalist".split())
-#: opening one of the values closes an open key
+#: skipped elements that a block element ends where their end tag is missing
+LOOSE = frozenset("head title select option datalist".split())
+#: block elements that close an open paragraph
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form "
                      "h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+#: opening a key closes an open one of its values
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",), "thead": ("thead", "tbody"), "tbody": ("thead", "tbody")}
 SCOPE = frozenset("ul ol dl table div article section body html".split())
@@ -57,6 +60,8 @@ class TreeBuilder(HTMLParser):
         self.run: Node | None = None
 
     def handle_starttag(self, tag: str, attrs) -> None:
+        if self.skipping and self.skip_tag in LOOSE and (tag == "body" or tag in CLOSES_P):
+            self.skipping = 0  # left open: the page's body ends it
         if self.skipping:
             self.skipping += tag == self.skip_tag
             return
@@ -385,7 +390,8 @@ class _Page:
         tag, attrs = r.choice((("article", ""), ("article", self.attrs("post", "entry", "story", "article")), ("div", ' class="%s"' % r.choice(
             ("content", "article-body", "post-content", "entry-content", "story", "main-content", "article", "text"))),
             ("section", ' class="article"'), ("div", ' itemprop="articleBody"')))
-        self.raw(f"<{tag}{attrs}>")
+        bare = r.random() < 0.08  # paragraphs without a container of their own
+        self.raw("" if bare else f"<{tag}{attrs}>")
         title = r.choice((self.words(1, 9), self.prose(1)))
         if r.random() < 0.9:
             wrap = r.random() < 0.15
@@ -413,7 +419,7 @@ class _Page:
                 self.raw("<div>"), self.block("p", self.prose(r.randint(1, 4)), True), self.raw("</div>")
             else:
                 self.furniture(r.choice(("ad", "ad", "share", "sidebar", "form")))
-        self.raw(f"</{tag}>")
+        self.raw("" if bare else f"</{tag}>")
 
     def html(self) -> str:
         r = self.r
