@@ -88,8 +88,9 @@ def hash_bitmap(hashes: DataFrame, column: str, bits: int):
     import numpy as np
 
     value = F.pmod(F.col(column), F.lit(bits).cast("bigint")) + 1
-    parts = hashes.select(value.alias("v")).groupBy(F.bitmap_bucket_number("v").alias("k")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("v")).alias("b")).collect()  # bits / 32768 rows of 4 KB
+    # to the bucket's place first: partial bitmaps of every task would move 4 KB a bucket each
+    parts = (hashes.select(F.bitmap_bucket_number(value).alias("k"), F.bitmap_bit_position(value).alias("p"))
+             .repartition("k").groupBy("k").agg(F.bitmap_construct_agg("p").alias("b")).collect())  # bits / 32768 rows
     words = np.zeros(bits // 64, dtype=np.uint64)
     for r in parts:
         words[(r["k"] - 1) * 512:r["k"] * 512] = np.frombuffer(bytes(r["b"]), dtype="<u8")
