@@ -30,6 +30,9 @@ def test_measures_equal_brute_force(spark):
         want.append((len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in t), len(lines) - len(set(lines)), repeat_words(w)))
     assert sorted(got) == sorted(want)
     assert rule_ledger(df.limit(0)).count() == 0
+    kept = apply_policy(rule_ledger(df), "v2").where("kept AND n_words > 3")  # a filter copies no measuring
+    assert len(kept._jdf.queryExecution().optimizedPlan().toString()) < 60_000
+    assert kept.count() == sum(r.kept and r.n_words > 3 for r in apply_policy(rule_ledger(df), "v2").collect())
 
 
 def test_policies_and_ablations(spark):
