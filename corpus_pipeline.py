@@ -49,7 +49,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All remaining documents with their place in the mix."""
-    return mix_sources(docs, size_weights(docs))
+    return mix_sources(docs, size_weights(docs), carried=True)
 
 
 STAGES = [

@@ -9,7 +9,7 @@ import corpus_pipeline
 from turnstile.llm.common import connected_components, stored
 from turnstile.llm.decontam import MASKS, contaminated_documents, contaminated_pairs, drop_contaminated
 from turnstile.llm.line_templates import drop_recurring_lines, recurring_lines
-from turnstile.llm.mixing import mix_sources, pfair_pattern, size_weights, whole_shares
+from turnstile.llm.mixing import carried_schedule, exact_targets, mix_sources, pfair_pattern, size_weights, whole_shares
 from turnstile.llm.quality_fm import text_features, train_quality
 
 from .brute import components, edf, fingerprint, leaked, recurring
@@ -84,6 +84,48 @@ def test_mix_edges(spark):
     assert mix_sources(df.limit(0), size_weights(df.limit(0))).count() == 0
 
 
+@pytest.mark.parametrize("n, periods", [(3, 9), (20, 6), (399, 3), (1000, 2)])
+def test_carried_shares_keep_the_given_weights(spark, n, periods):
+    given = [0.5] + [0.5 / (n - 1) * (1 + 0.3 * (-1) ** i) for i in range(n - 1)]
+    df = spark.createDataFrame([(f"s{i:04}", w) for i, w in enumerate(given)], "source string, weight double")
+    rows = carried_schedule(exact_targets(df, 400).withColumn("periods", F.lit(periods).cast("long"))).orderBy("slot").collect()
+    assert [r.slot for r in rows] == list(range(len(rows))) and len(rows) >= 400 * periods
+    target, done = [w / sum(given) for w in given], [0] * n
+    for t, r in enumerate(rows, 1):
+        i = int(r.source[1:])
+        assert r.block == done[i] and r.release <= r.slot < r.deadline
+        done[i] += 1
+        assert all(abs(k - w * t) < 2 for k, w in zip(done, target))
+
+
+def test_pipeline_mix_keeps_the_given_weights(spark):
+    rows = [(k, "hot", "x" * 19) for k in range(1700)] + [(2000 + k, f"s{k % 19:02}", "x") for k in range(19 * 90)]
+    df = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    weights = {r.source: r.weight for r in size_weights(df).collect()}
+    got = corpus_pipeline.mixing(spark, df, SF).collect()
+    assert sorted(r.doc_id for r in got) == sorted(r[0] for r in rows) and all(r.release <= r.slot < r.deadline for r in got)
+    owner = {}
+    assert all(owner.setdefault(r.slot, (r.source, r.block)) == (r.source, r.block) for r in got)
+    end = max(r.slot for r in got if r.in_mix) + 1
+    assert end > 350 and all(r.in_mix == (r.slot < end) for r in got)
+    done = dict.fromkeys(weights, 0)
+    for t in range(end):
+        done[owner[t][0]] += 1
+        assert all(abs(done[s] - w / sum(weights.values()) * (t + 1)) < 2 for s, w in weights.items())
+
+
+def test_carried_mix_edges(spark):
+    rows = [(i if i % 9 else None, "hot" if i % 3 else [None, "b", "c"][i % 9 // 3]) for i in range(400)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id bigint, source string").withColumn("text", F.lit("x")).withColumn("slot", F.lit("s"))
+    none = spark.createDataFrame([("hot", 1.0), ("b", 0.0), ("other", 3.0)], "source string, weight double")
+    for weights in (size_weights(df), none, none.where("weight = 0")):
+        got = [mix_sources(df, weights, block_rows=4, period=50, prefix=p, carried=True).collect() for p in (1, 3)]
+        assert len(got[0]) == 403 and len({(r.source, r.block) for r in got[0]}) == len({r.slot for r in got[0]})
+        assert all(r.release <= r.slot < r.deadline for r in got[0])
+        assert len({tuple(sorted((repr(r.doc_id), repr(r.source), r.slot) for r in g)) for g in got}) == 1
+    assert mix_sources(df.limit(0), size_weights(df.limit(0)), carried=True).count() == 0
+
+
 # --- line templates ---
 def test_line_templates(spark):
     names = "amber birch cedar daisy elder fir grape hazel iris jade".split()
