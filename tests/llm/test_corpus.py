@@ -149,6 +149,27 @@ def test_lines_equal_brute_force(spark):
     assert want and got == want
 
 
+def test_long_lines_recur_from_two_documents(spark):
+    from turnstile.llm.queries import op8_line_templates
+
+    long = lambda tag: " ".join(f"{tag}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(50))
+    near = long("c").replace("caz", "other")
+    rows = [(1, long("a") + "\nshort line of five tokens"), (2, "own words of two\n" + long("a")), (3, "short line of five tokens\n" + long("b")),
+            (4, long("c") + "\n" + long("d")[:-4]), (5, near), (6, long("d")[:-4])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    # 50 tokens: literal and with a changed word; 49 tokens and short lines keep the higher threshold
+    assert {r.id: r.lines for r in recurring_lines(df, long_tokens=50).collect()} == {2: [1], 5: [0]}
+    assert recurring_lines(df).count() == 0
+    texts = {r.doc_id: r.text for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+    seen, want = set(), {}
+    for i in sorted(texts):
+        lines = {tuple(x.split()) for x in (texts[i] or "").split("\n") if len(x.split()) >= 50}
+        want[i] = len(lines & seen)
+        seen |= lines
+    assert sum(want.values()) > 20
+    assert all(r.n_dropped >= want[r.doc_id] for r in op8_line_templates(spark, SF).collect())
+
+
 # --- components and pipeline ---
 def test_connected_components(spark):
     edges = [(i, i + 1) for i in range(100, 160)] + [(1, 5), (5, 9), (9, 1), (7, 7), (-3, 9), (50, 2 ** 62)]

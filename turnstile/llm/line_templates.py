@@ -5,7 +5,9 @@ with a digit already count as a variable field.  In the leaf the other fields ar
 field is fixed where its token is dominant in the leaf (at least ``min_docs`` distinct lines and a
 tenth of them), variable elsewhere.  A line belongs to its literal template, and to the
 generalised one if most of its fields are fixed.  Templates that occur in ``min_docs`` or more
-documents are recurring; their lines go everywhere but at the first occurrence.
+documents are recurring; their lines go everywhere but at the first occurrence.  With ``long_tokens``,
+lines of so many tokens are evidence enough in ``long_min_docs`` documents: for them that number
+takes the place of ``min_docs`` everywhere.
 
 Tokens leave their document as 32-bit hashes, and only from leaves that enough lines share: a
 bitmap of fixed size (leaf hash modulo its bits) says which; false positives cost work, never results.
@@ -31,14 +33,19 @@ def line_tokens(line: str) -> list[str]:
     return [FIELD if _DIGIT.search(w) else w for w in words] if _DIGIT.search(line) else words
 
 
-def leaf_hash(tokens: list[str], depth: int) -> int:
+def leaf_hash(tokens: list[str], depth: int, long_tokens: int | None = None) -> int:
+    """63 bits of hash; the sign says whether the leaf's lines are long."""
     import xxhash
 
-    return int.from_bytes(xxhash.xxh64_digest(
-        f"{len(tokens)}\n{' '.join(tokens[:depth])}".encode("utf-8", "replace")), "big", signed=True)
+    h = xxhash.xxh64_intdigest(f"{len(tokens)}\n{' '.join(tokens[:depth])}".encode("utf-8", "replace")) & (1 << 63) - 1
+    return h - (1 << 63) if long_tokens is not None and len(tokens) >= long_tokens else h
 
 
-def _leaves(depth: int, min_tokens: int):
+def _needed(min_docs: int, long_min_docs: int):
+    return F.when(F.col("leaf") < 0, long_min_docs).otherwise(min_docs)
+
+
+def _leaves(depth: int, min_tokens: int, long_tokens: int | None):
     @F.pandas_udf("array<bigint>")
     def leaves(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for part in texts:
@@ -48,20 +55,21 @@ def _leaves(depth: int, min_tokens: int):
                 for line in (text or "").split("\n"):
                     tokens = line_tokens(line)
                     if len(tokens) >= min_tokens:
-                        found.add(leaf_hash(tokens, depth))
+                        found.add(leaf_hash(tokens, depth, long_tokens))
                 out.append(list(found))
             yield pd.Series(out)
 
     return leaves
 
 
-def shared_leaf_bits(docs: DataFrame, text_col: str, depth: int, min_tokens: int, min_docs: int, bits: int):
-    """Bitmap (``bits`` long whatever the input) of the leaves found in ``min_docs`` documents."""
-    leaf = docs.select(F.explode(_leaves(depth, min_tokens)(F.col(text_col))).alias("leaf"))
-    return hash_bitmap(leaf.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs), "leaf", bits)
+def shared_leaf_bits(docs: DataFrame, text_col: str, depth: int, min_tokens: int, min_docs: int, bits: int,
+                     long_tokens: int | None = None, long_min_docs: int = 2):
+    """Bitmap (``bits`` long whatever the input) of the leaves found in ``min_docs`` (long ones: ``long_min_docs``) documents."""
+    leaf = docs.select(F.explode(_leaves(depth, min_tokens, long_tokens)(F.col(text_col))).alias("leaf"))
+    return hash_bitmap(leaf.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= _needed(min_docs, long_min_docs)), "leaf", bits)
 
 
-def _candidate_lines(bitmap, depth: int, min_tokens: int):
+def _candidate_lines(bitmap, depth: int, min_tokens: int, long_tokens: int | None):
     bits = len(bitmap) * 64
 
     def lines(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +84,7 @@ def _candidate_lines(bitmap, depth: int, min_tokens: int):
                     tokens = line_tokens(line)
                     if len(tokens) < min_tokens:
                         continue
-                    leaf = leaf_hash(tokens, depth)
+                    leaf = leaf_hash(tokens, depth, long_tokens)
                     b = leaf % bits
                     if not int(bitmap[b >> 6]) >> (b & 63) & 1:
                         continue
@@ -93,7 +101,7 @@ def _candidate_lines(bitmap, depth: int, min_tokens: int):
 
 def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = 5, depth: int = 4,
                     min_tokens: int = 3, min_fixed: float = 0.7, min_general_tokens: int = 9,
-                    bitmap_bits: int = 1 << 26) -> DataFrame:
+                    bitmap_bits: int = 1 << 26, long_tokens: int | None = None, long_min_docs: int = 2) -> DataFrame:
     """``id, text_hash, lines``: per document the 0-based numbers of the lines to drop (see the module).
 
     A document is an id with a text: repeated rows of both count once.  Lines under ``min_tokens``
@@ -102,18 +110,19 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Null or empty texts have no lines; an empty table gives no rows."""
     rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.col(text_col).alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
-    bitmap = shared_leaf_bits(docs, text_col, depth, min_tokens, min_docs, bitmap_bits)
+    bitmap = shared_leaf_bits(docs, text_col, depth, min_tokens, min_docs, bitmap_bits, long_tokens, long_min_docs)
+    needed = _needed(min_docs, long_min_docs)
     lines = stored(rows.mapInPandas(
-        _candidate_lines(bitmap, depth, min_tokens),
+        _candidate_lines(bitmap, depth, min_tokens, long_tokens),
         f"id {id_type}, text_hash bigint, line int, leaf bigint, whole bigint, tokens array<int>"), "template-lines")
 
     # dominant tokens of each leaf, over its distinct lines
     distinct = (lines.where(F.size("tokens") >= min_general_tokens).groupBy("leaf", "whole")
                 .agg(F.first("tokens").alias("tokens")))
     distinct = stored(distinct, "template-distinct")
-    size = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs)
+    size = distinct.groupBy("leaf").agg(F.count("*").alias("n")).where(F.col("n") >= needed)
     token = (distinct.join(size, "leaf", "left_semi").select("leaf", F.posexplode("tokens").alias("at", "token"))
-             .groupBy("leaf", "at", "token").agg(F.count("*").alias("k")).where(F.col("k") >= min_docs))
+             .groupBy("leaf", "at", "token").agg(F.count("*").alias("k")).where(F.col("k") >= needed))
     fixed = (token.join(size, "leaf").where(10 * F.col("k") >= F.col("n"))
              .groupBy("leaf").agg(F.collect_list(F.struct("at", "token")).alias("fixed")))  # ten tokens a field at most
     general = distinct.join(fixed, "leaf").select("leaf", "whole", F.transform("tokens", lambda t, i: F.when(
@@ -122,12 +131,13 @@ def recurring_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     general = general.select("whole", "leaf", F.xxhash64("leaf", "fields").alias("template"))
 
     place = lines.select("id", "text_hash", "line", "leaf", "whole")
-    named = (place.select("id", "text_hash", "line", F.xxhash64("leaf", "whole").alias("template"))
-             .unionByName(place.join(general, ["leaf", "whole"]).select("id", "text_hash", "line", "template")))
+    named = (place.select("id", "text_hash", "line", needed.alias("needed"), F.xxhash64("leaf", "whole").alias("template"))
+             .unionByName(place.join(general, ["leaf", "whole"]).select(
+                 "id", "text_hash", "line", needed.alias("needed"), "template")))
     named = stored(named, "template-names")
-    each = named.groupBy("template", "id", "text_hash").agg(F.min("line").alias("line"))
-    often = each.groupBy("template").agg(F.count("*").alias("n"), F.min(F.struct(
-        F.col("id").isNull().alias("no"), "id", "text_hash", "line")).alias("first")).where(F.col("n") >= min_docs)
+    each = named.groupBy("template", "id", "text_hash").agg(F.min("line").alias("line"), F.first("needed").alias("needed"))
+    often = each.groupBy("template").agg(F.count("*").alias("n"), F.first("needed").alias("needed"), F.min(F.struct(
+        F.col("id").isNull().alias("no"), "id", "text_hash", "line")).alias("first")).where(F.col("n") >= F.col("needed"))
     often = stored(often, "template-often")  # a table of its own: the join may split a template's lines
     drop = named.join(often.select("template", "first"), "template").where(
         ~(F.col("id").eqNullSafe(F.col("first.id")) & (F.col("text_hash") == F.col("first.text_hash"))

@@ -182,7 +182,7 @@ def op2_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the lines of templates that recur across documents."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = drop_recurring_lines(docs, count_into="n_dropped")
+    out = drop_recurring_lines(docs, count_into="n_dropped", long_tokens=50)
     kept = F.coalesce("text", F.lit(""))
     return out.select("doc_id", "n_dropped", F.length(kept).cast("long").alias("kept_chars"), F.sha2(kept, 256).alias("kept_sha256"))
 
