@@ -45,3 +45,12 @@ def test_leave_one_out_contribution_is_exact(spark):
     p0 = M.score_texts(model, spark.createDataFrame([(text,)], "text string")).first().p_negative
     p1 = M.score_texts(model, spark.createDataFrame([(rest,)], "text string")).first().p_negative
     assert abs((p0 - p1) - row.contribution) < 1e-9
+
+
+def test_cv_scores_fold_the_demand_model_over_all_rows(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(M, "kfold_scores", lambda df, key, pipeline, label, **k: seen.setdefault(label, (df, pipeline)) and [(0, 1.0)])
+    PM.cv_scores(spark, SF_SMALL).collect()
+    lines, trees = seen["l_extendedprice"]
+    assert trees.getStages()[-1].getMaxIter() == PM.BOOSTED_TREES == 500
+    assert lines.count() == table(spark, SF_SMALL, "lineitem").count()
