@@ -54,3 +54,24 @@ def test_cv_scores_fold_the_demand_model_over_all_rows(spark, monkeypatch):
     lines, trees = seen["l_extendedprice"]
     assert trees.getStages()[-1].getMaxIter() == PM.BOOSTED_TREES == 500
     assert lines.count() == table(spark, SF_SMALL, "lineitem").count()
+
+
+def test_density_segments_equal_brute_force_over_all_customers(spark):
+    got = {r.c_custkey: r.cluster for r in PM.density_segments(spark, SF_SMALL).collect()}
+    cell = {r.c_custkey: (int(r.pc1 // 0.5), int(r.pc2 // 0.5)) for r in PM._pca(spark, SF_SMALL).collect()}
+    assert set(got) == set(cell) and len(got) == table(spark, SF_SMALL, "customer").count()
+    around = lambda c: [(c[0] + x, c[1] + y) for x in (-1, 0, 1) for y in (-1, 0, 1)]
+    cells = list(cell.values())
+    count = {c: cells.count(c) for c in set(cells)}
+    core = {c for c in count if sum(count.get(n, 0) for n in around(c)) >= 10}
+    label = {}
+    for start in sorted(core):
+        todo = [] if start in label else [start]
+        while todo:
+            c = todo.pop()
+            if label.setdefault(c, start) == start:
+                todo += [n for n in around(c) if n in core and n not in label]
+    for k, c in cell.items():
+        near = [label[c]] if c in core else sorted(label[n] for n in around(c) if n in core)
+        assert got[k] == ("%d:%d" % near[0] if near else None)
+    assert len(core) > 1

@@ -123,6 +123,12 @@ def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return M.grid_density_clusters(pts, "x", "y").select("l_orderkey", "l_linenumber", "cluster")
 
 
+@register("density_segments")
+def density_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """M6 of all customers in the plane of their two principal components, the points of the other segmentations."""
+    return M.grid_density_clusters(_pca(spark, sf_dir).select("c_custkey", "pc1", "pc2"), "pc1", "pc2").select("c_custkey", "cluster")
+
+
 # ------------------------------------------------------------------ regression models
 
 def line_features(spark: SparkSession, sf_dir: str) -> DataFrame:
