@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from turnstile.llm.chat import format_conversations, loss_text
 from turnstile.llm.common import table
 from turnstile.llm.decontam import contaminated_documents
+from turnstile.llm.fim_swar import fill_in_middle, restore_text
 from turnstile.llm.html_tree import extract_main_text
 from turnstile.llm.line_templates import drop_recurring_lines
 from turnstile.llm.mixing import mix_sources, size_weights
@@ -18,6 +19,8 @@ from turnstile.llm.quality_fm import held_out, with_quality
 from turnstile.llm.rule_ledger import RULES, apply_policy, policy_mask, rule_bit, rule_ledger
 from turnstile.llm.simhash import fingerprint_hex, simhash_groups
 from turnstile.llm.suffix_dedup import remove_repeats
+from turnstile.llm.token_align import aligned_documents
+from turnstile.llm.weighted_sampling import fingerprint_edits
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -213,3 +216,43 @@ def op9_suffix_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
     gone = F.aggregate("removed", F.lit(0).cast("long"), lambda a, x: a + (x["end"] - x["start"]))
     return out.select(F.col("id").alias("doc_id"), "n_bytes", gone.alias("n_removed"),
                       F.size("removed").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op11_weighted_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted samples of every document and of its edited text, and their likeness."""
+    out = fingerprint_edits(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint",
+                      "near_edited", "near_next")
+
+
+@query
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers in every document, scored by the id pairs' document counts."""
+    out = aligned_documents(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+@query
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text cut at two drawn units and reordered, and the text restored from the result."""
+    out = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "fim.*")
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restore_text(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
+ORACLE["op13_fill_in_middle"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS x FROM documents),
+h AS (SELECT *, regexp_extract_all(t, '[A-Za-z]+|[^A-Za-z]') AS u, ('0x' || x[1:8])::BIGINT AS h1, ('0x' || x[9:16])::BIGINT AS h2,
+    ('0x' || x[17:24])::BIGINT AS h3, ('0x' || x[25:32])::BIGINT AS h4 FROM d),
+c AS (SELECT *, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a, greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+    CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+         WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h),
+p AS (SELECT *, coalesce(array_to_string(u[1:a], ''), '') AS pre, coalesce(array_to_string(u[a + 1:b], ''), '') AS mid,
+    coalesce(array_to_string(u[b + 1:], ''), '') AS suf FROM c)
+SELECT doc_id, len(u)::BIGINT AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+    ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256, sha256(t) AS restored_sha256
+FROM p
+"""
