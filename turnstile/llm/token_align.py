@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
@@ -56,6 +57,7 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
+        self.spelled = spelled_ids(max(len(self.a_bytes), len(self.b_bytes)))
         if len(self.b_bytes) > SIDE_B or len(self.a_bytes) * SIDE_B > 1 << 31:
             raise ValueError("an id pair has to fit 31 bits")
 
@@ -76,7 +78,7 @@ def token_frame(ids: list[list[int]], sizes) -> pd.DataFrame:
     import numpy as np
 
     n = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
-    flat = np.fromiter((x for row in ids for x in row), dtype=np.int64, count=int(n.sum()))
+    flat = np.fromiter(chain.from_iterable(ids), dtype=np.int64, count=int(n.sum()))
     end = np.cumsum(sizes[flat])
     return pd.DataFrame({"doc": np.repeat(np.arange(len(ids)), n), "id": flat, "start": end - sizes[flat], "end": end,
                          "i": np.arange(len(flat))})
@@ -150,22 +152,27 @@ def pair_slices(doc_of_group, of_a, a_ids, of_b, b_ids, slice_pairs: int) -> Ite
         yield part["doc"].to_numpy(), part["pair"].to_numpy(), part["n"].to_numpy()
 
 
-def groups_texts(docs: int, a: pd.DataFrame, b: pd.DataFrame, of_a, of_b) -> list[str]:
-    """Per document its groups as ``a1,a2|b1;a3|b2,b3``."""
+def spelled_ids(n: int):
+    """Decimal ids with what follows them: row 0 nothing, then a comma, a bar and a semicolon."""
     import numpy as np
 
-    def joined(ids, group):
-        words = ids.astype(str).to_numpy(dtype=object)
-        step = np.ones(len(ids), dtype=bool)
-        step[1:] = group[1:] != group[:-1]
-        cuts = np.flatnonzero(step)
-        return [",".join(words[s:e]) for s, e in zip(cuts, np.append(cuts[1:], len(words)))], cuts
+    return np.array([[f"{i}{end}" for i in range(n)] for end in ("", ",", "|", ";")], dtype=object)
 
-    left, cuts = joined(a["id"], of_a)
-    right, _ = joined(b["id"], of_b)
-    both = [x + "|" + y for x, y in zip(left, right)]
-    bounds = np.searchsorted(a["doc"].to_numpy()[cuts], np.arange(docs + 1))
-    return [";".join(both[s:e]) for s, e in zip(bounds, bounds[1:])]
+
+def groups_texts(docs: int, a: pd.DataFrame, b: pd.DataFrame, of_a, of_b, spelled) -> list[str]:
+    """Per document its groups as ``a1,a2|b1;a3|b2,b3``: both sides in one sequence, each id with its separator."""
+    import numpy as np
+
+    part = np.concatenate([2 * of_a, 2 * of_b + 1])  # group and side
+    order = np.argsort(part, kind="stable")
+    part, doc = part[order], np.concatenate([a["doc"], b["doc"]])[order]
+    end = np.ones(len(part), dtype=np.int64)
+    last = np.flatnonzero(np.append(part[1:] != part[:-1], True)) if len(part) else part
+    end[last] = 2 + part[last] % 2
+    bounds = np.searchsorted(doc, np.arange(docs + 1))
+    end[bounds[1:][bounds[1:] > bounds[:-1]] - 1] = 0
+    words = spelled[end, np.concatenate([a["id"], b["id"]])[order]].tolist()
+    return ["".join(words[s:e]) for s, e in zip(bounds, bounds[1:])]
 
 
 TOTALS = ("n_a", "n_b", "n_groups", "n_links")
@@ -192,7 +199,7 @@ def align_batch(ids: pa.Array, rows: pa.Array, texts: list[str], tools: Tokenize
     links = np.zeros(n, dtype=np.int64)
     np.add.at(links, doc_of_group, size_a * size_b)
     totals = [np.bincount(a["doc"], minlength=n), np.bincount(b["doc"], minlength=n), np.bincount(doc_of_group, minlength=n), links]
-    said = groups_texts(n, a, b, of_a, of_b)
+    said = groups_texts(n, a, b, of_a, of_b, tools.spelled)
     digests = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in said]
     schema = _batch_schema(ids.type)
 
