@@ -14,11 +14,13 @@ the rows of all others meet their counts in a shuffle join.
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 from itertools import chain
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
@@ -29,7 +31,7 @@ TOKENIZER_DIR = "/opt/tokenizers"
 BYTE_BPE = f"{TOKENIZER_DIR}/byte_bpe_50k.json"
 PIECE_BPE = f"{TOKENIZER_DIR}/piece_bpe_32k.model"
 SIDE_B = 1 << 15  # a pair is a * SIDE_B + b
-BATCH_CHARS = 1 << 20
+BATCH_CHARS = 1 << 18  # characters tokenised at once: token objects take some hundred bytes each
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -44,6 +46,7 @@ class Tokenizers:
     """Both tokenizers with the bytes of every id; loaded once per task from the given paths."""
 
     def __init__(self, a_path: str, b_path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work: no threads, no arenas of theirs
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -246,12 +249,13 @@ def align_tokens(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             if tools is None:
                 tools = Tokenizers(a_path, b_path)
                 sizes = tuple(np.fromiter(map(len, x), dtype=np.int64, count=len(x)) for x in (tools.a_bytes, tools.b_bytes))
-            texts = batch.column(2).to_pylist()
-            upto = np.cumsum([0, *map(len, texts)])
+            sizes_of = pc.utf8_length(batch.column(2)).to_numpy(zero_copy_only=False)
+            upto = np.concatenate([[0], np.cumsum(sizes_of)])
             lo = 0
-            while lo < len(texts):  # texts of a bounded total at a time, one at least
+            while lo < len(batch):  # texts of a bounded total at a time, one at least
                 hi = max(lo + 1, int(np.searchsorted(upto, upto[lo] + BATCH_CHARS, side="right")) - 1)
-                yield from align_batch(batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), texts[lo:hi],
+                texts = batch.column(2).slice(lo, hi - lo).to_pylist()
+                yield from align_batch(batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo), texts,
                                        tools, sizes, keep_groups, slice_pairs)
                 lo = hi
 
