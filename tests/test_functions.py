@@ -3,6 +3,7 @@
 import math
 
 import pytest
+from pyspark.sql import functions as F
 
 
 from turnstile.functions import scalars as S
@@ -117,6 +118,58 @@ def test_group_quantiles_exact_for_any_bucket_count(spark, buckets):
         assert np.allclose(have, [np.quantile(vals, q) for q in qs], rtol=1e-12, atol=1e-9), g
 
 
+def _image(x):
+    import struct
+    k = struct.unpack("<q", struct.pack("<d", abs(x)))[0]
+    return -k if x < 0 else k
+
+
+def test_ordered_image_is_the_bit_pattern(spark):
+    import random
+    import struct
+    rng = random.Random(8)
+    vals = [0.0, -0.0, 1.0, -1.0, 5e-324, -5e-324, 2.0 ** -1022, 2.0 ** -1023, 1.7976931348623157e308, -1.7976931348623157e308,
+            float("inf"), float("-inf")]
+    for e in range(-1060, 1024, 7):  # both sides of every power looked at
+        vals += [2.0 ** e, math.nextafter(2.0 ** e, 0), math.nextafter(2.0 ** e, math.inf)]
+    while len(vals) < 6000:
+        x = struct.unpack("<d", struct.pack("<q", rng.getrandbits(63) - rng.choice((0, 1 << 63))))[0]
+        vals += [x] if math.isfinite(x) else []
+    df = spark.createDataFrame([(v,) for v in vals] + [(float("nan"),), (None,)], "x double")
+    got = A.with_ordered_image(df, "x", "k").collect()
+    for r in got:
+        if r.x is None:
+            assert r.k is None
+        elif math.isnan(r.x):
+            assert r.k > _image(float("inf"))
+        else:
+            assert r.k == _image(r.x), r.x
+
+
+@pytest.mark.parametrize("buckets", [1, 1 << 16])
+def test_quantiles_over_thirty_powers_of_ten_order_one_digit_at_most(spark, buckets):
+    import numpy as np
+    rng = np.random.default_rng(6)
+    vals = [float(v) for v in 10.0 ** rng.uniform(-15, 15, 20000)] + [1e20, 1e30, -1e30, 0.0, -1e-300]
+    df = spark.createDataFrame([("g", v) for v in vals], "g string, x double")
+    qs, names = [0.0, 0.1, 0.5, 0.9, 0.999, 1.0], list("abcdef")
+    counts = A.value_counts_by(df, ["g"], "x")
+    got = A.quantiles_of_counts(counts, qs, names, buckets).first()
+    assert np.allclose([got[n] for n in names], [np.quantile(vals, q) for q in qs], rtol=1e-12)
+    # whatever the spread, values that share all digits but the last are the only ones ordered in the last step
+    last = counts.groupBy(F.shiftright("_k", 16).alias("p")).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    assert last <= 1 << 16 and last < 20
+
+
+def test_box_summary_reads_its_rows_once(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(50)] + [("a", 900.0), (None, 1.0), ("b", 2.0), ("b", None)], "g string, x double")
+    rows = {r.g: r for r in A.box_summary(df, "g", "x").collect()}
+    assert set(rows) == {"a", "b"} and rows["a"].n == 51 and rows["a"].n_outliers == 1 and rows["a"].whisker_hi == 49.0
+    assert rows["b"].n == 1 and rows["b"].n_outliers == 0 and rows["b"].median == 2.0
+    plan = A.box_summary(df, "g", "x")._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" not in plan and "LocalTableScan" not in plan  # only the stored counts
+
+
 def test_parse_python_literal_records_with_apostrophe(spark):
     from turnstile.plans.staffing import parse_records
     text = ("[{'Attraction': \"Mel's Diner\", 'Queue_Time': np.float64(12.5), 'k': 3}, "
