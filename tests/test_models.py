@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from turnstile.operators import boosting as B
 from turnstile.operators import models as M
 from turnstile.plans import models as PM
 
@@ -49,11 +50,18 @@ def test_leave_one_out_contribution_is_exact(spark):
 
 def test_cv_scores_fold_the_demand_model_over_all_rows(spark, monkeypatch):
     seen = {}
-    monkeypatch.setattr(M, "kfold_scores", lambda df, key, pipeline, label, **k: seen.setdefault(label, (df, pipeline)) and [(0, 1.0)])
-    PM.cv_scores(spark, SF_SMALL).collect()
-    lines, trees = seen["l_extendedprice"]
-    assert trees.getStages()[-1].getMaxIter() == PM.BOOSTED_TREES == 500
-    assert lines.count() == table(spark, SF_SMALL, "lineitem").count()
+    monkeypatch.setattr(M, "kfold_scores", lambda *a, **k: [(0, 1.0)])
+    grow = B.boost_folds
+
+    def few(df, *a, trees, **k):
+        seen.update(trees=trees, model=grow(df, *a, trees=2, **k))
+        return seen["model"]
+    monkeypatch.setattr(B, "boost_folds", few)
+    rows = PM.cv_scores(spark, SF_SMALL).collect()
+    assert seen["trees"] == PM.BOOSTED_TREES == 500
+    assert sum(n for n, _ in seen["model"].errors.values()) == table(spark, SF_SMALL, "lineitem").count()
+    assert sorted(r.fold for r in rows if r.score == "boosted_neg_mse") == list(range(5))
+    assert all(r.value < 0 for r in rows if r.score == "boosted_neg_mse")
 
 
 def test_density_segments_equal_brute_force_over_all_customers(spark):

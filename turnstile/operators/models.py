@@ -15,7 +15,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator, RegressionEvaluator
 from pyspark.ml.feature import IDF, PCA, HashingTF, RegexTokenizer, StopWordsRemover, VectorAssembler
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import DataFrame
@@ -145,14 +145,6 @@ def split_by_hash(df: DataFrame, key: str, seed: int = 42, train_pct: int = 80):
     return df.where(flag), df.where(~flag)
 
 
-def gbt_pipeline(features: Sequence[str], label: str, trees: int = 500, depth: int = 4,
-                 rate: float = 0.1, seed: int = 42) -> Pipeline:
-    """Boosted trees (500 trees, depth 4, rate .1)."""
-    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="skip"),
-                            GBTRegressor(featuresCol="features", labelCol=label, maxIter=trees, maxDepth=depth,
-                                         stepSize=rate, seed=seed)])
-
-
 def forest_pipeline(features: Sequence[str], label: str, trees: int = 100, depth: int = 10,
                     seed: int = 42) -> Pipeline:
     """Random forest regression."""
@@ -161,12 +153,17 @@ def forest_pipeline(features: Sequence[str], label: str, trees: int = 100, depth
                                                   maxDepth=depth, seed=seed)])
 
 
+def fold_of(key: str, folds: int, seed: int = 42):
+    """Fold of a row, stable under recomputation."""
+    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds))
+
+
 def kfold_scores(df: DataFrame, key: str, pipeline: Pipeline, label: str, folds: int = 5,
                  metric: str = "r2", seed: int = 42) -> list[tuple[int, float]]:
     """Per-fold scores with hash-assigned folds."""
     from concurrent.futures import ThreadPoolExecutor
 
-    f = df.withColumn("_fold", F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(folds))).cache()
+    f = df.withColumn("_fold", fold_of(key, folds, seed)).cache()
     ev = RegressionEvaluator(labelCol=label, predictionCol="prediction", metricName=metric)
 
     def score(i):
