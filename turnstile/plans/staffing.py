@@ -154,14 +154,14 @@ m AS (SELECT date_trunc('month', CAST(o_orderdate AS DATE)) AS month, count(*) A
   CAST(sum(CAST(o_totalprice AS DECIMAL(18, 2))) FILTER (o_orderpriority = '3-MEDIUM') AS DOUBLE) AS restaurant,
   count(DISTINCT o_custkey) FILTER (o_orderstatus = 'F') AS regular, count(DISTINCT o_custkey) FILTER (o_orderstatus = 'O') AS part_time
   FROM orders GROUP BY 1)
-SELECT day, park, ride, est AS est_attendance, CAST(floor(est * total / visitors) AS BIGINT) AS sale, CAST(floor(est * admission / visitors) AS BIGINT) AS adm_sale,
-  CAST(floor(est * restaurant / visitors) AS BIGINT) AS rest_sale, CAST(ceil(round(est * regular / visitors, 6)) AS BIGINT) AS reg_worker,
+SELECT day, park, ride, est AS est_attendance, est * total / visitors AS sale, est * admission / visitors AS adm_sale,
+  est * restaurant / visitors AS rest_sale, CAST(ceil(round(est * regular / visitors, 6)) AS BIGINT) AS reg_worker,
   CAST(ceil(round(est * part_time / visitors, 6)) AS BIGINT) AS part_worker,
   CAST(ceil(round(est * regular / visitors, 6)) + ceil(round(est * part_time / visitors, 6)) AS BIGINT) AS staff_count
 FROM e LEFT JOIN m ON date_trunc('month', e.day) = m.month""", _DAILY_SQL))
 def staff_per_ride(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F36 per ride: estimated attendance turned into sales and workers by the month's ratios to its visitors;
-    sales are whole units, workers are rounded up, staff is their sum.  Month roles on orders: admission = urgent and high
+    sales are amounts, workers are rounded up, staff is their sum.  Month roles on orders: admission = urgent and high
     priority, restaurant = medium, regular / part-time = customers of closed / open orders."""
     c = U.group_total(_carried(spark, sf_dir), ["day", "park"], "carried", "park_total")
     a = _att(spark, sf_dir).withColumnRenamed("facility", "park")
@@ -178,8 +178,8 @@ def staff_per_ride(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = rides.join(month, "month", "left")
     of = lambda total: F.try_divide(F.col("est_attendance") * F.col(total), F.col("visitors"))
     workers = lambda total: F.ceil(F.round(of(total), 6)).cast("long")
-    return j.select("day", "park", "ride", "est_attendance", F.floor(of("total")).cast("long").alias("sale"), F.floor(of("admission")).cast("long").alias("adm_sale"),
-                    F.floor(of("restaurant")).cast("long").alias("rest_sale"), workers("regular").alias("reg_worker"), workers("part_time").alias("part_worker"),
+    return j.select("day", "park", "ride", "est_attendance", of("total").alias("sale"), of("admission").alias("adm_sale"),
+                    of("restaurant").alias("rest_sale"), workers("regular").alias("reg_worker"), workers("part_time").alias("part_worker"),
                     (workers("regular") + workers("part_time")).alias("staff_count"))
 
 
