@@ -118,3 +118,22 @@ def test_empty_table_and_text_ids(spark):
 def test_very_long_text(spark, tools):
     rows = [(1, "lorem ipsum dolor, " * 40000), (2, "lorem ipsum")]
     assert sorted(got(aligned_documents(spark.createDataFrame(rows, "doc_id long, text string")))) == sorted(expect(rows, tools))
+
+
+def test_ranked_ids_equal_the_tokenizer():
+    """The sooner path gives the vocabulary file's own ids, on texts of any script and on very long runs."""
+    import random
+
+    both = token_align.Tokenizers(token_align.BYTE_BPE, token_align.PIECE_BPE)
+    assert both.ranked is not None
+    rng = random.Random(5)
+    pools = ["abcdefgh   \n\t'", "\u00e4\u00f6\u4e2d\u6587\u0e01\u0e33 \u200d\U0001f469\u2028\u00a0", "0123.,;!?<|endoftext|> 's't're",
+             "".join(map(chr, range(1, 0x250))), "\u0301\u0300e\u00b2\u2167\u3000 \x85\x1c"]
+    texts = ["".join(rng.choice(pools[k % 5] if k % 2 else "".join(pools)) for _ in range(rng.randrange(1, 400))) for k in range(600)]
+    texts += ["a" * 60_000, " " * 300_000, "\n \t" * 40_000, "<|endoftext|>" * 50, "x" + " " * 50_000 + "y", "it's 'll '" * 3]
+    want = [e.ids for e in both.a.encode_batch(texts, add_special_tokens=False)]
+    assert [both.encode_a(t) for t in texts] == want
+
+
+def test_other_vocabularies_keep_their_tokenizer():
+    assert token_align.byte_ranks(public_tokenizers.path("word_bpe_49k.json")) is None

@@ -14,6 +14,7 @@ the rows of all others meet their counts in a shuffle join.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from itertools import chain
@@ -42,8 +43,33 @@ def byte_alphabet() -> dict[str, int]:
     return {**{chr(b): b for b in own}, **{chr(256 + i): b for i, b in enumerate(rest)}}
 
 
+#: fixed value: the split of a text before byte-level merges
+BYTE_LEVEL_SPLIT = r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+
+
+def byte_ranks(path: str) -> dict[bytes, int] | None:
+    """Bytes -> id of a byte-level vocabulary file whose merges are in the order of their ids, so that ids are ranks;
+    none for any other file."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, split, of = spec["model"], spec.get("pre_tokenizer") or {}, byte_alphabet()
+    plain = (split.get("type") == "ByteLevel" and split.get("use_regex", True) and not split.get("add_prefix_space")
+             and not spec.get("normalizer") and not model.get("ignore_merges") and not model.get("dropout"))
+    if not plain or model.get("type", "BPE") != "BPE":
+        return None
+    parts = (m.split(" ") if isinstance(m, str) else m for m in model["merges"])
+    ids = [model["vocab"].get(left + right, -1) for left, right in parts]
+    base = len(of)
+    if ids != list(range(base, base + len(ids))) or any(model["vocab"].get(c, base) >= base for c in of):
+        return None
+    return {bytes(of[c] for c in token): i for token, i in model["vocab"].items() if i < base + len(ids)}
+
+
 class Tokenizers:
-    """Both tokenizers with the bytes of every id; loaded once per task from the given paths."""
+    """Both tokenizers with the bytes of every id; loaded once per task from the given paths.
+
+    A vocabulary of which ids are ranks is merged by ``tiktoken``, which gives the same ids sooner; texts that it
+    refuses, and other vocabularies, go to ``tokenizers``."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallel work: no threads, no arenas of theirs
@@ -57,6 +83,11 @@ class Tokenizers:
         self.a_bytes: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.a_bytes[i] = bytes(of[c] for c in token) if all(c in of for c in token) else token.encode()
+        ranks, self.ranked = byte_ranks(a_path), None
+        if ranks:
+            import tiktoken
+
+            self.ranked = tiktoken.Encoding("a", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(map(self.b.id_to_piece, range(self.b.get_piece_size())))]
@@ -64,9 +95,17 @@ class Tokenizers:
         if len(self.b_bytes) > SIDE_B or len(self.a_bytes) * SIDE_B > 1 << 31:
             raise ValueError("an id pair has to fit 31 bits")
 
+    def encode_a(self, text: str) -> list[int]:
+        if self.ranked is not None:
+            try:
+                return self.ranked.encode_ordinary(text)
+            except Exception:  # noqa: BLE001 - the split can run out of its stack on very long runs of white space
+                pass
+        return self.a.encode(text, add_special_tokens=False).ids
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of both sides; none where the text is empty or a side does not spell space + text."""
-        a = [e.ids for e in self.a.encode_batch([" " + t for t in texts], add_special_tokens=False)]
+        a = [self.encode_a(" " + t) for t in texts]
         b = self.b.encode(texts, num_threads=1)
         for i, t in enumerate(texts):
             want = (" " + t).encode()
@@ -89,10 +128,15 @@ def token_frame(ids: list[list[int]], sizes) -> pd.DataFrame:
 
 def overlap_frame(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
     """Every overlap once, in order: positions ``i`` (of a) and ``j`` (of b), and ``close`` where both end."""
-    left, right = a[["doc", "start", "i", "end"]], b[["doc", "start", "i", "end"]].rename(columns={"i": "j", "end": "stop"})
-    both = pd.concat([pd.merge_asof(left, right, on="start", by="doc"), pd.merge_asof(right, left, on="start", by="doc")],
-                     ignore_index=True)[["i", "j", "end", "stop"]].drop_duplicates(["i", "j"]).sort_values(["i", "j"])
-    return both.assign(close=both["end"] == both["stop"])
+    import numpy as np
+
+    left, right = a[["doc", "start", "i"]], b[["doc", "start", "i"]].rename(columns={"i": "j"})
+    ways = (pd.merge_asof(left, right, on="start", by="doc"), pd.merge_asof(right, left, on="start", by="doc"))
+    width = max(len(b), 1)
+    met = np.sort(np.concatenate([w["i"].to_numpy(np.int64) * width + w["j"].to_numpy(np.int64) for w in ways]), kind="stable")
+    met = met[np.append(True, met[1:] != met[:-1])[:len(met)]]
+    i, j = met // width, met % width
+    return pd.DataFrame({"i": i, "j": j, "close": a["end"].to_numpy()[i] == b["end"].to_numpy()[j]})
 
 
 def group_tokens(a: pd.DataFrame, b: pd.DataFrame) -> tuple:
@@ -116,6 +160,16 @@ def _id_runs(group, ids) -> tuple:
     return key >> 17, key & ((1 << 17) - 1), n
 
 
+def _summed(key, n) -> tuple:
+    """Distinct keys in order and the sum of ``n`` of each."""
+    import numpy as np
+
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n
+
+
 def pair_slices(doc_of_group, of_a, a_ids, of_b, b_ids, slice_pairs: int) -> Iterator[tuple]:
     """(doc, pair, occurrences), distinct within the batch, in slices of bounded size.
 
@@ -148,11 +202,10 @@ def pair_slices(doc_of_group, of_a, a_ids, of_b, b_ids, slice_pairs: int) -> Ite
             w = width[lo:cut]
             row = np.repeat(np.arange(lo, cut), w)
             col = first[row] + np.arange(len(row)) - np.repeat(np.cumsum(w) - w, w)
-            frame = pd.DataFrame({"doc": doc[row], "pair": ia[row] * SIDE_B + ib[col], "n": na[row] * nb[col]})
-            parts.append(frame.groupby(["doc", "pair"], sort=True, as_index=False)["n"].sum())
+            parts.append(_summed((doc[row] << 31) + ia[row] * SIDE_B + ib[col], na[row] * nb[col]))
             lo = cut
-        part = parts[0] if len(parts) == 1 else pd.concat(parts).groupby(["doc", "pair"], sort=True, as_index=False)["n"].sum()
-        yield part["doc"].to_numpy(), part["pair"].to_numpy(), part["n"].to_numpy()
+        key, total_of = parts[0] if len(parts) == 1 else _summed(*map(np.concatenate, zip(*parts)))
+        yield key >> 31, key & ((1 << 31) - 1), total_of
 
 
 def spelled_ids(n: int):
