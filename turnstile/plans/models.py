@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from turnstile.operators import boosting as B
+from turnstile.operators import density as D
 from turnstile.operators import models as M
+from turnstile.operators.density import cell_side
 from turnstile.plans.registry import register
 from turnstile.sources.tables import table
 
@@ -102,26 +104,33 @@ def bisecting_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey", F.col("prediction").alias("cluster"))
 
 
-_CELLS_SQL = """points AS (SELECT l_orderkey, l_linenumber, CAST(floor(l_quantity / 2.0) AS BIGINT) AS cx,
-    CAST(floor(l_extendedprice / 5000.0 / 0.5) AS BIGINT) AS cy FROM lineitem WHERE l_discount = 0.10),
-cells AS (SELECT cx, cy, count(*) AS n FROM points GROUP BY 1, 2),
-core AS (SELECT a.cx, a.cy FROM cells a JOIN cells b ON abs(a.cx - b.cx) <= 1 AND abs(a.cy - b.cy) <= 1
-  GROUP BY 1, 2 HAVING sum(b.n) >= 10),
-walk(cx, cy, lx, ly) AS (SELECT cx, cy, cx, cy FROM core
-  UNION SELECT c.cx, c.cy, w.lx, w.ly FROM walk w JOIN core c ON abs(w.cx - c.cx) <= 1 AND abs(w.cy - c.cy) <= 1),
-named AS (SELECT cx, cy, min({'cx': lx, 'cy': ly}) AS label FROM walk GROUP BY 1, 2),
-edge AS (SELECT p.cx, p.cy, min(n.label) AS label FROM cells p JOIN named n ON abs(p.cx - n.cx) <= 1 AND abs(p.cy - n.cy) <= 1 GROUP BY 1, 2)"""
-
-
-@register("density_clusters", f"WITH RECURSIVE {_CELLS_SQL}" + """
-SELECT l_orderkey, l_linenumber, coalesce(n.label.cx || ':' || n.label.cy, e.label.cx || ':' || e.label.cy) AS cluster
-FROM points p LEFT JOIN named n USING (cx, cy) LEFT JOIN edge e USING (cx, cy)""")
+_DENSITY_SQL = f"""p AS (SELECT x, y, CAST(floor(x / {cell_side(0.5)!r}) AS BIGINT) AS cx, CAST(floor(y / {cell_side(0.5)!r}) AS BIGINT) AS cy,
+  count(*) AS n FROM (SELECT l_quantity / 4.0 AS x, l_extendedprice / 5000.0 AS y FROM lineitem) GROUP BY ALL),
+o AS (SELECT unnest(range(-2, 3)) AS d),
+a AS (SELECT p.*, cx + o1.d AS nx, cy + o2.d AS ny FROM p, o o1, o o2),
+core AS (SELECT a.x, a.y, a.cx, a.cy FROM a JOIN p b ON a.nx = b.cx AND a.ny = b.cy
+  WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.25 GROUP BY ALL HAVING sum(b.n) >= 10),
+links AS (SELECT DISTINCT a.cx AS fx, a.cy AS fy, b.cx AS tx, b.cy AS ty
+  FROM (SELECT core.*, cx + o1.d AS nx, cy + o2.d AS ny FROM core, o o1, o o2) a JOIN core b ON a.nx = b.cx AND a.ny = b.cy
+  WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.25),
+walk(cx, cy, lx, ly) AS (SELECT DISTINCT cx, cy, cx, cy FROM core
+  UNION SELECT l.tx, l.ty, w.lx, w.ly FROM walk w JOIN links l ON w.cx = l.fx AND w.cy = l.fy),
+named AS (SELECT cx, cy, min({{'cx': lx, 'cy': ly}}) AS label FROM walk GROUP BY 1, 2),
+inner_points AS (SELECT x, y, label FROM core JOIN named USING (cx, cy)),
+outer_points AS (SELECT a.x, a.y, min(named.label) AS label FROM (SELECT * FROM a ANTI JOIN core USING (x, y)) a
+  JOIN core b ON a.nx = b.cx AND a.ny = b.cy JOIN named ON named.cx = b.cx AND named.cy = b.cy
+  WHERE (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) <= 0.25 GROUP BY 1, 2),
+placed AS (SELECT * FROM inner_points UNION ALL SELECT * FROM outer_points)"""
+
+
+@register("density_clusters", f"WITH RECURSIVE {_DENSITY_SQL}" + """
+SELECT l_orderkey, l_linenumber, label.cx || ':' || label.cy AS cluster
+FROM lineitem LEFT JOIN placed ON l_quantity / 4.0 = x AND l_extendedprice / 5000.0 = y""")
 def density_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M6 (re-aimed DBSCAN, eps .5, min 10, noise NULL) of the most discounted lines in the plane of quantity
-    and price."""
-    li = table(spark, sf_dir, "lineitem").where(F.col("l_discount") == 0.10)
-    pts = li.select("l_orderkey", "l_linenumber", (F.col("l_quantity") / 4.0).alias("x"), (F.col("l_extendedprice") / 5000.0).alias("y"))
-    return M.grid_density_clusters(pts, "x", "y").select("l_orderkey", "l_linenumber", "cluster")
+    """M6 (eps .5, min 10, noise NULL) of all lines in the plane of quantity and price."""
+    pts = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_quantity") / 4.0).alias("x"), (F.col("l_extendedprice") / 5000.0).alias("y"))
+    return D.density_clusters(pts, "x", "y").select("l_orderkey", "l_linenumber", "cluster")
 
 
 @register("density_segments")
