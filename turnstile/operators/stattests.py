@@ -70,6 +70,93 @@ def jarque_bera(long: DataFrame) -> DataFrame:
             .withColumn("jb", F.col("n") / 6.0 * (F.col("skewness") ** 2 + F.col("kurtosis") ** 2 / 4.0)))
 
 
+#: fixed values: numerator and denominator of the inverse normal's rational approximation, in the middle and in the tails
+QUANTILE_MIDDLE = ((-39.69683028665376, 220.9460984245205, -275.9285104469687, 138.3577518672690, -30.66479806614716, 2.506628277459239),
+                   (-54.47609879822406, 161.5858368580409, -155.6989798598866, 66.80131188771972, -13.28068155288572, 1.0))
+QUANTILE_TAIL = ((-0.007784894002430293, -0.3223964580411365, -2.400758277161838, -2.549732539343734, 4.374664141464968, 2.938163982698783),
+                 (0.007784695709041462, 0.3224671290700398, 2.445134137142996, 3.754408661907416, 1.0))
+QUANTILE_TAIL_FROM = 0.02425
+
+#: fixed values: corrections of the two outermost Shapiro-Wilk weights and the normalising moments, by powers of the argument
+OUTER_WEIGHT = (0.0, 0.221157, -0.147981, -2.071190, 4.434685, -2.706056)
+NEXT_WEIGHT = (0.0, 0.042981, -0.293762, -1.752461, 5.682633, -3.582633)
+SMALL_GAMMA = (-2.273, 0.459)
+SMALL_MEAN = (0.5440, -0.39978, 0.025054, -0.0006714)
+SMALL_LOG_SD = (1.3822, -0.77857, 0.062767, -0.0020322)
+LARGE_MEAN = (-1.5861, -0.31082, -0.083751, 0.0038915)
+LARGE_LOG_SD = (-0.4803, -0.082676, 0.0030302)
+
+#: sizes for which the order-statistic weights are published
+SHAPIRO_SIZES = (3, 5000)
+
+
+def _poly(coefficients, x):
+    """Sum of coefficients[i] * x^i."""
+    out = F.lit(coefficients[-1])
+    for c in reversed(coefficients[:-1]):
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p):
+    """Inverse of the normal distribution function (relative error under 1.2e-9); p strictly between 0 and 1."""
+    near = F.least(p, 1 - p)  # the lower half, mirrored
+    q = near - 0.5
+    middle = _poly(QUANTILE_MIDDLE[0][::-1], q * q) * q / _poly(QUANTILE_MIDDLE[1][::-1], q * q)
+    t = F.sqrt(-2 * F.ln(near))
+    tail = _poly(QUANTILE_TAIL[0][::-1], t) / _poly(QUANTILE_TAIL[1][::-1], t)
+    low = F.when(near < QUANTILE_TAIL_FROM, tail).otherwise(middle)
+    return F.when(p <= 0.5, low).otherwise(-low)
+
+
+def shapiro_wilk(long: DataFrame) -> DataFrame:
+    """M9: ``metric, n, w`` and ``normal_score`` (the normalised ln(1 - w); its upper tail is the p-value, for n = 3
+    ``p3`` is).  Weights are those of Royston's approximation from normal scores of the ranks.
+
+    Metrics of other sizes than ``SHAPIRO_SIZES`` have no row, so no window holds more than 5000 values; without any
+    spread w is NULL."""
+    size = long.groupBy("metric").agg(F.count("*").alias("n"), F.avg("value").alias("mu")).where(
+        F.col("n").between(*SHAPIRO_SIZES))
+    ranked = long.join(F.broadcast(size), "metric").withColumn("i", F.row_number().over(Window.partitionBy("metric").orderBy("value")))
+    n, i = F.col("n").cast("double"), F.col("i").cast("double")
+    score = lambda k: normal_quantile((k - 0.375) / (n + 0.25))
+    ranked = ranked.withColumn("m", score(i))
+    whole = ranked.groupBy("metric").agg(F.sum(F.col("m") * F.col("m")).alias("mm"))
+    each = ranked.join(F.broadcast(whole), "metric").withColumn("m_n", score(n)).withColumn("m_next", score(n - 1))
+    u, root = 1 / F.sqrt(n), F.sqrt("mm")
+    each = each.withColumn("a_n", F.when(n == 3, F.lit(0.5 ** 0.5)).otherwise(F.col("m_n") / root + _poly(OUTER_WEIGHT, u)))
+    each = each.withColumn("a_next", F.when(n > 5, F.col("m_next") / root + _poly(NEXT_WEIGHT, u)))
+    left = F.col("mm") - 2 * F.col("m_n") ** 2 - F.when(n > 5, 2 * F.col("m_next") ** 2).otherwise(0.0)
+    share = 1 - 2 * F.col("a_n") ** 2 - F.when(n > 5, 2 * F.col("a_next") ** 2).otherwise(0.0)
+    inner = F.when(n == 3, 0.0).otherwise(F.col("m") / F.sqrt(left / share))
+    outer = F.when(F.col("i") == 1, -F.col("a_n")).when(F.col("i") == F.col("n"), F.col("a_n"))
+    second = F.when((n > 5) & (F.col("i") == 2), -F.col("a_next")).when((n > 5) & (F.col("i") == F.col("n") - 1), F.col("a_next"))
+    each = each.withColumn("a", F.coalesce(outer, second, inner)).withColumn("d", F.col("value") - F.col("mu"))
+    g = each.groupBy("metric", "n").agg(F.sum(F.col("a") * F.col("d")).alias("ad"), F.sum(F.col("d") * F.col("d")).alias("dd"))
+    g = g.withColumn("w", F.when(F.col("dd") > 0, F.least(F.lit(1.0), F.col("ad") ** 2 / F.col("dd"))))
+    low = F.ln(1 - F.col("w"))
+    small = (-F.ln(_poly(SMALL_GAMMA, n) - low) - _poly(SMALL_MEAN, n)) / F.exp(_poly(SMALL_LOG_SD, n))
+    large = (low - _poly(LARGE_MEAN, F.ln(n))) / F.exp(_poly(LARGE_LOG_SD, F.ln(n)))
+    # a w so small that the argument of the outer logarithm is not positive is beyond any quantile
+    small = F.when(_poly(SMALL_GAMMA, n) > low, small).otherwise(F.when(F.col("w").isNotNull(), F.lit(40.0)))
+    p3 = F.greatest(F.lit(0.0), 6 / math.pi * (F.asin(F.sqrt("w")) - math.asin(0.75 ** 0.5)))
+    return g.select("metric", "n", "w", F.when(n == 3, None).when(n <= 11, small).otherwise(large).alias("normal_score"),
+                    F.when(n == 3, p3).alias("p3"))
+
+
+def normality_gate(long: DataFrame) -> DataFrame:
+    """M9: ``metric, n, gate, statistic, p_normal``.  ``gate`` names the test used: ``shapiro-wilk`` where its weights are
+    published, ``jarque-bera`` for more values; ``none`` (NULLs) for fewer than three values or values without spread."""
+    jb = jarque_bera(long).select("metric", F.col("n"), "jb")
+    sw = shapiro_wilk(long).select("metric", "w", "normal_score", "p3")
+    both = jb.join(sw, "metric", "left")
+    small = F.col("w").isNotNull()
+    large = (F.col("n") > SHAPIRO_SIZES[1]) & F.col("jb").isNotNull()
+    p = F.when(small, F.coalesce("p3", normal_upper_p("normal_score"))).when(large, chi2_2df_sf(F.col("jb")))
+    return both.select("metric", "n", F.when(small, "shapiro-wilk").when(large, "jarque-bera").otherwise("none").alias("gate"),
+                       F.when(small, F.col("w")).when(large, F.col("jb")).alias("statistic"), p.alias("p_normal"))
+
+
 # ------------------------------------------------------------------ p-values
 
 def _betacf(a, b, x, iters=300, eps=1e-15):
@@ -126,6 +213,11 @@ def normal_two_sided_p(z: pd.Series) -> pd.Series:
     return pd.Series([math.erfc(abs(v) / math.sqrt(2.0)) if pd.notna(v) else np.nan for v in z])
 
 
+@pandas_udf(T.DoubleType())
+def normal_upper_p(z: pd.Series) -> pd.Series:
+    return pd.Series([0.5 * math.erfc(v / math.sqrt(2.0)) if pd.notna(v) else np.nan for v in z])
+
+
 # Up to this many values the signed-rank distribution is counted out.
 EXACT_SIGNED_RANKS = 50
 
@@ -147,6 +239,11 @@ def signed_rank_pvalue(w: pd.Series, n: pd.Series, z: pd.Series, tie_term: pd.Se
                       else math.erfc(abs(b) / math.sqrt(2.0)) for a, m, b, t in zip(w, n, z, tie_term, strict=True)])
 
 
+def signed_rank_method(n, tie_term):
+    """Which of the two ``signed_rank_pvalue`` takes."""
+    return F.when((n <= EXACT_SIGNED_RANKS) & (tie_term == 0), "exact").otherwise("normal")
+
+
 def chi2_2df_sf(x):
     """Survival function of chi-square with 2 degrees of freedom."""
     return F.exp(-x / 2.0)

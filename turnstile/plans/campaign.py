@@ -199,35 +199,70 @@ def campaign_wilcoxon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return w.select("metric", "n", *[F.round(c, 6).alias(c) for c in ["w_plus", "w_minus", "w", "z"]])
 
 
+def _poly_sql(coefficients, x: str) -> str:
+    return "(" + " + ".join(f"({c!r}) * pow({x}, {i})" for i, c in enumerate(coefficients)) + ")"
+
+
+def _score_sql(p: str) -> str:
+    """Normal quantile of ``p`` as SQL text."""
+    from turnstile.operators import stattests as ST
+
+    near, q2 = f"least({p}, 1 - ({p}))", f"pow(least({p}, 1 - ({p})) - 0.5, 2)"
+    t = f"sqrt(-2 * ln({near}))"
+    middle = f"({near} - 0.5) * {_poly_sql(ST.QUANTILE_MIDDLE[0][::-1], q2)} / {_poly_sql(ST.QUANTILE_MIDDLE[1][::-1], q2)}"
+    tail = f"{_poly_sql(ST.QUANTILE_TAIL[0][::-1], t)} / {_poly_sql(ST.QUANTILE_TAIL[1][::-1], t)}"
+    return f"(sign({p} - 0.5) * -1 * CASE WHEN {near} < {ST.QUANTILE_TAIL_FROM} THEN {tail} ELSE {middle} END)"
+
+
+def _shapiro_sql() -> str:
+    from turnstile.operators import stattests as ST
+
+    score = lambda i: _score_sql(f"(({i}) - 0.375) / (n + 0.25)")
+    return f"""r AS (SELECT metric, value, count(*) OVER (PARTITION BY metric) AS n,
+  row_number() OVER (PARTITION BY metric ORDER BY value) AS i, avg(value) OVER (PARTITION BY metric) AS mu FROM lv),
+sc AS (SELECT *, {score('i')} AS m, {score('n')} AS mn, {score('n - 1')} AS mx FROM r),
+ss AS (SELECT *, sum(m * m) OVER (PARTITION BY metric) AS mm FROM sc),
+ow AS (SELECT *, mn / sqrt(mm) + {_poly_sql(ST.OUTER_WEIGHT, '(1 / sqrt(n))')} AS an,
+  mx / sqrt(mm) + {_poly_sql(ST.NEXT_WEIGHT, '(1 / sqrt(n))')} AS ax FROM ss),
+aw AS (SELECT *, CASE WHEN i = 1 THEN -an WHEN i = n THEN an WHEN i = 2 THEN -ax WHEN i = n - 1 THEN ax
+  ELSE m / sqrt((mm - 2 * mn * mn - 2 * mx * mx) / (1 - 2 * an * an - 2 * ax * ax)) END AS a FROM ow WHERE n > 5),
+sw AS (SELECT metric, pow(sum(a * (value - mu)), 2) / nullif(sum(pow(value - mu, 2)), 0) AS w FROM aw GROUP BY metric)"""
+
+
 @register("campaign_normality", "WITH " + _change_cte() + ",\n" + _LONG_CTE + """,
 mu AS (SELECT metric, avg(value) AS mu FROM lv GROUP BY metric),
 m AS (SELECT lv.metric, count(*) AS n, avg(pow(value - mu, 2)) AS m2, avg(pow(value - mu, 3)) AS m3,
   avg(pow(value - mu, 4)) AS m4 FROM lv JOIN mu USING (metric) GROUP BY lv.metric),
-s AS (SELECT metric, n, m3 / nullif(pow(m2, 1.5), 0) AS skewness, m4 / nullif(pow(m2, 2), 0) - 3.0 AS kurtosis FROM m)
+s AS (SELECT metric, n, m3 / nullif(pow(m2, 1.5), 0) AS skewness, m4 / nullif(pow(m2, 2), 0) - 3.0 AS kurtosis FROM m),
+""" + _shapiro_sql() + """
 SELECT metric, n, round(skewness, 6) AS skewness, round(kurtosis, 6) AS kurtosis,
-  round(n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0), 6) AS jb FROM s""")
+  round(n / 6.0 * (skewness * skewness + kurtosis * kurtosis / 4.0), 6) AS jb,
+  CASE WHEN w IS NULL THEN 'none' ELSE 'shapiro-wilk' END AS gate, round(w, 6) AS statistic
+FROM s LEFT JOIN sw USING (metric)""")
 def campaign_normality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """M9 (re-aimed): Jarque-Bera normality statistic per metric."""
-    from turnstile.operators.stattests import jarque_bera
-    j = jarque_bera(_long(spark, sf_dir))
-    return j.select("metric", "n", *[F.round(c, 6).alias(c) for c in ["skewness", "kurtosis", "jb"]])
+    """M9: Shapiro-Wilk normality statistic per metric (``gate`` says which test was used), beside the moments."""
+    from turnstile.operators.stattests import jarque_bera, normality_gate
+    lg = _long(spark, sf_dir)
+    gate = normality_gate(lg).select("metric", "gate", F.round("statistic", 6).alias("statistic"))
+    j = jarque_bera(lg).select("metric", "n", *[F.round(c, 6).alias(c) for c in ["skewness", "kurtosis", "jb"]])
+    return j.join(gate, "metric")
 
 
 @register("campaign_significance")
 def campaign_significance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per metric, normality gate (JB p > .05) picks the t-test or the
-    signed-rank test (exact for few untied changes); verdict at alpha .05."""
+    """Per metric, the normality gate (p > .05) picks the t-test or the
+    signed-rank test; verdict at alpha .05.  ``gate`` and ``method`` say which forms were used."""
     from turnstile.operators import stattests as ST
     lg = _long(spark, sf_dir)
     t = ST.t_test(lg).select("metric", "n", "t")
     w = ST.wilcoxon(lg).select("metric", "z", "w", F.col("n").alias("n_signed"), "tie_term")
-    j = ST.jarque_bera(lg).select("metric", "jb")
+    j = ST.normality_gate(lg).select("metric", "gate", "p_normal")
     r = t.join(w, "metric", "left").join(j, "metric", "left")
-    r = (r.withColumn("p_normal", ST.chi2_2df_sf(F.col("jb")))
-         .withColumn("p_t", ST.t_pvalue(F.col("t"), (F.col("n") - 1).cast("double")))
+    r = (r.withColumn("p_t", ST.t_pvalue(F.col("t"), (F.col("n") - 1).cast("double")))
          .withColumn("p_wilcoxon", ST.signed_rank_pvalue("w", F.col("n_signed").cast("double"), "z", "tie_term")))
     normal = F.coalesce(F.col("p_normal") > 0.05, F.lit(False))
     p = F.when(normal, F.col("p_t")).otherwise(F.col("p_wilcoxon"))
-    return r.select("metric", "n", F.when(normal, "t-test").otherwise("wilcoxon").alias("test"),
+    method = F.when(~normal, ST.signed_rank_method(F.col("n_signed"), F.col("tie_term"))).otherwise("exact")
+    return r.select("metric", "n", "gate", F.when(normal, "t-test").otherwise("wilcoxon").alias("test"), method.alias("method"),
                     F.round(p, 6).alias("p_value"),
                     F.when(p < 0.05, "significant change").otherwise("no significant change").alias("verdict"))
