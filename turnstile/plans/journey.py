@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from turnstile.operators import journey as J
+from turnstile.operators import sequences as S
 from turnstile.operators.joins import maybe_broadcast
 from turnstile.operators.ordered import gap_sessions
 from turnstile.plans.registry import register
@@ -390,6 +391,22 @@ def sequence_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
         nv > 1, (F.col("s2") - nv) / (nv * (nv - 1))), 6).alias("mean_similarity"))
 
 
+def _visit_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    visit = _flagged_visits(spark, sf_dir).groupBy("visitor", "session_id").agg(
+        (F.avg(F.col("low_wait").cast("int")) > 0.6).alias("express"),
+        J.ordered_collect("ride", "ts", "event_id", keep_nulls=True).alias("seq"))
+    return S.sequence_classes(visit, "express", "seq", ["visitor", "session_id"])
+
+
+@register("sequence_similarity_lsh")
+def sequence_similarity_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Visits of like ride sequences within the express / other groups: pairs of distinct sequences (each
+    named by its smallest visit, with its visits) whose matching-block ratio is 0.8 or more."""
+    pairs = S.similar_sequences(_visit_classes(spark, sf_dir))
+    return pairs.select(F.col("group").alias("express"), *[F.col(f"{s}.{c}").alias(f"{s}_{c}") for s in "ab" for c in ("visitor", "session_id")],
+                        "n_a", "n_b", F.round("ratio", 6).alias("ratio"))
+
+
 @register("wait_outflow_by_day_type", with_ctes(f"""wd AS (
   SELECT w.slot, w.ride, w.wait, coalesce(d.day_type, 'normal') AS day_type
   FROM waits w LEFT JOIN day_types d ON CAST(w.slot AS DATE) = d.day),
