@@ -169,9 +169,19 @@ def with_keyword_segment(df, text: str, keep_text: bool = False,
     return counts.select("*", segment_of("youth", "family", "express_pass", "budget").alias("segment"))
 
 
-def replace_chars(text, mapping: Mapping[str, str]) -> Column:
-    """T4: replace each mapped character (e.g. emoji) by its name."""
-    out = col(text)
-    for k, v in mapping.items():
-        out = F.replace(out, F.lit(k), F.lit(v))
-    return out
+def replace_sequences(text, names: Mapping[str, str]) -> Column:
+    """T4: each mapped sequence of characters (a symbol, or several that stand for one) becomes its name, left to
+    right, the longest first: two scans of the text for one alternation, whatever the table holds.  Null stays null."""
+    text = col(text)
+    if not names:
+        return text
+    longest_first = sorted(names, key=lambda k: (-len(k), k))
+    # most places of a text fail on the first character already
+    first = "".join(sorted({k[0] for k in longest_first}))
+    pattern = F.lit(rf"(?=[\Q{first}\E])(?:" + "|".join(rf"\Q{k}\E" for k in longest_first) + ")")
+    said = F.create_map(*[F.lit(x) for k in longest_first for x in (k, names[k])])
+    found = F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), lambda x: said[x])
+    # bound once by a transform: the inner one names it for every piece
+    return F.get(F.transform(F.array(found), lambda said_here: F.array_join(F.transform(
+        F.split(text, pattern, -1), lambda x, i: F.concat(x, F.coalesce(F.get(said_here, i), F.lit("")))), "")), F.lit(0))
+

@@ -31,6 +31,16 @@ CHAR_NAMES = {
     "é": ":e_acute:", "è": ":e_grave:", "ç": ":c_cedilla:", "ü": ":u_umlaut:", "ä": ":a_umlaut:",
 }
 
+# Symbols of several characters.  A hand may carry one of five tones; joined symbols are one.
+SKIN_TONES = {"\U0001f3fb": "light", "\U0001f3fc": "medium-light", "\U0001f3fd": "medium", "\U0001f3fe": "medium-dark", "\U0001f3ff": "dark"}
+HANDS = ["👍", "👎", "👏", "🙏"]
+JOINED_NAMES = {
+    "❤\ufe0f": ":red_heart:", "☀\ufe0f": ":sun:", "🌧\ufe0f": ":cloud_with_rain:", "❤\ufe0f\u200d🔥": ":heart_on_fire:",
+    "👨\u200d👩\u200d👧": ":family_man_woman_girl:", "👨\u200d👩\u200d👦": ":family_man_woman_boy:",
+}
+SYMBOL_NAMES = {**CHAR_NAMES, **JOINED_NAMES,
+                **{hand + tone: f"{CHAR_NAMES[hand][:-1]}_{word}_skin_tone:" for hand in HANDS for tone, word in SKIN_TONES.items()}}
+
 SEASON_ORDER = ["Feb - Apr", "Summer Holidays", "Aug - Oct", "Winter Holidays", "Feb - Apr (2)"]
 
 
@@ -252,7 +262,7 @@ def tfidf_contrast_q(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _replace_sql(expr: str) -> str:
-    for k, v in CHAR_NAMES.items():
+    for k, v in sorted(SYMBOL_NAMES.items(), key=lambda x: -len(x[0])):
         expr = f"replace({expr}, '{k}', '{v}')"
     return expr
 
@@ -260,9 +270,9 @@ def _replace_sql(expr: str) -> str:
 @register("emoji_map", f"""SELECT doc_id, length({_replace_sql('text')}) AS n_chars_mapped,
   md5({_replace_sql('text')}) AS text_md5 FROM documents""")
 def emoji_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """T4: mapped characters replaced by their names across whole documents."""
+    """T4: mapped symbols, of one or several characters, replaced by their names across whole documents."""
     d = documents(spark, sf_dir, "doc_id", "text")
-    m = X.replace_chars("text", CHAR_NAMES)
+    m = X.replace_sequences("text", SYMBOL_NAMES)
     return d.select("doc_id", F.length(m).cast("long").alias("n_chars_mapped"), F.md5(m).alias("text_md5"))
 
 
