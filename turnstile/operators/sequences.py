@@ -3,7 +3,7 @@
 Equal sequences are one class.  The ratio is 2 M / (|a| + |b|) with M matched elements, and M is at most
 the common part of both multisets.  So a ratio of t means a Jaccard similarity of at least t / (2 - t) of the
 sets of numbered elements (first, second, ... occurrence), which is what MinHash bands find: a pair of
-``bands`` bands of ``rows`` rows is missed with probability (1 - J^rows)^bands at most, 0.1 % for the
+``bands`` bands of ``rows`` rows is missed with probability (1 - J^rows)^bands at most, 0.03 % for the
 defaults at t = 0.8.  Candidates whose lengths exclude the ratio go before their sequences are fetched;
 the rest get their exact ratio.
 """
