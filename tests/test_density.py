@@ -67,8 +67,8 @@ def test_cells_that_face_each_other_across_a_gap(spark):
 
 
 def test_long_chain_border_and_odd_values(spark):
-    chain = [(k * 0.5 + 0.1, 0.1) for k in range(60) for _ in range(10)]
-    assert set(clusters(spark, chain)) == {"0:0"}
+    chain = [(k * 0.5 + 0.125, 0.125) for k in range(60) for _ in range(10)]
+    assert set(clusters(spark, chain)) == {"0:0"} == set(brute(chain))  # steps of exactly eps
     nan, inf = float("nan"), float("inf")
     points = [(0.1, 0.1)] * 10 + [(0.55, 0.1), (1.2, 0.1), (nan, 0.1), (inf, 0.0), (1e300, 0.1)] + [(-0.0, 0.1)]
     assert clusters(spark, points) == ["0:0"] * 11 + [None] * 4 + ["0:0"]
