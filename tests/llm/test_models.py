@@ -154,3 +154,33 @@ def test_html_edges(spark):
     assert by[1] == [""] and by[None] == [""] and by[5] == [""] and by[6] == [""]
     assert any(t.startswith("T & U One two three. word word") for t in by[8])
     assert extract_main_text(df.limit(0)).count() == 0
+
+
+def test_html_has_no_caps():
+    from turnstile.llm.html_tree import page_tree
+
+    names = " ".join(f"word{'abcdefghijklmnopqrstuvwxyz'[k % 26]}{k}" for k in range(40))
+    node = next(n for n in page_tree(f'<body><div class="{names}" id="comments">x</div>') if n.tag == "div")
+    assert "comments" in node.names and len(node.names) == 1 + 2 * 40
+    # an open paragraph is found under any number of open blocks, a stray end tag closes nothing
+    deep = "<body><section>" + "<x-y>" * 200 + "</article></p>text"
+    assert [n.tag for n in page_tree(deep)].count("x-y") == 200
+    nodes = page_tree("<body><p>" + "<x-y>" * 200 + "<p>second")
+    assert [n.parent for n in nodes if n.tag == "p"] == [nodes.index(next(n for n in nodes if n.tag == "body"))] * 2
+    text = lambda html: ["".join(n.text) for n in page_tree(html) if n.text]
+    assert text("<body><p>The sum is <math><mi>x</mi><annotation>t</annotation></math> here</p>") == ["The sum is x here"]
+    assert text("<div>a</div>" * 100 + "<head><title>T</title></head><p>b</p>")[-1] == "b"
+
+
+def test_broken_deep_pages_cost_linear_time():
+    import time
+
+    from turnstile.llm.html_tree import page_tree
+
+    def seconds(n):
+        t = time.process_time()
+        page_tree("<body><td>" + "<x-y>" * n + "</em></article></q><p>a" * n)
+        return time.process_time() - t
+
+    seconds(1000)
+    assert seconds(40_000) < 60 * max(seconds(4_000), 0.01)

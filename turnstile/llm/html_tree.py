@@ -23,10 +23,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp "
-                   "small span strike strong sub sup time tt u var wbr nobr".split())
+                   "small span strike strong sub sup time tt u var wbr nobr "
+                   "math semantics mi mn mo ms mtext mspace mrow mfrac msqrt mroot msub msup msubsup munder mover munderover "
+                   "mstyle mpadded mphantom mfenced menclose mmultiscripts mprescripts mtable mtr mtd".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-SKIP = frozenset("script style noscript template textarea select option head title svg math iframe object canvas audio "
-                 "video button datalist".split())
+SKIP = frozenset("script style noscript template textarea select option head title svg iframe object canvas audio "
+                 "video button datalist annotation annotation-xml".split())
 #: skipped elements that a block element ends where their end tag is missing
 LOOSE = frozenset("head title select option datalist".split())
 #: block elements that close an open paragraph
@@ -36,6 +38,8 @@ CLOSES_P = frozenset("address article aside blockquote center details dialog dir
 SIBLING = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
            "th": ("td", "th"), "option": ("option",), "thead": ("thead", "tbody"), "tbody": ("thead", "tbody")}
 SCOPE = frozenset("ul ol dl table div article section body html".split())
+#: an element is never closed from inside one of these
+WALLS = frozenset("td th table article body".split())
 _NAME = re.compile(r"[a-z]+|[0-9]+")
 
 
@@ -55,6 +59,7 @@ class TreeBuilder(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.nodes = [Node(-1, "page")]
         self.open: list[tuple[str, int]] = [("page", 0)]  # blocks only
+        self.places: dict[str, list[int]] = {}  # tag -> its places in ``open``, lowest first
         self.links = self.skipping = 0
         self.skip_tag = ""
         self.run: Node | None = None
@@ -66,8 +71,8 @@ class TreeBuilder(HTMLParser):
             self.skipping += tag == self.skip_tag
             return
         if tag in SKIP:
-            if tag == "head" and len(self.nodes) > 60:
-                return  # a late head is no head
+            if tag == "head" and self.places.get("body"):
+                return  # a head inside the body is no head
             self.skipping, self.skip_tag = 1, tag
             return
         if tag == "br":
@@ -88,7 +93,8 @@ class TreeBuilder(HTMLParser):
         got = {k: (v or "").lower() for k, v in attrs if k in ("class", "id", "role", "style", "hidden", "aria-hidden", "itemprop")}
         names = tuple(_NAME.findall(" ".join(got.get(k, "") for k in ("class", "id", "role", "itemprop"))))
         hidden = "hidden" in got or got.get("aria-hidden") == "true" or "display:none" in got.get("style", "").replace(" ", "")
-        self.nodes.append(Node(self.open[-1][1], tag, names[:24], hidden))
+        self.nodes.append(Node(self.open[-1][1], tag, names, hidden))
+        self.places.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, len(self.nodes) - 1))
 
     def handle_startendtag(self, tag: str, attrs) -> None:
@@ -96,14 +102,21 @@ class TreeBuilder(HTMLParser):
         if tag not in VOID and tag not in INLINE:
             self.handle_endtag(tag)
 
+    def _last(self, tag: str) -> int:
+        """Place of the innermost open block of a tag, 0 for none."""
+        at = self.places.get(tag)
+        return at[-1] if at else 0
+
+    def _cut(self, place: int) -> None:
+        """Close the block at ``place`` and all inside it; every block is closed once, so pages cost linear time."""
+        while len(self.open) > place:
+            self.places[self.open.pop()[0]].pop()
+        self.run = None
+
     def _close(self, tag: str, stop: frozenset[str] = frozenset()) -> None:
-        for k in range(len(self.open) - 1, max(0, len(self.open) - 64), -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                self.run = None
-                return
-            if self.open[k][0] in stop or self.open[k][0] in ("td", "th", "table", "article", "body"):
-                return
+        place = self._last(tag)
+        if place and place > max(self._last(t) for t in (WALLS | stop) - {tag}):
+            self._cut(place)
 
     def handle_endtag(self, tag: str) -> None:
         if self.skipping:
@@ -114,11 +127,9 @@ class TreeBuilder(HTMLParser):
         if tag in INLINE:
             self.links = max(0, self.links - (tag == "a"))
             return
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                del self.open[k:]
-                self.links = 0
-                break
+        if self._last(tag):
+            self._cut(self._last(tag))
+            self.links = 0
         self.run = None
 
     def handle_data(self, data: str) -> None:
