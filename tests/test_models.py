@@ -83,3 +83,32 @@ def test_density_segments_equal_brute_force_over_all_customers(spark):
         near = [label[c]] if c in core else sorted(label[n] for n in around(c) if n in core)
         assert got[k] == ("%d:%d" % near[0] if near else None)
     assert len(core) > 1
+
+
+def test_elbow_fits_read_points_that_are_not_cached(spark, monkeypatch):
+    """MLlib keeps its own vectors of an uncached frame; over cached rows each iteration decodes every row again."""
+    levels, plain = [], M.KMeans
+
+    class Seen(plain):
+        def fit(self, df):
+            levels.append(df.storageLevel)
+            return super().fit(df)
+    monkeypatch.setattr(M, "KMeans", Seen)
+    monkeypatch.setattr(PM, "KMEANS_STARTS", 1)
+    rows = PM.kmeans_elbow(spark, SF_SMALL).collect()
+    assert [r.k for r in rows] == list(range(2, 11)) and len(levels) == 9
+    assert not any(x.useMemory or x.useDisk for x in levels)
+
+
+def test_cluster_points_have_no_more_tasks_than_their_size_asks_for(spark):
+    """A k-means run has hundreds of jobs: tasks of every shuffle partition would flood the driver with results."""
+    old = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", 100)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pts = PM._cluster_points(spark, SF_SMALL)
+        assert pts.rdd.getNumPartitions() <= 2 * spark.sparkContext.defaultParallelism
+        assert pts.count() == table(spark, SF_SMALL, "customer").count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)

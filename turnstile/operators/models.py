@@ -52,24 +52,36 @@ def pca(df: DataFrame, features: str = "features", k: int = 2) -> DataFrame:
 
 # ------------------------------------------------------------------ clustering
 
-def kmeans_best_of(df: DataFrame, k: int, seed: int = 42, n_init: int = 10,
-                   features: str = "features"):
-    """M3: best of ``n_init`` k-means fits (lowest SSE), seeds seed..seed+n-1."""
+def _kmeans_fits(df: DataFrame, ks: Sequence[int], seed: int, n_init: int, features: str) -> dict[int, list]:
+    """``n_init`` k-means fits for each k, seeds seed..seed+n-1."""
     from concurrent.futures import ThreadPoolExecutor
 
-    def fit(i):
+    def fit(start):
+        k, i = start
         return KMeans(k=k, seed=seed + i, featuresCol=features).fit(df)
 
-    # independent fits are submitted concurrently; each is a distributed job
-    with ThreadPoolExecutor(max_workers=min(n_init, 8)) as ex:
-        models = list(ex.map(fit, range(n_init)))
+    # independent fits are submitted concurrently, also those of different k; each is a distributed job
+    starts = [(k, i) for k in ks for i in range(n_init)]
+    with ThreadPoolExecutor(max_workers=max(1, min(len(starts), 8))) as ex:
+        models = list(ex.map(fit, starts))
+    return {k: models[j * n_init:(j + 1) * n_init] for j, k in enumerate(ks)}
+
+
+def _best(models: list):
     return min(models, key=lambda m: (m.summary.trainingCost, models.index(m)))
 
 
+def kmeans_best_of(df: DataFrame, k: int, seed: int = 42, n_init: int = 10,
+                   features: str = "features"):
+    """M3: best of ``n_init`` k-means fits (lowest SSE), seeds seed..seed+n-1."""
+    return _best(_kmeans_fits(df, [k], seed, n_init, features)[k])
+
+
 def elbow(df: DataFrame, ks: Sequence[int], seed: int = 42, n_init: int = 10,
           features: str = "features") -> list[tuple[int, float]]:
     """M3: SSE for each k (every fit is a distributed MLlib job)."""
-    return [(k, float(kmeans_best_of(df, k, seed, n_init, features).summary.trainingCost)) for k in ks]
+    fits = _kmeans_fits(df, ks, seed, n_init, features)
+    return [(k, float(_best(fits[k]).summary.trainingCost)) for k in ks]
 
 
 def silhouette(pred: DataFrame, prediction: str = "prediction", features: str = "features") -> float:

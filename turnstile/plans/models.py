@@ -16,6 +16,7 @@ from turnstile.operators import density as D
 from turnstile.operators import models as M
 from turnstile.operators.density import cell_side
 from turnstile.plans.registry import register
+from turnstile.session import snapshot
 from turnstile.sources.tables import table
 
 CUST_FEATURES = ["c_acctbal", "n_orders", "spend"]
@@ -39,7 +40,8 @@ def customer_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _scaled(spark, sf_dir):
-    z = M.standardize(customer_features(spark, sf_dir), CUST_FEATURES)
+    # joined and summed once: the moments, the components and the projection all read it
+    z = M.standardize(snapshot(customer_features(spark, sf_dir), "customer-features"), CUST_FEATURES)
     return M.assemble(z, [c + "_z" for c in CUST_FEATURES])
 
 
@@ -68,14 +70,15 @@ def pca2(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("kmeans_elbow")
 def kmeans_elbow(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M3: SSE for k = 2..10, best of 10 seeded fits each."""
-    pts = _cluster_points(spark, sf_dir).cache()
-    rows = M.elbow(pts, range(2, 11), n_init=KMEANS_STARTS)
-    pts.unpersist()
+    rows = M.elbow(_cluster_points(spark, sf_dir), range(2, 11), n_init=KMEANS_STARTS)
     return spark.createDataFrame(rows, "k int, sse double")
 
 
 def _cluster_points(spark, sf_dir):
-    return _pca(spark, sf_dir).select("c_custkey", "pc1", "pc2").transform(
+    """The points of the segmentations, written once.  The scan deals them by size over about as many tasks as there are
+    cores, however many tasks the joins before had; each fit keeps its own vectors, so this frame is not to be cached
+    (fits over cached rows decode every row in every iteration)."""
+    return snapshot(_pca(spark, sf_dir).select("c_custkey", "pc1", "pc2"), "cluster-points").transform(
         lambda d: M.assemble(d, ["pc1", "pc2"]))
 
 
@@ -83,7 +86,7 @@ def _cluster_points(spark, sf_dir):
 def cluster_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     """M4: silhouette of k-means (k=4), bisecting k-means (k=4) and the grid
     density clusters."""
-    pts = _cluster_points(spark, sf_dir).cache()
+    pts = _cluster_points(spark, sf_dir)
     km = M.kmeans_best_of(pts, 4, n_init=KMEANS_STARTS).transform(pts)
     bk = M.bisecting(pts, 4)
     dn = M.grid_density_clusters(pts, "pc1", "pc2").where(F.col("cluster").isNotNull())  # noise is no cluster
@@ -93,7 +96,6 @@ def cluster_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     for name, pred in (("kmeans", km), ("bisecting_kmeans", bk), ("grid_density", dn)):
         n = pred.select("prediction").distinct().count()
         rows.append((name, int(n), float(M.silhouette(pred))))
-    pts.unpersist()
     return spark.createDataFrame(rows, "model string, n_clusters int, silhouette double")
 
 
