@@ -81,3 +81,20 @@ def test_edges(spark):
     none = B.boost_folds(df.limit(0), ["a"], "y", "fold", [0], trees=1, depth=1)
     assert none.errors == {} and none.base == [0.0]
     assert B.bin_edges(df, ["a"])["a"] == [2.0]
+
+
+def test_driver_gets_a_histogram_of_left_nodes_a_task(spark, monkeypatch):
+    """Not one per block, not of all folds' rows, and no padding to the widest feature."""
+    from pyspark.rdd import RDD
+
+    got, collect = [], RDD.collect
+    monkeypatch.setattr(RDD, "collect", lambda self: got.append(collect(self)) or got[-1])
+    monkeypatch.setattr(B, "CELLS_A_BLOCK", 40)
+    df, _ = table(spark, 1200)
+    model = B.boost_folds(df, ["a", "b", "c"], "y", "fold", [0, 1, 2], trees=2, depth=3)
+    bins = sum(len(e) + 1 for e in model.edges.values())
+    hists = [x for x in got if x and isinstance(x[0], np.ndarray) and x[0].ndim == 4]
+    assert len(hists) == 6  # one job a level
+    for level, found in enumerate(hists):
+        assert len(found) <= max(B.GATHERED, spark.sparkContext.defaultParallelism)
+        assert {h.shape for h in found} == {(3, 2, max(1, 1 << (level % 3) >> 1), bins)}

@@ -1,15 +1,16 @@
 """Boosted regression trees of several folds grown together.
 
 Trees on binned features and squared error see a row only through its bins: the prediction is a function of the
-bin combination, so rows of one combination and fold count through their number, sum and sum of squares.  One
-aggregate reduces the table to these cells; after it the work no longer depends on the rows.
+bin combination, so rows of one combination count through their number, sum and sum of squares inside and outside of
+each fold.  One aggregate reduces the table to these cells; after it the work no longer depends on the rows.
 
 Boosting needs one global sum per tree level whatever the engine.  Here one job sums the histograms
 (fold, node, feature, bin) of all folds' ensembles at once, so five folds cost as many jobs as one fit.  Cells are
 numpy blocks in a persisted RDD (a DataFrame job per level would spend its time on planning): a block holds its
 cells' current predictions, each finished tree updates them in place of the next level's scan, and a reliable
 checkpoint cuts the lineage every ``cut`` trees, so a lost executor costs a few trees of its blocks.  What
-comes to the driver per level is the summed histogram: folds x nodes x features x bins numbers.
+comes to the driver per level is a histogram per task, of which there are ``GATHERED`` at most (more are summed in
+a tree on the executors first): folds x nodes x bins of all features, two numbers each.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from pyspark.sql import functions as F
 
 from turnstile.session import ensure_checkpoint_dir, snapshot
 
-CELLS_A_BLOCK = 1 << 13
+CELLS_A_BLOCK = 1 << 15
+GATHERED = 12  # histograms a level that the driver sums itself
 
 
 def bin_edges(df: DataFrame, features: Sequence[str], bins: int = 64) -> dict[str, list[float]]:
@@ -43,8 +45,9 @@ def bin_column(value: Column, edges: Sequence[float]) -> Column:
     return reduce(lambda a, b: a + b, steps, F.lit(0)).cast("smallint")
 
 
-def _blocks(cells: DataFrame, n_features: int):
-    """The cells as numpy blocks: (bins, fold, n, sum), one row per block."""
+def _blocks(cells: DataFrame, n_features: int, n_folds: int):
+    """The cells as numpy blocks, one row per block: bins (cells, features), the numbers and sums of training rows
+    (folds, cells), and of left-out rows their numbers, sums and sums of squares."""
     import pickle
 
     import pyarrow as pa
@@ -55,12 +58,14 @@ def _blocks(cells: DataFrame, n_features: int):
         found = [b for b in batches if b.num_rows]
         if found:
             t = pa.Table.from_batches(found)
-            col = lambda c: t.column(c).to_numpy()
-            block = (np.stack([col(f"b{i}").astype(np.int16) for i in range(n_features)], axis=1), col("fold").astype(np.int32),
-                     col("n").astype(np.float64), col("y").astype(np.float64), col("yy").astype(np.float64))
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], names=["block"])
+            # a feature's bins lie side by side, as the histograms read them
+            bins = np.stack([t.column(f"b{i}").to_numpy() for i in range(n_features)]).astype(np.int16).T
+            each = [np.stack([t.column(f"{c}{e}").to_numpy() for e in range(n_folds)]).astype(np.float64)
+                    for c in ("n", "y", "own_n", "own_y", "own_yy")]
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(x)], pa.binary()) for x in ((bins, *each[:2]), (bins, *each[2:]))],
+                                             names=["train", "own"])
 
-    return snapshot(cells.repartition(parts).mapInArrow(pack, "block binary"), "boost-blocks")
+    return snapshot(cells.repartition(parts).mapInArrow(pack, "train binary, own binary"), "boost-blocks")
 
 
 def _leaf_of(bins, tree, levels: int):
@@ -92,6 +97,10 @@ def _best_splits(hist, reg: float, min_rows: float):
     return feature, cut, sides
 
 
+def _added(a, b):
+    return b if a is None else a if b is None else a + b
+
+
 class BoostedFolds:
     """Ensembles by left-out fold: ``base``, ``trees`` (levels of (feature, cut) per node, leaf values), bin edges."""
 
@@ -130,66 +139,93 @@ def boost_folds(df: DataFrame, features: Sequence[str], label: str, fold_col: st
     src = df.where(F.col(label).isNotNull())
     edges = bin_edges(src, features, bins)
     y = F.col(label).cast("double")
-    cells = snapshot(src.select(*[bin_column(F.col(c).cast("double"), edges[c]).alias(f"b{i}") for i, c in enumerate(features)],
-                                F.col(fold_col).cast("int").alias("fold"), y.alias("y"))
-                     .groupBy(*[f"b{i}" for i in range(len(features))], "fold")
-                     .agg(F.count(F.lit(1)).alias("n"), F.sum("y").alias("y"), F.sum(F.col("y") * F.col("y")).alias("yy")), "boost-cells")
+    fold = F.col("fold")
+    zero = F.lit(0.0)
+    sums = []
+    for e, f in enumerate(folds):  # a row without a fold is left out by none
+        own = fold.eqNullSafe(F.lit(f))
+        sums += [F.count(F.when(~own, 1)).alias(f"n{e}"), F.sum(F.when(own, zero).otherwise(F.col("y"))).alias(f"y{e}"),
+                 F.count(F.when(own, 1)).alias(f"own_n{e}"), F.sum(F.when(own, F.col("y")).otherwise(zero)).alias(f"own_y{e}"),
+                 F.sum(F.when(own, F.col("y") * F.col("y")).otherwise(zero)).alias(f"own_yy{e}")]
+    binned = src.select(*[bin_column(F.col(c).cast("double"), edges[c]).alias(f"b{i}") for i, c in enumerate(features)],
+                        F.col(fold_col).cast("int").alias("fold"), y.alias("y"))
+    cells = snapshot(binned.groupBy(*[f"b{i}" for i in range(len(features))]).agg(*sums), "boost-cells")
     model = BoostedFolds(features, edges, folds)
-    out_of = np.array(list(folds))
-    width = 1 + max((len(e) for e in edges.values()), default=0)
-    means = cells.groupBy("fold").agg(F.sum("y").alias("y"), F.sum("n").alias("n")).collect()  # one row per fold
-    for f in folds:
-        rows = sum(r.n for r in means if r.fold != f)
-        model.base.append(sum(r.y for r in means if r.fold != f) / rows if rows else 0.0)
+    widths = [len(edges[c]) + 1 for c in features]
+    starts = np.cumsum([0, *widths])  # bins of all features in one row
+    width, every = max(widths, default=1), int(starts[-1])
+    n_folds, n_features, leaf_of = len(folds), len(features), _leaf_of
+    totals = cells.agg(*[F.sum(f"{c}{e}").alias(f"{c}{e}") for e in range(n_folds) for c in "yn"]).first() if n_folds else {}
+    model.base = [totals[f"y{e}"] / totals[f"n{e}"] if totals[f"n{e}"] else 0.0 for e in range(n_folds)]
     base = np.array(model.base)
-    leaf_of, n_folds, n_features = _leaf_of, len(out_of), len(features)
 
     def unpack(row):
         import pickle
 
-        block = pickle.loads(row.block)
-        return (*block, np.repeat(base[:, None], len(block[0]), axis=1))
+        bins, n, total = pickle.loads(row.train)
+        return bins, n, total, np.repeat(base[:, None], len(bins), axis=1)
 
     def update(tree):
         def one(block):
-            now = block[-1].copy()
+            bins, now = block[0], block[-1].copy()
             for e, (levels, leaves) in enumerate(tree):
-                now[e] += leaves[leaf_of(block[0], levels, len(levels))]
+                now[e] += leaves[leaf_of(bins, levels, len(levels))]
             return (*block[:-1], now)
         return one
 
     def level_sums(partial, level):
-        def one(block):
-            box, fold, n, total, _, now = block
-            hist = np.zeros((n_folds, 1 << level, n_features, width, 2))
-            for e in range(n_folds):
-                train = fold != out_of[e]
-                b, rows = box[train], n[train]
-                rest = total[train] - rows * now[e][train]
-                node = leaf_of(b, partial[e], level) * width
-                for f in range(n_features):
-                    at = node + b[:, f]
-                    for k, w in enumerate((rest, rows)):
-                        hist[e, :, f, :, k] = np.bincount(at, weights=w, minlength=(1 << level) * width).reshape(-1, width)
-            return hist
-        return one
+        """Histograms of the root, or of the left nodes of a level: the right ones are the rest of their parents."""
+        nodes = 1 << max(level - 1, 0)
+
+        def some(blocks):
+            hist = None
+            for bins, n, total, now in blocks:
+                if hist is None:
+                    hist = np.zeros((n_folds, 2, nodes, every))
+                for e in range(n_folds):
+                    node = leaf_of(bins, partial[e], level)
+                    left = np.flatnonzero(node % 2 == 0)
+                    node = node[left] // 2 * every
+                    rows = n[e][left]
+                    rest = total[e][left] - rows * now[e][left]
+                    for f in range(n_features):
+                        at = node + bins[:, f][left]
+                        inside = slice(starts[f], starts[f + 1])
+                        for k, w in enumerate((rest, rows)):
+                            sums = np.bincount(at, weights=w, minlength=nodes * every).reshape(-1, every)
+                            hist[e, k, :, inside] += sums[:, :widths[f]]
+            return [] if hist is None else [hist]
+        return some
+
+    def by_feature(hist):
+        """(nodes, features, bins, 2) of (2, nodes, bins of all features)."""
+        out = np.zeros((hist.shape[1], n_features, width, 2))
+        for f in range(n_features):
+            out[:, f, :widths[f]] = np.moveaxis(hist[:, :, starts[f]:starts[f + 1]], 0, -1)
+        return out
 
-    state = _blocks(cells, n_features).rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
+    blocks = _blocks(cells, n_features, n_folds)
+    state = blocks.select("train").rdd.map(unpack).persist(StorageLevel.MEMORY_AND_DISK)
     parts = state.getNumPartitions()
-    empty = np.zeros((n_folds, 1, n_features, width, 2))
     old = []
     for t in range(trees):
-        grown: list[list] = [[] for _ in out_of]
+        grown: list[list] = [[] for _ in folds]
         sides = [None] * n_folds
         for level in range(depth):
-            sums = state.map(level_sums(grown, level))
-            # few blocks: summed on the driver; many: in a tree on the executors first
-            if parts > 32:
-                hist = sums.treeReduce(np.add, depth=2)
+            sums = state.mapPartitions(level_sums(grown, level))
+            if parts > GATHERED:
+                sums = sums.treeAggregate(None, _added, _added, depth=2)
+                sums = [] if sums is None else [sums]
+            else:
+                sums = sums.collect()
+            left = sum(sums, np.zeros((n_folds, 2, 1 << max(level - 1, 0), every)))
+            if level:
+                above, hist = hist, np.empty((n_folds, 2, 1 << level, every))
+                hist[:, :, 0::2], hist[:, :, 1::2] = left, above - left
             else:
-                hist = sum(sums.collect(), np.zeros((n_folds, 1 << level, *empty.shape[2:])))
+                hist = left
             for e in range(n_folds):
-                feature, at, sides[e] = _best_splits(hist[e], reg, min_rows)
+                feature, at, sides[e] = _best_splits(by_feature(hist[e]), reg, min_rows)
                 grown[e].append((feature, at))
         for r in old:
             r.unpersist()
@@ -200,16 +236,24 @@ def boost_folds(df: DataFrame, features: Sequence[str], label: str, fold_col: st
         if (t + 1) % cut == 0:
             state.checkpoint()
 
-    def held_out(block):
-        _, fold, n, total, square, now = block
+    grown_trees = model.trees
+
+    def held_out(row):
+        import pickle
+
+        bins, n, total, square = pickle.loads(row.own)
         out = np.zeros((n_folds, 2))
         for e in range(n_folds):
-            own = fold == out_of[e]
-            p = now[e][own]
-            out[e] = n[own].sum(), (square[own] - 2 * p * total[own] + n[own] * p * p).sum()
+            own = n[e] > 0
+            box, p = bins[own], np.full(own.sum(), base[e])
+            for tree in grown_trees:
+                levels, leaves = tree[e]
+                p += leaves[leaf_of(box, levels, len(levels))]
+            rows = n[e][own]
+            out[e] = rows.sum(), (square[e][own] - 2 * p * total[e][own] + rows * p * p).sum()
         return out
 
-    for f, (n, err) in zip(folds, state.map(held_out).fold(np.zeros((n_folds, 2)), np.add)):
+    for f, (n, err) in zip(folds, blocks.select("own").rdd.map(held_out).fold(np.zeros((n_folds, 2)), np.add)):
         if n:
             model.errors[f] = (int(n), float(err / n))
     for r in [*old, state]:
