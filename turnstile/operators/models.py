@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from turnstile.functions.scalars import hash_split
 from turnstile.operators.aggregates import scalar_row
+from turnstile.session import snapshot
 
 
 # ------------------------------------------------------------------ scaling / projection
@@ -243,7 +244,8 @@ def word_contributions(model: PipelineModel, scored: DataFrame, threshold: float
     removing one occurrence of term t lowers the logit by w_t, so
     contribution = p - sigmoid(logit - w_t).  Stop words contribute 0.  Only
     documents with p > threshold."""
-    pos = scored.where(F.col("p_negative") > threshold)
+    pos = scored.where(F.col("p_negative") > threshold).select("doc_id", "p_negative", "logit", "text")
+    pos = snapshot(pos, "negative-texts")  # scored once: the words and their weights both come from it
     toks = pos.select("doc_id", "p_negative", "logit", F.posexplode(
         F.regexp_extract_all(F.lower(F.col("text")), F.lit(TOKEN_PATTERN), 0)).alias("pos", "word"))
     weights = term_weights(model, toks.select("word").distinct())

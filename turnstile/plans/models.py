@@ -277,6 +277,8 @@ def complaint_classifier(spark: SparkSession, sf_dir: str):
     key = _state(spark, sf_dir, "documents", "labels")
     if key not in _FITTED:
         train, _ = M.split_by_hash(labelled_terms(spark, sf_dir), "doc_id")
+        # counted once: every fold and fit reads it; the scan deals it by size, so an iteration adds up few dense gradients
+        train = snapshot(train, "labelled-terms")
         _FITTED.clear()
         _FITTED[key] = M.text_classifier().fit(train).bestModel
     return _FITTED[key]
