@@ -89,3 +89,19 @@ def test_registered_query_takes_every_line(spark):
     got = PM.density_clusters(spark, SF_SMALL)
     assert got.count() == table(spark, SF_SMALL, "lineitem").count()
     assert got.where(F.col("cluster").isNotNull()).count() > 0
+
+
+def test_rows_of_full_cells_are_named_without_a_shuffle(spark):
+    """Cells name their rows: the rows are not dealt by their coordinates, however many distinct points there are."""
+    rng = random.Random(5)
+    points = [(rng.gauss(0, 1), rng.gauss(0, 1)) for _ in range(20000)] + [(9.0 + i, 9.0) for i in range(20)]
+    df = spark.createDataFrame([(i, *p) for i, p in enumerate(points)], "id int, x double, y double")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "64k")
+    try:
+        got = D.density_clusters(df, "x", "y")
+        assert "SortMergeJoin" not in got._jdf.queryExecution().executedPlan().toString()
+        assert {r.cluster for r in got.where("id >= 20000").collect()} == {None}
+        assert got.where("id < 20000 and abs(x) < 2 and abs(y) < 2").where("cluster is null").isEmpty()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)

@@ -38,6 +38,11 @@ def _around(df: DataFrame, cell: str, into: str) -> DataFrame:
         (F.col(f"{cell}.cx") + F.col("_step.dx")).alias("cx"), (F.col(f"{cell}.cy") + F.col("_step.dy")).alias("cy"))).drop("_step")
 
 
+def _seen(points: DataFrame) -> DataFrame:
+    """Points as ``ax, ay``, once for each cell they can reach."""
+    return _around(points.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("cell").alias("home")), "home", "cell").drop("home")
+
+
 def _near(ax: str, ay: str, bx: str, by: str, eps: float) -> Column:
     dx, dy = F.col(ax) - F.col(bx), F.col(ay) - F.col(by)
     return dx * dx + dy * dy <= eps * eps
@@ -127,20 +132,29 @@ def density_clusters(df: DataFrame, x: str, y: str, eps: float = 0.5, min_pts: i
     full = pts.groupBy("cell").agg(F.sum("n").alias("rows")).where(F.col("rows") >= min_pts).select("cell")
     full = snapshot(full, "density-full")
     sparse = snapshot(pts.join(full, "cell", "left_anti"), "density-sparse")  # fewer than min_pts rows a cell
-    seen = _around(sparse.select(F.col("x").alias("ax"), F.col("y").alias("ay"), F.col("cell").alias("home")), "home", "cell").drop("home")
-    enough = (seen.join(pts, "cell").where(_near("ax", "ay", "x", "y", eps)).groupBy("ax", "ay")
+    enough = (_seen(sparse).join(pts, "cell").where(_near("ax", "ay", "x", "y", eps)).groupBy("ax", "ay")
               .agg(F.sum("n").alias("rows")).where(F.col("rows") >= min_pts).select(F.col("ax").alias("x"), F.col("ay").alias("y")))
+    enough = snapshot(enough, "density-enough")
     core = pts.join(full, "cell", "left_semi").select("x", "y", "cell").unionByName(
         sparse.join(enough, ["x", "y"], "left_semi").select("x", "y", "cell"))
     core = snapshot(core, "density-core")
     cells = core.select(F.col("cell").alias("node")).distinct()
     labels = smallest_reachable(cells, linked_cells(core, side, eps, few)).withColumnRenamed("node", "cell")
-    named = core.join(labels, "cell").select("x", "y", "cell", "label")
-    border = (seen.join(core, [seen["ax"] == core["x"], seen["ay"] == core["y"]], "left_anti").join(named, "cell")
+    # points of full cells have the label of their cell; only those of other cells are looked up by place
+    inner = sparse.join(enough, ["x", "y"], "left_semi").join(labels, "cell").select("x", "y", "label")
+    rest = _seen(sparse.join(enough, ["x", "y"], "left_anti"))
+    border = (rest.join(core.join(labels, "cell").select("x", "y", "cell", "label"), "cell")
               .where(_near("ax", "ay", "x", "y", eps)).groupBy("ax", "ay").agg(F.min("label").alias("label")))
-    of = named.select("x", "y", "label").unionByName(border.select(F.col("ax").alias("x"), F.col("ay").alias("y"), "label"))
-    of = of.select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.concat_ws(
-        ":", F.col("label.cx").cast("string"), F.col("label.cy").cast("string")).alias("__cluster"))
+    of = inner.unionByName(border.select(F.col("ax").alias("x"), F.col("ay").alias("y"), "label"))
+    # stored, so that their sizes are known before the join: small tables are sent to the rows, which stay where they are
+    of = snapshot(of.select(F.col("x").alias("__x"), F.col("y").alias("__y"), F.col("label").alias("__label")), "density-places")
+    whole = snapshot(labels.join(full, "cell", "left_semi").select(
+        F.col("cell.cx").alias("__cx"), F.col("cell.cy").alias("__cy"), F.col("label").alias("__whole")), "density-whole")
     rows = df.drop("cluster") if "cluster" not in (x, y) else df
-    out = rows.join(of, (px == F.col("__x")) & (py == F.col("__y")), "left")
-    return out.withColumn("cluster", F.col("__cluster")).drop("__x", "__y", "__cluster")
+    near = (F.abs(px) < FARTHEST * side) & (F.abs(py) < FARTHEST * side)
+    at = lambda v: F.when(near, F.floor(v / side))
+    out = rows.join(whole, (at(px) == F.col("__cx")) & (at(py) == F.col("__cy")), "left").join(
+        of, (px == F.col("__x")) & (py == F.col("__y")), "left")
+    label = F.coalesce("__whole", "__label")
+    name = F.when(label.isNotNull(), F.concat_ws(":", label["cx"].cast("string"), label["cy"].cast("string")))
+    return out.withColumn("cluster", name).drop("__x", "__y", "__cx", "__cy", "__whole", "__label")
