@@ -112,3 +112,33 @@ def test_cluster_points_have_no_more_tasks_than_their_size_asks_for(spark):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_classifier_and_contributions_read_each_text_once(spark, monkeypatch):
+    """The folds read stored counts, the words and their weights stored texts with their score: no pass over the documents."""
+    seen = []
+
+    class Stop(Exception):
+        pass
+
+    class Fits:
+        def fit(self, train):
+            seen.extend(train.inputFiles())
+            raise Stop
+    monkeypatch.setattr(PM, "_FITTED", {})
+    with monkeypatch.context() as m:
+        m.setattr(M, "text_classifier", Fits)
+        try:
+            PM.complaint_classifier(spark, SF_SMALL)
+        except Stop:
+            pass
+    assert seen and all("/labelled-terms-" in f for f in seen)
+    texts = [(i, f"{'bad awful' if i % 2 else 'good nice'} ride {i % 5}", float(i % 2)) for i in range(60)]
+    docs = spark.createDataFrame(texts, "doc_id int, text string, label double")
+    model = M.text_classifier(reg_params=[0.01], folds=2).fit(M.hash_terms(docs)).bestModel
+    contrib = M.word_contributions(model, M.score_texts(model, docs))
+    files = contrib.inputFiles()
+    assert files and all("/negative-texts-" in f for f in files)
+    rows = contrib.collect()
+    assert {r.doc_id for r in rows} == {i for i, _, label in texts if label} and len(rows) == 30 * 3
+    assert all((r.contribution > 0) == (r.word in ("bad", "awful")) for r in rows if r.word != "ride")
