@@ -142,3 +142,39 @@ def test_classifier_and_contributions_read_each_text_once(spark, monkeypatch):
     rows = contrib.collect()
     assert {r.doc_id for r in rows} == {i for i, _, label in texts if label} and len(rows) == 30 * 3
     assert all((r.contribution > 0) == (r.word in ("bad", "awful")) for r in rows if r.word != "ride")
+
+
+def test_grid_density_joins_only_the_points(spark, monkeypatch):
+    """Cells are summed around each other, not joined with each other in every step; labels and noise by brute force."""
+    chain = [(0.5 * i + 0.1, 0.1) for i in range(23) for _ in range(4)]  # longer than two rounds of label steps
+    blob = [(0.1, 20.1)] * 10 + [(0.6, 20.6), (1.6, 20.6)]  # one cell beside the core, one too far from it
+    rows = [*chain, *blob, (50.1, 50.1), (None, 0.1), (0.1, None), (None, None)]
+    df = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(rows)], "id int, x double, y double").repartition(3)
+    joins, kind = [], type(df)
+    monkeypatch.setattr(kind, "join", lambda self, *a, f=kind.join, **b: joins.append(a) or f(self, *a, **b))
+    got = {r.id: r.cluster for r in M.grid_density_clusters(df, "x", "y").collect()}
+    assert len(joins) == 1
+    cells = {}
+    for i, (x, y) in enumerate(rows):
+        if x is not None and y is not None:
+            cells.setdefault((int(x // 0.5), int(y // 0.5)), []).append(i)
+    near = {c: [d for d in cells if abs(c[0] - d[0]) <= 1 and abs(c[1] - d[1]) <= 1] for c in cells}
+    core = {c: c for c in cells if sum(len(cells[d]) for d in near[c]) >= 10}
+    for _ in core:
+        core = {c: min(core[d] for d in near[c] if d in core) for c in core}
+    want = dict.fromkeys(range(len(rows)))
+    for c, ids in cells.items():
+        if found := core.get(c) or min((core[d] for d in near[c] if d in core), default=None):
+            want |= dict.fromkeys(ids, f"{found[0]}:{found[1]}")
+    assert got == want and set(want.values()) == {"1:0", "0:40", None}
+
+
+def test_cluster_compare_evaluates_stored_named_points(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(PM, "KMEANS_STARTS", 1)
+    monkeypatch.setattr(M, "silhouette", lambda pred: seen.append((pred.inputFiles(), pred.select("prediction", "features").dropna().count())) or 0.0)
+    rows = PM.cluster_compare(spark, SF_SMALL).collect()
+    assert [r.model for r in rows] == ["kmeans", "bisecting_kmeans", "grid_density"]
+    files, n = seen[-1]
+    assert files and all("/density-named-" in f for f in files)
+    assert 0 < n <= seen[0][1]

@@ -98,11 +98,18 @@ def bisecting(df: DataFrame, k: int = 4, seed: int = 42, features: str = "featur
     return BisectingKMeans(k=k, seed=seed, featuresCol=features).fit(df).transform(df)
 
 
-def _neighbourhood(cells: DataFrame, *cols: str) -> DataFrame:
-    """Every cell with each of the 9 cells around it (``ncx``, ``ncy``), itself included."""
+def _around(cells: DataFrame, *cols: str) -> DataFrame:
+    """``cols`` of every cell at each of the 9 cells around it (``cx``, ``cy``), itself (``own``) included."""
     around = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)])
     e = cells.withColumn("_o", F.explode(around))
-    return e.select(*cols, (F.col("cx") + F.col("_o.dx")).alias("ncx"), (F.col("cy") + F.col("_o.dy")).alias("ncy"))
+    return e.select((F.col("cx") + F.col("_o.dx")).alias("cx"), (F.col("cy") + F.col("_o.dy")).alias("cy"),
+                    ((F.col("_o.dx") == 0) & (F.col("_o.dy") == 0)).alias("own"), *cols)
+
+
+def _nearest_labels(labels: DataFrame) -> DataFrame:
+    """Every cell next to a labelled one: the smallest ``label`` around it and its own one before (``old``, else NULL)."""
+    return _around(labels, "label").groupBy("cx", "cy").agg(
+        F.min("label").alias("label"), F.max(F.when(F.col("own"), F.col("label"))).alias("old"))
 
 
 def grid_density_clusters(df: DataFrame, x: str, y: str, eps: float = 0.5, min_pts: int = 10,
@@ -113,29 +120,26 @@ def grid_density_clusters(df: DataFrame, x: str, y: str, eps: float = 0.5, min_p
     form one cluster, named by its smallest cell (``cx:cy``); points of
     other cells next to a core cell join the smallest adjacent cluster; the rest
     are noise (NULL).  Works on the table of occupied cells, never on pairs
-    of points; labels spread until none changes."""
+    of points; labels spread until none changes.  Cells send what they hold to
+    the cells around them and are summed there, so only the points are joined."""
     pts = df.withColumn("cx", F.floor(F.col(x) / eps)).withColumn("cy", F.floor(F.col(y) / eps))
-    cells = pts.groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
-    near = _neighbourhood(cells, "cx", "cy", "n").groupBy(F.col("ncx").alias("cx"), F.col("ncy").alias("cy")).agg(F.sum("n").alias("n9"))
-    core = cells.join(near, ["cx", "cy"]).where(F.col("n9") >= min_pts).select("cx", "cy").checkpoint()
-    edges = _neighbourhood(core, "cx", "cy").join(
-        core.select(F.col("cx").alias("ncx"), F.col("cy").alias("ncy")), ["ncx", "ncy"]).checkpoint()
-    labels = core.withColumn("label", F.struct("cx", "cy"))
+    cells = pts.where("cx IS NOT NULL AND cy IS NOT NULL").groupBy("cx", "cy").agg(F.count(F.lit(1)).alias("n"))
+    near = _around(cells, "n").groupBy("cx", "cy").agg(F.sum("n").alias("n9"), F.max("own").alias("occupied"))
+    core = near.where(F.col("occupied") & (F.col("n9") >= min_pts)).select("cx", "cy")
+    labels = core.withColumn("label", F.struct("cx", "cy")).checkpoint()
     while True:
-        new = labels
         for _ in range(checkpoint_every):
-            from_near = edges.join(new.select(F.col("cx").alias("ncx"), F.col("cy").alias("ncy"), F.col("label").alias("nl")), ["ncx", "ncy"])
-            new = from_near.groupBy("cx", "cy").agg(F.min("nl").alias("label"))  # a cell is its own neighbour
-        new = new.checkpoint()
-        moved = new.join(labels.withColumnRenamed("label", "old"), ["cx", "cy"]).where(F.col("label") != F.col("old"))
-        labels = new
-        if moved.isEmpty():
+            spread = _nearest_labels(labels).where(F.col("old").isNotNull())  # core cells only
+            labels = spread.select("cx", "cy", "label")
+        spread = spread.checkpoint()
+        labels = spread.select("cx", "cy", "label")
+        if spread.where(F.col("label") != F.col("old")).isEmpty():
             break
-    reach = _neighbourhood(labels, "label").groupBy(F.col("ncx").alias("cx"), F.col("ncy").alias("cy")).agg(F.min("label").alias("_edge"))
-    out = pts.join(labels, ["cx", "cy"], "left").join(reach, ["cx", "cy"], "left")
-    c = F.coalesce("label", "_edge")
+    placed = _nearest_labels(labels).select("cx", "cy", F.coalesce("old", "label").alias("_c"))
+    out = pts.join(placed, ["cx", "cy"], "left")
+    c = F.col("_c")
     name = F.when(c.isNotNull(), F.concat_ws(":", c["cx"].cast("string"), c["cy"].cast("string")))
-    return out.withColumn("cluster", name).drop("label", "_edge", "cx", "cy")
+    return out.withColumn("cluster", name).drop("_c", "cx", "cy")
 
 
 # ------------------------------------------------------------------ regression

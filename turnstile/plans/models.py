@@ -89,9 +89,11 @@ def cluster_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     pts = _cluster_points(spark, sf_dir)
     km = M.kmeans_best_of(pts, 4, n_init=KMEANS_STARTS).transform(pts)
     bk = M.bisecting(pts, 4)
-    dn = M.grid_density_clusters(pts, "pc1", "pc2").where(F.col("cluster").isNotNull())  # noise is no cluster
+    dn = M.grid_density_clusters(pts.drop("features"), "pc1", "pc2").where(F.col("cluster").isNotNull())  # noise is no cluster
+    # each joined once and written: the evaluation reads its points many times
+    dn = snapshot(dn.select("pc1", "pc2", "cluster"), "density-points")
     names = dn.select("cluster").distinct().withColumn("prediction", F.row_number().over(Window.orderBy("cluster")))
-    dn = dn.join(names, "cluster")
+    dn = M.assemble(snapshot(dn.join(names, "cluster").select("pc1", "pc2", "prediction"), "density-named"), ["pc1", "pc2"])
     rows = []
     for name, pred in (("kmeans", km), ("bisecting_kmeans", bk), ("grid_density", dn)):
         n = pred.select("prediction").distinct().count()
