@@ -87,6 +87,50 @@ def test_gradient_trains_and_generalises():
         assert ((path == k) & (y == k)).sum() > 0.8 * (y == k).sum()
 
 
+def test_scores_are_those_of_the_training_step():
+    from turnstile.llm import pii_crf as P
+    codes = np.ascontiguousarray(labelled_texts(20, 60, seed=4)[0].T)
+    codes[40:, :9] = 0  # padding
+    p = Tagger().p
+    states, _ = P._lstm(codes, p["wx_f"], p["wh_f"])
+    got = P._lstm_scores(codes, p["wx_f"], p["wh_f"], p["out"][:8])
+    assert np.abs(got - (states @ p["out"][:8]).transpose(0, 2, 1)).max() < 1e-5
+
+
+def test_only_labelled_windows_are_followed_back():
+    tagger = Tagger(4)
+    rng = np.random.default_rng(6)
+    tagger.p["trans"] = rng.normal(0, 1, (5, 5)).astype("f")
+    e = rng.normal(0, 1, (30, 60, 5)).astype("f")
+    e[:, ::2, 0] += 20  # label 0 alone; the others have some labels
+    e[::3, 1::4, 0] += 20
+
+    class Kept(np.ndarray):
+        def take(self, at, axis=None, **more):
+            widths.append(len(at))
+            return np.asarray(self).take(at, axis=axis, **more)
+
+    full = np.empty((30, 60), int)
+    score = [e[0].T]
+    trans, widths = tagger.p["trans"], []
+    for t in range(1, 30):
+        score.append((score[-1][:, None] + trans[:, :, None]).max(axis=0) + e[t].T)
+    full[-1] = score[-1].argmax(axis=0)
+    for t in range(28, -1, -1):
+        full[t] = (score[t] + trans[:, full[t + 1]]).argmax(axis=0)
+    tagger.p["trans"] = trans.view(Kept)
+    assert (tagger.decode(e) == full).all() and not full[:, ::2].any()
+    assert widths and set(widths) == {int(full.any(axis=0).sum())}
+
+
+def test_addresses_are_sought_among_digits_only(monkeypatch):
+    from turnstile.llm import pii_crf as P
+    base = base_spans("at 10.0.0.1.2.3.4.5.6 and 1.2.3 or 300.1.1.1, 007.1.2.3")
+    assert base == [("ip", 3, 11), ("ip", 12, 19), ("ip", 46, 55)]
+    monkeypatch.setattr(P, "_IP", None)
+    assert base_spans("write to jo@mail.com. no digits") == [("email", 9, 20)]
+
+
 def test_windows_agree_on_long_texts():
     text = "lorem ipsum dolor. " * 40 + "write to jo dot smith at mail dot com now or call +1 (555) 555-1234. " + "sit amet " * 60
     found = []
