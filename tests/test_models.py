@@ -48,6 +48,25 @@ def test_leave_one_out_contribution_is_exact(spark):
     assert abs((p0 - p1) - row.contribution) < 1e-9
 
 
+def test_forest_folds_run_beside_the_boosted_trees(spark, monkeypatch):
+    import threading
+    both = threading.Barrier(2, timeout=60)  # broken if one waits for the other's end
+
+    def forest(*a, **k):
+        both.wait()
+        return [(0, 0.5)]
+
+    def boosted(*a, **k):
+        both.wait()
+        model = B.BoostedFolds([], {}, [0])
+        model.errors[0] = (3, 2.0)
+        return model
+
+    monkeypatch.setattr(PM.M, "kfold_scores", forest)
+    monkeypatch.setattr(PM.B, "boost_folds", boosted)
+    assert sorted(map(tuple, PM.cv_scores(spark, SF_SMALL).collect())) == [("boosted_neg_mse", 0, -2.0), ("forest_r2", 0, 0.5)]
+
+
 def test_cv_scores_fold_the_demand_model_over_all_rows(spark, monkeypatch):
     seen = {}
     monkeypatch.setattr(M, "kfold_scores", lambda *a, **k: [(0, 1.0)])
